@@ -5,10 +5,19 @@ from the left side). Strategy is left to Catalyst and AQE: a side whose measured
 under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, any other pair is
 shuffle-joined, and AQE splits skewed shuffle partitions at run time.
 
-Rows whose join key is null can never match, but a hash shuffle still sends all of them to
-one reducer. After a filtered material, MANDT is null for a third of the plant rows, so
-``left_join`` gives such rows an extra spread key (a hash of the row) that the right side
-never carries; the result is unchanged and the null-key rows are spread over all reducers.
+Two kinds of hot groups are handled explicitly:
+
+* Null keys. A key that comes from the right side of an earlier left join is null for
+  every unmatched row (MANDT is null for a third of the plant rows once their material is
+  filtered out). Such rows can never match, but a hash shuffle sends all of them to one
+  reducer. ``spread_null_keys`` gives them an extra join key (a hash of the row) that the
+  right side never carries: the result is unchanged and the rows spread over all reducers.
+* A hot key on the right side of a one-to-many join (one order with a third of all
+  items). AQE can split a skewed partition of the preserved (left) side of a left join, but
+  not of the other side. ``split_right_skew`` therefore writes ``L LEFT JOIN R`` as
+  ``(L INNER JOIN R) UNION ALL (L ANTI JOIN distinct keys of R)``: AQE may split either
+  side of the inner join, and the distinct keys are pre-aggregated map-side, so a hot key
+  costs one row per map task in the anti join.
 """
 
 from __future__ import annotations
@@ -41,21 +50,51 @@ def union_systems(frames: Sequence[DataFrame], schema: StructType | None = None)
     return reduce(lambda left, right: left.unionByName(right), frames)
 
 
-def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], spread_null_keys: bool = True) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` with null-key rows spread over reducers."""
-    keys = [on] if isinstance(on, str) else list(on)
-    if not spread_null_keys:
-        return left.join(right, on=keys, how="left")
-    spread_left = F.when(any_null(keys), F.xxhash64(*[F.col(c) for c in left.columns])).otherwise(F.lit(0).cast("long"))
-    # The right side only ever carries 0, so a spread value never finds a partner; its
-    # null-key rows get -1 (they cannot match anyway).
-    spread_right = F.when(any_null(keys), F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
-    joined = left.withColumn(_SPREAD, spread_left).join(
-        right.withColumn(_SPREAD, spread_right), on=[*keys, _SPREAD], how="left"
+def _spread_column(frame: DataFrame, keys: list[str], left_side: bool):
+    if left_side:
+        # Null-key rows get a hash of the whole row; all others 0.
+        return F.when(any_null(keys), F.xxhash64(*[F.col(c) for c in frame.columns])).otherwise(F.lit(0).cast("long"))
+    # The right side only carries 0 (its null-key rows -1), so a spread row finds no partner.
+    return F.when(any_null(keys), F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: bool) -> DataFrame:
+    if not spread:
+        return left.join(right, on=keys, how=how)
+    joined = left.withColumn(_SPREAD, _spread_column(left, keys, True)).join(
+        right.withColumn(_SPREAD, _spread_column(right, keys, False)), on=[*keys, _SPREAD], how=how
     )
     return joined.drop(_SPREAD)
 
 
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    spread_null_keys: bool = False,
+    split_right_skew: bool = False,
+) -> DataFrame:
+    """``left LEFT JOIN right USING (on)``: keys first, then left's and right's other columns.
+
+    ``spread_null_keys``: use when the left keys may be null (e.g. they come from an
+    earlier outer join). ``split_right_skew``: use when one key may hold a large share of
+    the right side's rows (one-to-many joins).
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if not split_right_skew:
+        return _join(left, right, keys, "left", spread_null_keys)
+    # Null keys never match, so the inner join drops them before its shuffle.
+    matched = left.join(right, on=keys, how="inner")
+    unmatched = _join(left, right.select(*keys).dropDuplicates(), keys, "left_anti", spread_null_keys)
+    right_fields = [f for f in right.schema.fields if f.name not in keys]
+    unmatched = unmatched.select(
+        *keys,
+        *[c for c in left.columns if c not in keys],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in right_fields],
+    )
+    return matched.unionByName(unmatched)
+
+
 LOCAL_MATERIAL_COLUMNS = [
     "MANDT",
     "SOURCE_SYSTEM_ERP",
@@ -95,11 +134,13 @@ def integration_local_material(
         sap_mara=sap_mara, sap_mbew=sap_mbew, sap_marc=sap_marc, sap_t001k=sap_t001k, sap_t001w=sap_t001w, sap_t001=sap_t001
     )
     extra = list(extra_keys)
+    # MARA holds one row per material and system, so J1 has no hot right-side key. MANDT,
+    # BWKEY and BUKRS come from the right side of earlier joins: spread their null keys.
     joined = left_join(sap_marc, sap_mara, [*extra, "MATNR"])
-    joined = left_join(joined, sap_t001w, [*extra, "MANDT", "WERKS"])
-    joined = left_join(joined, sap_mbew, [*extra, "MANDT", "MATNR", "BWKEY"])
-    joined = left_join(joined, sap_t001k, [*extra, "MANDT", "BWKEY"])
-    joined = left_join(joined, sap_t001, [*extra, "MANDT", "BUKRS"])
+    joined = left_join(joined, sap_t001w, [*extra, "MANDT", "WERKS"], spread_null_keys=True)
+    joined = left_join(joined, sap_mbew, [*extra, "MANDT", "MATNR", "BWKEY"], spread_null_keys=True)
+    joined = left_join(joined, sap_t001k, [*extra, "MANDT", "BWKEY"], spread_null_keys=True)
+    joined = left_join(joined, sap_t001, [*extra, "MANDT", "BUKRS"], spread_null_keys=True)
     return joined.select(*LOCAL_MATERIAL_COLUMNS, *extra)
 
 
@@ -119,10 +160,12 @@ def integration_process_order(
     require_named_dataframes(sap_afko=sap_afko, sap_afpo=sap_afpo, sap_aufk=sap_aufk, sap_mara=sap_mara)
     require_optional_dataframe(sap_cdpos, "sap_cdpos")
     extra = list(extra_keys)
-    joined = left_join(sap_afko, sap_afpo, [*extra, "AUFNR"])
+    # Items and change items are one-to-many (a hot order is possible): split right skew.
+    # MATNR and OBJNR come from the right side of earlier joins: spread their null keys.
+    joined = left_join(sap_afko, sap_afpo, [*extra, "AUFNR"], split_right_skew=True)
     joined = left_join(joined, sap_aufk, [*extra, "AUFNR"])
-    joined = left_join(joined, sap_mara, [*extra, "MATNR"])
+    joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True)
     if sap_cdpos is not None:
-        joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"])
+        joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, split_right_skew=True)
     return joined.withColumn("ZZGLTRP_ORIG", F.coalesce(F.col("ZZGLTRP_ORIG"), F.col("GLTRP")))
 

@@ -1,0 +1,23 @@
+"""The unified data sets and the end-to-end run."""
+
+from erpweave.plans.harmonize import PublishResult, harmonize_data, publish
+from erpweave.plans.pipelines import (
+    local_material_integrated,
+    process_local_material,
+    process_order_integrated,
+    process_process_order,
+    rename_local_material,
+    rename_process_order,
+)
+
+__all__ = [
+    "PublishResult",
+    "harmonize_data",
+    "local_material_integrated",
+    "process_local_material",
+    "process_order_integrated",
+    "process_process_order",
+    "publish",
+    "rename_local_material",
+    "rename_process_order",
+]

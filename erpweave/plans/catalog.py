@@ -255,15 +255,15 @@ def join_plant_material(spark, sf_dir):
 
 
 def join_branch(spark, sf_dir):
-    return left_join(join_plant_material(spark, sf_dir), _t001w_p(spark, sf_dir), ["MANDT", "WERKS"])
+    return left_join(join_plant_material(spark, sf_dir), _t001w_p(spark, sf_dir), ["MANDT", "WERKS"], spread_null_keys=True)
 
 
 def join_valuation(spark, sf_dir):
-    return left_join(join_branch(spark, sf_dir), _mbew_p(spark, sf_dir), ["MANDT", "MATNR", "BWKEY"])
+    return left_join(join_branch(spark, sf_dir), _mbew_p(spark, sf_dir), ["MANDT", "MATNR", "BWKEY"], spread_null_keys=True)
 
 
 def join_company_area(spark, sf_dir):
-    return left_join(join_valuation(spark, sf_dir), _t001k_p(spark, sf_dir), ["MANDT", "BWKEY"])
+    return left_join(join_valuation(spark, sf_dir), _t001k_p(spark, sf_dir), ["MANDT", "BWKEY"], spread_null_keys=True)
 
 
 def integrate_material(spark, sf_dir):
@@ -278,7 +278,7 @@ def integrate_material(spark, sf_dir):
 
 
 def join_header_item(spark, sf_dir):
-    return left_join(_afko_p(spark, sf_dir), _afpo_p(spark, sf_dir), "AUFNR")
+    return left_join(_afko_p(spark, sf_dir), _afpo_p(spark, sf_dir), "AUFNR", split_right_skew=True)
 
 
 def join_order_master(spark, sf_dir):

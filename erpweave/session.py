@@ -19,8 +19,10 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs one more shuffle downstream.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -41,11 +43,15 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app_name: str = "
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in recommended_conf(shuffle_partitions).items():
         builder = builder.config(key, value)
+    # Small local shuffles: let AQE keep one partition per core instead of merging them
+    # into 1 MB partitions (at cluster scale the advisory size decides anyway).
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

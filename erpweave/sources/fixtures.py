@@ -208,9 +208,14 @@ class TpchErpSources:
 
     sf_dir: str
     systems: list[str] = field(default_factory=lambda: list(SYSTEMS))
+    _tables: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def base(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        """The base table, read once per sources object (each read lists the file and
+        reads its footer; the systems' extracts then share the one relation)."""
+        if name not in self._tables:
+            self._tables[name] = spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        return self._tables[name]
 
     def load(self, spark: SparkSession, system: str, table: str) -> DataFrame:
         view = VIEWS[table]

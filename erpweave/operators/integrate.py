@@ -53,7 +53,8 @@ def union_systems(frames: Sequence[DataFrame], schema: StructType | None = None)
 def _spread_column(frame: DataFrame, keys: list[str], left_side: bool):
     if left_side:
         # Null-key rows get a hash of the whole row; all others 0.
-        return F.when(any_null(keys), F.xxhash64(*[F.col(c) for c in frame.columns])).otherwise(F.lit(0).cast("long"))
+        row = ", ".join("`" + c.replace("`", "``") + "`" for c in frame.columns)
+        return F.when(any_null(keys), F.expr(f"xxhash64({row})")).otherwise(F.lit(0).cast("long"))
     # The right side only carries 0 (its null-key rows -1), so a spread row finds no partner.
     return F.when(any_null(keys), F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
 

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType, StructType
 
 
-def _to(column: str, source: DataType, target: DataType) -> Column:
-    # try_cast: a value that does not fit (e.g. non-ISO date text) becomes null instead of
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _to(column: str, source: DataType, target: DataType) -> str:
+    # TRY_CAST: a value that does not fit (e.g. non-ISO date text) becomes null instead of
     # failing the whole query under ANSI mode.
-    c = F.col(column)
-    return c if source == target else c.try_cast(target)
+    name = _quoted(column)
+    return name if source == target else f"TRY_CAST({name} AS {target.simpleString()}) AS {name}"
 
 
 def conform(df: DataFrame, schema: StructType, allow_missing: bool = False, keep_extra: bool = False) -> DataFrame:
     """Select the schema's columns in its order, cast to its types (bad values -> null).
 
     A missing column raises ``ValueError`` unless ``allow_missing``, in which case it is
-    added as a typed null. With ``keep_extra`` the other columns follow unchanged.
+    added as a typed null. With ``keep_extra`` the other columns follow unchanged. The
+    projection is sent to the JVM as one list of SQL expressions.
     """
     present = {field.name: field.dataType for field in df.schema.fields}
     missing = [field.name for field in schema.fields if field.name not in present]
@@ -26,12 +30,12 @@ def conform(df: DataFrame, schema: StructType, allow_missing: bool = False, keep
         msg = f"Columns {missing} not found in DataFrame."
         raise ValueError(msg)
     columns = [
-        _to(field.name, present[field.name], field.dataType).alias(field.name)
+        _to(field.name, present[field.name], field.dataType)
         if field.name in present
-        else F.lit(None).cast(field.dataType).alias(field.name)
+        else f"CAST(NULL AS {field.dataType.simpleString()}) AS {_quoted(field.name)}"
         for field in schema.fields
     ]
     if keep_extra:
         wanted = {field.name for field in schema.fields}
-        columns += [F.col(name) for name in df.columns if name not in wanted]
-    return df.select(*columns)
+        columns += [_quoted(name) for name in df.columns if name not in wanted]
+    return df.selectExpr(*columns)

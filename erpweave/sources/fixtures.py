@@ -14,170 +14,148 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values of the fixture: system name -> (client, parity of the deciding key).
 SYSTEMS: dict[str, tuple[str, int]] = {"SYS1": ("100", 0), "SYS2": ("200", 1)}
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
-def _day(column: str) -> Column:
-    return F.col(column).cast("date")
-
-
-def _prefixed(prefix: str, column: str) -> Column:
-    return F.concat(F.lit(prefix), _text(column))
-
-
-def _system_of(key: str) -> Column:
-    return F.when(F.col(key) % 2 == 0, F.lit("SYS1")).otherwise(F.lit("SYS2"))
-
-
-def _client_of(key: str) -> Column:
-    return F.when(F.col(key) % 2 == 0, F.lit("100")).otherwise(F.lit("200"))
-
-
-def _deleted_line() -> Column:
-    return F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("X"))
-
-
-def _mara(base: DataFrame) -> DataFrame:
-    size3 = F.col("p_size") % 3
-    size10 = F.col("p_size") % 10
-    key11 = F.col("p_partkey") % 11
-    return base.select(
-        _system_of("p_partkey").alias("SOURCE_SYSTEM_ERP"),
-        _client_of("p_partkey").alias("MANDT"),
-        _text("p_partkey").alias("MATNR"),
-        F.when(size3 == 0, "EA").when(size3 == 1, "KG").otherwise("PC").alias("MEINS"),
-        F.when(F.col("p_partkey") % 5 != 0, F.concat(F.lit("G"), (F.col("p_partkey") % 500).cast("string"))).alias(
-            "ZZMDGM"
-        ),
-        F.when(size10 == 0, "ARCHIVE")
-        .when(size10 == 1, "DUPLICATE")
-        .when(size10 == 2, "RENUMBERED")
-        .when(size10 == 3, F.col("p_brand"))
-        .alias("BISMT"),
-        F.when(key11 == 0, "X").when(key11 == 1, "").when(key11 == 2, " ").alias("LVORM"),
-        F.col("p_retailprice").alias("NTGEW"),
-        F.col("p_type").alias("MTART"),
-    )
-
-
-def _marc(base: DataFrame) -> DataFrame:
-    return base.select(
-        _system_of("l_partkey").alias("SOURCE_SYSTEM_ERP"),
-        _text("l_partkey").alias("MATNR"),
-        _prefixed("W", "l_suppkey").alias("WERKS"),
-        _deleted_line().alias("LVORM"),
-    )
-
-
-def _mbew(base: DataFrame) -> DataFrame:
-    return base.select(
-        _client_of("l_partkey").alias("MANDT"),
-        _text("l_partkey").alias("MATNR"),
-        _prefixed("B", "l_suppkey").alias("BWKEY"),
-        F.when(F.col("l_linestatus") == "F", "S").otherwise("V").alias("VPRSV"),
-        F.col("l_extendedprice").alias("VERPR"),
-        F.col("l_quantity").alias("STPRS"),
-        F.lit(1.0).alias("PEINH"),
-        F.col("l_returnflag").alias("BKLAS"),
-        _deleted_line().alias("LVORM"),
-        F.when(F.col("l_linenumber") == 7, F.lit("001")).alias("BWTAR"),
-        _day("l_shipdate").alias("LAEPR"),
-    )
-
-
-def _t001w(base: DataFrame, client: str) -> DataFrame:
-    return base.select(
-        F.lit(client).alias("MANDT"),
-        _prefixed("W", "s_suppkey").alias("WERKS"),
-        _prefixed("B", "s_suppkey").alias("BWKEY"),
-        F.col("s_name").alias("NAME1"),
-    )
-
-
-def _t001k(base: DataFrame, client: str) -> DataFrame:
-    return base.select(
-        F.lit(client).alias("MANDT"),
-        _prefixed("B", "s_suppkey").alias("BWKEY"),
-        _prefixed("C", "s_nationkey").alias("BUKRS"),
-    )
-
-
-def _t001(base: DataFrame, client: str) -> DataFrame:
-    region = F.col("n_regionkey")
-    return base.select(
-        F.lit(client).alias("MANDT"),
-        _prefixed("C", "n_nationkey").alias("BUKRS"),
-        F.when(region == 1, "USD").when(region == 3, "EUR").otherwise("CNY").alias("WAERS"),
-    )
-
-
-def _afko(base: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    day = _day("o_orderdate")
-    status = F.col("o_orderstatus")
-    return base.select(
-        _system_of("o_orderkey").alias("SOURCE_SYSTEM_ERP"),
-        _client_of("o_orderkey").alias("MANDT"),
-        _text("o_orderkey").alias("AUFNR"),
-        F.when(key % 17 != 0, F.date_add(day, 30)).alias("GLTRP"),
-        F.when(key % 13 != 0, day).alias("GSTRP"),
-        F.date_add(day, 1).alias("FTRMS"),
-        F.when(status == "F", F.date_add(day, 28)).alias("GLTRS"),
-        F.when(status == "F", F.date_add(day, 3)).alias("GSTRS"),
-        F.when(key % 7 != 0, F.date_add(day, 2)).alias("GSTRI"),
-        F.when(status != "O", F.date_add(day, 25)).alias("GETRI"),
-        F.when(status == "F", F.date_add(day, 31)).alias("GLTRI"),
-        F.date_add(day, 4).alias("FTRMI"),
-        F.date_add(day, 29).alias("FTRMP"),
-        F.concat(F.lit("D"), (F.col("o_custkey") % 10).cast("string")).alias("DISPO"),
-        F.concat(F.lit("F"), (key % 4).cast("string")).alias("FEVOR"),
-        F.substring(F.col("o_orderpriority"), 1, 1).alias("PLGRP"),
-        F.lit("000").alias("FHORI"),
-        (key * 10).cast("string").alias("AUFPL"),
-    )
-
-
-def _afpo(base: DataFrame) -> DataFrame:
-    sales = F.col("l_returnflag") == "N"
-    return base.select(
-        _text("l_orderkey").alias("AUFNR"),
-        _text("l_linenumber").alias("POSNR"),
-        _prefixed("W", "l_suppkey").alias("DWERK"),
-        _text("l_partkey").alias("MATNR"),
-        F.lit("EA").alias("MEINS"),
-        F.when(sales, _prefixed("S", "l_orderkey")).alias("KDAUF"),
-        F.when(sales, _text("l_linenumber")).alias("KDPOS"),
-        F.when(~((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 1)), _day("l_shipdate")).alias("LTRMI"),
-    )
-
-
-def _aufk(base: DataFrame) -> DataFrame:
-    return base.select(
-        _text("o_orderkey").alias("AUFNR"),
-        _prefixed("OBJ", "o_orderkey").alias("OBJNR"),
-        _day("o_orderdate").alias("ERDAT"),
-        _prefixed("USER", "o_custkey").alias("ERNAM"),
-        F.col("o_orderpriority").alias("AUART"),
-        F.when(F.col("o_orderkey") % 3 != 0, F.date_add(_day("o_orderdate"), 20)).alias("ZZGLTRP_ORIG"),
-        F.col("o_orderstatus").alias("ZZPRO_TEXT"),
-    )
-
-
-def _cdpos(base: DataFrame) -> DataFrame:
-    """Change items: one per order that left the open status."""
-    return base.filter(F.col("o_orderstatus") != "O").select(
-        _prefixed("OBJ", "o_orderkey").alias("OBJNR"),
-        F.when(F.col("o_orderstatus") == "F", "U").otherwise("I").alias("CHNGIND"),
-        F.col("o_orderpriority").alias("VALUE_NEW"),
-    )
+def _system_of(key: str) -> str:
+    return f"CASE WHEN {key} % 2 = 0 THEN 'SYS1' ELSE 'SYS2' END"
+
+
+def _client_of(key: str) -> str:
+    return f"CASE WHEN {key} % 2 = 0 THEN '100' ELSE '200' END"
+
+
+def _prefixed(prefix: str, column: str) -> str:
+    return f"concat('{prefix}', CAST({column} AS STRING))"
+
+
+_DELETED_LINE = "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'X' END"
+
+# Each view is one projection of a base table, written as Spark SQL expressions so the
+# whole projection crosses to the JVM in one call.
+_MARA = [
+    f"{_system_of('p_partkey')} AS SOURCE_SYSTEM_ERP",
+    f"{_client_of('p_partkey')} AS MANDT",
+    "CAST(p_partkey AS STRING) AS MATNR",
+    "CASE p_size % 3 WHEN 0 THEN 'EA' WHEN 1 THEN 'KG' ELSE 'PC' END AS MEINS",
+    "CASE WHEN p_partkey % 5 <> 0 THEN concat('G', CAST(p_partkey % 500 AS STRING)) END AS ZZMDGM",
+    "CASE p_size % 10 WHEN 0 THEN 'ARCHIVE' WHEN 1 THEN 'DUPLICATE' WHEN 2 THEN 'RENUMBERED' WHEN 3 THEN p_brand END"
+    " AS BISMT",
+    "CASE p_partkey % 11 WHEN 0 THEN 'X' WHEN 1 THEN '' WHEN 2 THEN ' ' END AS LVORM",
+    "p_retailprice AS NTGEW",
+    "p_type AS MTART",
+]
+
+_MARC = [
+    f"{_system_of('l_partkey')} AS SOURCE_SYSTEM_ERP",
+    "CAST(l_partkey AS STRING) AS MATNR",
+    f"{_prefixed('W', 'l_suppkey')} AS WERKS",
+    f"{_DELETED_LINE} AS LVORM",
+]
+
+_MBEW = [
+    f"{_client_of('l_partkey')} AS MANDT",
+    "CAST(l_partkey AS STRING) AS MATNR",
+    f"{_prefixed('B', 'l_suppkey')} AS BWKEY",
+    "CASE WHEN l_linestatus = 'F' THEN 'S' ELSE 'V' END AS VPRSV",
+    "l_extendedprice AS VERPR",
+    "l_quantity AS STPRS",
+    "CAST(1.0 AS DOUBLE) AS PEINH",
+    "l_returnflag AS BKLAS",
+    f"{_DELETED_LINE} AS LVORM",
+    "CASE WHEN l_linenumber = 7 THEN '001' END AS BWTAR",
+    "CAST(l_shipdate AS DATE) AS LAEPR",
+]
+
+
+def _t001w(client: str) -> list[str]:
+    return [
+        f"'{client}' AS MANDT",
+        f"{_prefixed('W', 's_suppkey')} AS WERKS",
+        f"{_prefixed('B', 's_suppkey')} AS BWKEY",
+        "s_name AS NAME1",
+    ]
+
+
+def _t001k(client: str) -> list[str]:
+    return [f"'{client}' AS MANDT", f"{_prefixed('B', 's_suppkey')} AS BWKEY", f"{_prefixed('C', 's_nationkey')} AS BUKRS"]
+
+
+def _t001(client: str) -> list[str]:
+    return [
+        f"'{client}' AS MANDT",
+        f"{_prefixed('C', 'n_nationkey')} AS BUKRS",
+        "CASE n_regionkey WHEN 1 THEN 'USD' WHEN 3 THEN 'EUR' ELSE 'CNY' END AS WAERS",
+    ]
+
+
+_DAY = "CAST(o_orderdate AS DATE)"
+
+_AFKO = [
+    f"{_system_of('o_orderkey')} AS SOURCE_SYSTEM_ERP",
+    f"{_client_of('o_orderkey')} AS MANDT",
+    "CAST(o_orderkey AS STRING) AS AUFNR",
+    f"CASE WHEN o_orderkey % 17 <> 0 THEN date_add({_DAY}, 30) END AS GLTRP",
+    f"CASE WHEN o_orderkey % 13 <> 0 THEN {_DAY} END AS GSTRP",
+    f"date_add({_DAY}, 1) AS FTRMS",
+    f"CASE WHEN o_orderstatus = 'F' THEN date_add({_DAY}, 28) END AS GLTRS",
+    f"CASE WHEN o_orderstatus = 'F' THEN date_add({_DAY}, 3) END AS GSTRS",
+    f"CASE WHEN o_orderkey % 7 <> 0 THEN date_add({_DAY}, 2) END AS GSTRI",
+    f"CASE WHEN o_orderstatus <> 'O' THEN date_add({_DAY}, 25) END AS GETRI",
+    f"CASE WHEN o_orderstatus = 'F' THEN date_add({_DAY}, 31) END AS GLTRI",
+    f"date_add({_DAY}, 4) AS FTRMI",
+    f"date_add({_DAY}, 29) AS FTRMP",
+    "concat('D', CAST(o_custkey % 10 AS STRING)) AS DISPO",
+    "concat('F', CAST(o_orderkey % 4 AS STRING)) AS FEVOR",
+    "substring(o_orderpriority, 1, 1) AS PLGRP",
+    "'000' AS FHORI",
+    "CAST(o_orderkey * 10 AS STRING) AS AUFPL",
+]
+
+_AFPO = [
+    "CAST(l_orderkey AS STRING) AS AUFNR",
+    "CAST(l_linenumber AS STRING) AS POSNR",
+    f"{_prefixed('W', 'l_suppkey')} AS DWERK",
+    "CAST(l_partkey AS STRING) AS MATNR",
+    "'EA' AS MEINS",
+    f"CASE WHEN l_returnflag = 'N' THEN {_prefixed('S', 'l_orderkey')} END AS KDAUF",
+    "CASE WHEN l_returnflag = 'N' THEN CAST(l_linenumber AS STRING) END AS KDPOS",
+    "CASE WHEN NOT (l_linestatus = 'O' AND l_linenumber = 1) THEN CAST(l_shipdate AS DATE) END AS LTRMI",
+]
+
+_AUFK = [
+    "CAST(o_orderkey AS STRING) AS AUFNR",
+    f"{_prefixed('OBJ', 'o_orderkey')} AS OBJNR",
+    f"{_DAY} AS ERDAT",
+    f"{_prefixed('USER', 'o_custkey')} AS ERNAM",
+    "o_orderpriority AS AUART",
+    f"CASE WHEN o_orderkey % 3 <> 0 THEN date_add({_DAY}, 20) END AS ZZGLTRP_ORIG",
+    "o_orderstatus AS ZZPRO_TEXT",
+]
+
+# Change items: one per order that left the open status.
+_CDPOS = [
+    f"{_prefixed('OBJ', 'o_orderkey')} AS OBJNR",
+    "CASE WHEN o_orderstatus = 'F' THEN 'U' ELSE 'I' END AS CHNGIND",
+    "o_orderpriority AS VALUE_NEW",
+]
+
+
+def _projection(columns: list[str], where: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    def build(base: DataFrame) -> DataFrame:
+        return (base.filter(where) if where else base).selectExpr(*columns)
+
+    return build
+
+
+def _per_client(columns: Callable[[str], list[str]]) -> Callable[[DataFrame, str], DataFrame]:
+    def build(base: DataFrame, client: str) -> DataFrame:
+        return base.selectExpr(*columns(client))
+
+    return build
 
 
 @dataclass(frozen=True)
@@ -189,16 +167,16 @@ class _View:
 
 
 VIEWS: dict[str, _View] = {
-    "MARA": _View("part", _mara, "p_partkey"),
-    "MARC": _View("lineitem", _marc, "l_partkey"),
-    "MBEW": _View("lineitem", _mbew, "l_partkey"),
-    "T001W": _View("supplier", _t001w, None),
-    "T001K": _View("supplier", _t001k, None),
-    "T001": _View("nation", _t001, None),
-    "AFKO": _View("orders", _afko, "o_orderkey"),
-    "AFPO": _View("lineitem", _afpo, "l_orderkey"),
-    "AUFK": _View("orders", _aufk, "o_orderkey"),
-    "CDPOS": _View("orders", _cdpos, "o_orderkey"),
+    "MARA": _View("part", _projection(_MARA), "p_partkey"),
+    "MARC": _View("lineitem", _projection(_MARC), "l_partkey"),
+    "MBEW": _View("lineitem", _projection(_MBEW), "l_partkey"),
+    "T001W": _View("supplier", _per_client(_t001w), None),
+    "T001K": _View("supplier", _per_client(_t001k), None),
+    "T001": _View("nation", _per_client(_t001), None),
+    "AFKO": _View("orders", _projection(_AFKO), "o_orderkey"),
+    "AFPO": _View("lineitem", _projection(_AFPO), "l_orderkey"),
+    "AUFK": _View("orders", _projection(_AUFK), "o_orderkey"),
+    "CDPOS": _View("orders", _projection(_CDPOS, "o_orderstatus <> 'O'"), "o_orderkey"),
 }
 
 
@@ -223,7 +201,7 @@ class TpchErpSources:
         base = self.base(spark, view.base)
         if view.system_key is None:
             return view.build(base, client)
-        return view.build(base.filter(F.col(view.system_key) % 2 == parity))
+        return view.build(base.filter(f"{view.system_key} % 2 = {parity}"))
 
     def view(self, spark: SparkSession, table: str) -> DataFrame:
         """All systems of one table (no split)."""

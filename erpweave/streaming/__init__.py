@@ -1,0 +1,5 @@
+"""Incremental runs of the unification operators with Structured Streaming."""
+
+from erpweave.streaming.micro_batch import run_micro_batches, stream_process_orders
+
+__all__ = ["run_micro_batches", "stream_process_orders"]

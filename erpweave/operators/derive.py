@@ -49,22 +49,24 @@ def post_prep_local_material(
     order_by: Sequence[Column] | None = None,
     count_duplicates: bool = False,
 ) -> DataFrame:
-    """Keys, ``mtl_plant_emd``, ``global_mtl_id``, then one row per (system, material, plant).
+    """One row per (system, material, plant), then keys, ``mtl_plant_emd``, ``global_mtl_id``.
 
     ``mtl_plant_emd`` is ``WERKS-NAME1`` (a null name leaves the plant alone) and
-    ``global_mtl_id`` the global number, else the material number. With
-    ``count_duplicates`` the rows sharing a grain key are counted in ``no_of_duplicates``.
+    ``global_mtl_id`` the global number, else the material number. The derived columns
+    are functions of the surviving row, so they are added after the de-duplication: the
+    window's shuffle carries only the input columns. With ``count_duplicates`` the rows
+    sharing a grain key are counted in ``no_of_duplicates``.
     """
-    derived = derive_intra_and_inter_primary_key(df).withColumns(
+    order = list(order_by) if order_by is not None else material_dedup_order(df.columns)
+    if count_duplicates:
+        df = with_duplicate_count(df, MATERIAL_GRAIN)
+    survivors = latest_per_key(df, MATERIAL_GRAIN, order)
+    return derive_intra_and_inter_primary_key(survivors).withColumns(
         {
             "mtl_plant_emd": F.concat_ws("-", F.col("WERKS"), F.col("NAME1")),
             "global_mtl_id": F.coalesce(F.col("GLOBAL_MATERIAL_NUMBER"), F.col("MATNR")),
         }
     )
-    order = list(order_by) if order_by is not None else material_dedup_order(df.columns)
-    if count_duplicates:
-        derived = with_duplicate_count(derived, MATERIAL_GRAIN)
-    return latest_per_key(derived, MATERIAL_GRAIN, order)
 
 
 def derive_order_keys(df: DataFrame) -> DataFrame:

@@ -37,7 +37,12 @@ def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     return conf
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app_name: str = "erpweave") -> SparkSession:
+def local_session(
+    cores: int = 8,
+    shuffle_partitions: int = 8,
+    app_name: str = "erpweave",
+    extra_conf: dict[str, str] | None = None,
+) -> SparkSession:
     """Build (or return) a local session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -52,6 +57,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app_name: str = "
     # Small local shuffles: let AQE keep one partition per core instead of merging them
     # into 1 MB partitions (at cluster scale the advisory size decides anyway).
     builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -61,7 +68,10 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     directory = spark.conf.get("spark.checkpoint.dir", None)
     if directory:
         return directory
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
+        return None
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -74,12 +84,16 @@ def work_dir(spark: SparkSession) -> str:
     directory = _configured_checkpoint_dir(spark)
     if directory:
         return directory.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not str(spark.conf.get("spark.master", "")).startswith("local"):
         msg = "spark.checkpoint.dir must name a shared folder on a cluster"
         raise RuntimeError(msg)
     directory = tempfile.mkdtemp(prefix="erpweave-")
-    spark.sparkContext.setCheckpointDir(directory)
-    return _configured_checkpoint_dir(spark).rstrip("/")
+    try:
+        spark.sparkContext.setCheckpointDir(directory)
+        return _configured_checkpoint_dir(spark).rstrip("/")
+    except Exception:  # noqa: BLE001 - Spark Connect: keep the folder for this process
+        spark.conf.set("spark.checkpoint.dir", directory)
+        return directory
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -67,3 +67,18 @@ def test_plan_is_jvm_only_pruned_and_parallel(spark, name):
     assert "SinglePartition" not in plan
     # Only the columns the pipeline uses are read: lineitem has 11 columns.
     assert "l_tax" not in plan and "l_discount" not in plan
+
+
+def test_isolated_systems_only_match_their_own_materials(spark):
+    from pyspark.sql import functions as F
+
+    from erpweave.plans import process_process_order
+
+    src = TpchErpSources(SF_SMALL)
+    shared = process_process_order(spark, src, as_of=AS_OF, mask=False)
+    isolated = process_process_order(spark, src, as_of=AS_OF, mask=False, isolate_systems=True)
+    assert isolated.count() == shared.count()
+    # Items whose material number belongs to the other system keep no material data.
+    cross = F.col("SOURCE_SYSTEM_ERP") != F.when(F.col("MATNR").cast("long") % 2 == 0, "SYS1").otherwise("SYS2")
+    assert isolated.filter(cross & F.col("MTART").isNotNull()).count() == 0
+    assert shared.filter(cross & F.col("MTART").isNotNull()).count() > 0

@@ -46,10 +46,6 @@ def _prepared(frame: DataFrame, table: str, system: str, isolate: bool, extra: S
     return out.withColumn(SYSTEM_TAG, F.lit(system)) if isolate else out
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return union_systems(frames)
-
-
 def local_material_integrated(
     spark: SparkSession,
     sources: Sources,
@@ -83,7 +79,7 @@ def local_material_integrated(
         }
         for table, frame in prepared.items():
             tables[table].append(_prepared(frame, table, system, isolate_systems, extra if table == "MARC" else ()))
-    union = {table: _union(frames) for table, frames in tables.items()}
+    union = {table: union_systems(frames) for table, frames in tables.items()}
     integrated = integration_local_material(
         union["MARA"],
         union["MBEW"],
@@ -148,13 +144,13 @@ def process_order_integrated(
         if with_changes:
             cdpos = load("CDPOS")
             changes.append(cdpos.withColumn(SYSTEM_TAG, F.lit(system)) if isolate_systems else cdpos)
-    union = {table: _union(frames) for table, frames in tables.items()}
+    union = {table: union_systems(frames) for table, frames in tables.items()}
     integrated = integration_process_order(
         union["AFKO"],
         union["AFPO"],
         union["AUFK"],
         union["MARA_ORDER"],
-        _union(changes) if with_changes else None,
+        union_systems(changes) if with_changes else None,
         extra_keys=[SYSTEM_TAG] if isolate_systems else (),
     )
     return integrated.drop(SYSTEM_TAG)

@@ -8,6 +8,6 @@ plans and codegens the whole job.
 """
 
 from erpweave import contracts
-from erpweave.session import work_dir
+from erpweave.session import apply_recommended_conf, recommended_conf, work_dir
 
-__all__ = ["contracts", "work_dir"]
+__all__ = ["apply_recommended_conf", "contracts", "recommended_conf", "work_dir"]

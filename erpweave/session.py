@@ -37,6 +37,16 @@ def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     return conf
 
 
+def apply_recommended_conf(spark: SparkSession, shuffle_partitions: int | None = None) -> None:
+    """Set the recommended SQL settings on an existing session (all are runtime settings).
+
+    Call it once on the cluster's session before building plans; it only touches the
+    ``spark.sql.*`` settings listed in ``RECOMMENDED_CONF``.
+    """
+    for key, value in recommended_conf(shuffle_partitions).items():
+        spark.conf.set(key, value)
+
+
 def local_session(
     cores: int = 8,
     shuffle_partitions: int = 8,

@@ -62,3 +62,12 @@ def test_write_partitioned_parquet_and_single_file_csv(spark):
     write_table(df, f"{out}/c", fmt="csv", single_file=True)
     assert len(list(Path(f"{out}/c").glob("part-*.csv"))) == 1
     assert rows(read_csv_typed(spark, f"{out}/c", C.struct(("v", C.I32))), "v") == [(1,), (2,), (3,)]
+
+
+def test_recommended_conf_applies_to_a_running_session(spark):
+    from erpweave import apply_recommended_conf, recommended_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_recommended_conf(spark, shuffle_partitions=int(before))
+    for key, value in recommended_conf().items():
+        assert spark.conf.get(key) == value

@@ -397,6 +397,7 @@ _QUERIES_SQL: dict[str, str] = {
     "order_timestamps": f"""
         SELECT {_PO_KEYS}, LTRMI, GSTRI, order_finish_timestamp, order_start_timestamp FROM po_post""",
     "post_order": "SELECT * FROM po_post",
+    "derive_order": "SELECT * FROM po_post",
     "month_start_dates": "SELECT AUFNR, GSTRP, GLTRP, start_date, finish_date FROM afko_p",
     "mask_columns": "SELECT * REPLACE (sha256(OBJNR) AS OBJNR, sha256(ERNAM) AS ERNAM) FROM aufk",
     "material_masked": """
@@ -408,6 +409,9 @@ _QUERIES_SQL: dict[str, str] = {
                           sha256(primary_key_inter) AS primary_key_inter,
                           sha256(GLOBAL_MATERIAL_NUMBER) AS GLOBAL_MATERIAL_NUMBER)
         FROM po""",
+    # C
+    "material_contract": "SELECT * FROM lm",
+    "order_contract": "SELECT * FROM po",
     # Z
     "local_material": "SELECT * FROM lm",
     "process_order": "SELECT * FROM po",

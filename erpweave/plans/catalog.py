@@ -389,6 +389,48 @@ def mask_columns(spark, sf_dir):
     return mask_sensitive_columns(_view(spark, sf_dir, "AUFK"), ["OBJNR", "ERNAM"])
 
 
+def derive_order(spark, sf_dir):
+    """Order derivations on rows whose dates arrive as text: P5 re-casts them first."""
+    joined = _po_joined(spark, sf_dir)
+    as_text = {c: F.col(c).cast("string") for c in ("ZZGLTRP_ORIG", "LTRMI", "GSTRI")}
+    return post_prep_process_order(joined.withColumns(as_text))
+
+
+# --- C: contracts ----------------------------------------------------------------------
+
+
+class _DriftedSources:
+    """The fixture with the second system delivering some columns in other types, as an
+    extract read with inferred types would (numbers for ids and units, text for dates)."""
+
+    def __init__(self, sf_dir: str) -> None:
+        self.inner = _src(sf_dir)
+        self.systems = self.inner.systems
+
+    def load(self, spark: SparkSession, system: str, table: str) -> DataFrame:
+        df = self.inner.load(spark, system, table)
+        if system != self.systems[-1]:
+            return df
+        drift = {
+            "MBEW": {"PEINH": "int", "LAEPR": "string"},
+            "MARA": {"NTGEW": "decimal(12,2)"},
+            "AFKO": {c: "string" for c in C.ORDER_HEADER_DATES},
+            "AFPO": {"POSNR": "int", "LTRMI": "string"},
+            "AUFK": {"ERDAT": "string", "ZZGLTRP_ORIG": "string"},
+        }.get(table, {})
+        return df.withColumns({c: F.col(c).cast(t) for c, t in drift.items()})
+
+
+def material_contract(spark, sf_dir):
+    """Local material from type-drifted extracts: conformed back to the 19-column contract."""
+    return process_local_material(spark, _DriftedSources(sf_dir))
+
+
+def order_contract(spark, sf_dir):
+    """Process order from type-drifted extracts: conformed back to the 44-column contract."""
+    return process_process_order(spark, _DriftedSources(sf_dir), as_of=AS_OF)
+
+
 # --- Z: pipelines ----------------------------------------------------------------------
 
 
@@ -479,10 +521,14 @@ QUERIES: dict[str, Query] = {
     "mto_mts": _po_columns("KDAUF", "mto_vs_mts_flag"),
     "order_timestamps": _po_columns("LTRMI", "GSTRI", "order_finish_timestamp", "order_start_timestamp"),
     "post_order": post_order,
+    "derive_order": derive_order,
     "month_start_dates": month_start_dates,
     "mask_columns": mask_columns,
     "material_masked": material_masked,
     "order_masked": order_masked,
+    # C: contracts
+    "material_contract": material_contract,
+    "order_contract": order_contract,
     # Z: pipelines
     "local_material": local_material,
     "process_order": process_order,

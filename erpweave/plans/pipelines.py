@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from erpweave import contracts as C
 from erpweave.operators import (
+    check_columns_unique,
     check_schema,
     integration_local_material,
     integration_process_order,
@@ -99,12 +100,16 @@ def process_local_material(
     mask_derived: bool = False,
     mask_salt: str | None = None,
     count_duplicates: bool = False,
+    check_keys: bool = False,
     **options,
 ) -> DataFrame:
     """Local material: one row per (system, material, plant), 19 contract columns.
 
     ``options`` go to :func:`local_material_integrated`. ``mask_derived`` also hashes the
     keys and ``global_mtl_id``, which otherwise keep the raw material number.
+    ``check_keys`` runs the raising uniqueness check of both keys right away (one extra
+    job over the key columns); :func:`erpweave.plans.harmonize_data` instead checks the
+    written output without evaluating the plan twice.
     """
     integrated = local_material_integrated(spark, sources, **options)
     result = post_prep_local_material(integrated, count_duplicates=count_duplicates)
@@ -115,6 +120,8 @@ def process_local_material(
         result = mask_sensitive_columns(result, masked, mask_salt)
     if not count_duplicates:
         check_schema(result, C.LOCAL_MATERIAL_CONTRACT)
+    if check_keys:
+        check_columns_unique(result, C.PRIMARY_KEYS)
     return result
 
 
@@ -162,9 +169,13 @@ def process_process_order(
     mask: bool = True,
     mask_derived: bool = False,
     mask_salt: str | None = None,
+    check_keys: bool = False,
     **options,
 ) -> DataFrame:
-    """Process order: one row per order item (grain not enforced), 44 contract columns."""
+    """Process order: one row per order item (grain not enforced), 44 contract columns.
+
+    ``check_keys`` as for :func:`process_local_material`.
+    """
     integrated = process_order_integrated(spark, sources, **options)
     result = post_prep_process_order(integrated, options.get("date_formats"))
     result = result.select(*C.names(C.PROCESS_ORDER_CONTRACT))
@@ -172,6 +183,8 @@ def process_process_order(
         masked = C.PROCESS_ORDER_MASKED + (C.PROCESS_ORDER_DERIVED_IDS if mask_derived else [])
         result = mask_sensitive_columns(result, masked, mask_salt)
     check_schema(result, C.PROCESS_ORDER_CONTRACT)
+    if check_keys:
+        check_columns_unique(result, C.PRIMARY_KEYS)
     return result
 
 

@@ -82,3 +82,12 @@ def test_isolated_systems_only_match_their_own_materials(spark):
     cross = F.col("SOURCE_SYSTEM_ERP") != F.when(F.col("MATNR").cast("long") % 2 == 0, "SYS1").otherwise("SYS2")
     assert isolated.filter(cross & F.col("MTART").isNotNull()).count() == 0
     assert shared.filter(cross & F.col("MTART").isNotNull()).count() > 0
+
+
+def test_pipelines_can_check_keys_right_away(spark):
+    from erpweave.plans import process_local_material, process_process_order
+
+    src = TpchErpSources(SF_SMALL)
+    assert process_local_material(spark, src, check_keys=True).count() > 0
+    with pytest.raises(ValueError, match="Column 'primary_key_intra' is not unique"):
+        process_process_order(spark, src, as_of=AS_OF, check_keys=True)

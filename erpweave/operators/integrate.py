@@ -12,12 +12,17 @@ Two kinds of hot groups are handled explicitly:
   filtered out). Such rows can never match, but a hash shuffle sends all of them to one
   reducer. ``spread_null_keys`` gives them an extra join key (a hash of the row) that the
   right side never carries: the result is unchanged and the rows spread over all reducers.
-* A hot key on the right side of a one-to-many join (one order with a third of all
-  items). AQE can split a skewed partition of the preserved (left) side of a left join, but
-  not of the other side. ``split_right_skew`` therefore writes ``L LEFT JOIN R`` as
-  ``(L INNER JOIN R) UNION ALL (L ANTI JOIN distinct keys of R)``: AQE may split either
-  side of the inner join, and the distinct keys are pre-aggregated map-side, so a hot key
-  costs one row per map task in the anti join.
+* Hot right-side keys (one order with a third of all items, or many copies of one
+  material row). AQE can split a skewed partition of the preserved (left) side of a left
+  join but not of the other side. ``split_right_skew`` therefore counts the right side's
+  keys first (partial aggregation, so a hot key costs one row per map task) and keeps the
+  keys with more than ``hot_key_rows`` rows. That set has at most |right| / hot_key_rows
+  keys, so broadcasting it is bounded. Cold keys take the ordinary join (the hot-key set is
+  applied as broadcast anti-join filters: no shuffle). Hot keys take a salted inner join:
+  their right rows are hashed into ceil(count / hot_key_rows) buckets and their left rows
+  are replicated once per bucket, so no task receives more than about ``hot_key_rows``
+  right rows of one key. A left row with a hot key always has partners, so the inner join
+  loses nothing. When no key is hot, AQE drops the empty hot branch at run time.
 """
 
 from __future__ import annotations
@@ -68,32 +73,59 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread:
     return joined.drop(_SPREAD)
 
 
+HOT_KEY_ROWS = 1_000_000
+_BUCKETS = "__erpweave_buckets"
+_SALT = "__erpweave_salt"
+
+
+def hot_keys(right: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys with more than ``hot_key_rows`` right rows, with their bucket count."""
+    counted = (
+        right.select(*keys)
+        .filter(~any_null(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .filter(F.col("__rows") > hot_key_rows)
+    )
+    return counted.select(*keys, F.ceil(F.col("__rows") / F.lit(hot_key_rows)).cast("int").alias(_BUCKETS))
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
     on: str | Sequence[str],
     spread_null_keys: bool = False,
     split_right_skew: bool = False,
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (on)``: keys first, then left's and right's other columns.
 
     ``spread_null_keys``: use when the left keys may be null (e.g. they come from an
     earlier outer join). ``split_right_skew``: use when one key may hold a large share of
-    the right side's rows (one-to-many joins).
+    the right side's rows (one-to-many joins, copies); see the module notes.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not split_right_skew:
         return _join(left, right, keys, "left", spread_null_keys)
-    # Null keys never match, so the inner join drops them before its shuffle.
-    matched = left.join(right, on=keys, how="inner")
-    unmatched = _join(left, right.select(*keys).dropDuplicates(), keys, "left_anti", spread_null_keys)
-    right_fields = [f for f in right.schema.fields if f.name not in keys]
-    unmatched = unmatched.select(
-        *keys,
-        *[c for c in left.columns if c not in keys],
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in right_fields],
+    # Bounded by construction: at most |right| / hot_key_rows keys.
+    hot = F.broadcast(hot_keys(right, keys, hot_key_rows))
+    hot_keys_only = hot.select(*keys)
+    cold = _join(
+        left.join(hot_keys_only, on=keys, how="left_anti"),
+        right.join(hot_keys_only, on=keys, how="left_anti"),
+        keys,
+        "left",
+        spread_null_keys,
+    )
+    left_hot = left.join(hot, on=keys, how="inner").withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.col(_BUCKETS) - 1))
+    )
+    row = ", ".join("`" + c.replace("`", "``") + "`" for c in right.columns)
+    right_hot = right.join(hot, on=keys, how="inner").withColumn(
+        _SALT, F.pmod(F.expr(f"xxhash64({row})"), F.col(_BUCKETS)).cast("int")
     )
-    return matched.unionByName(unmatched)
+    matched_hot = left_hot.drop(_BUCKETS).join(right_hot.drop(_BUCKETS), on=[*keys, _SALT], how="inner").drop(_SALT)
+    return cold.unionByName(matched_hot)
 
 
 LOCAL_MATERIAL_COLUMNS = [
@@ -123,6 +155,7 @@ def integration_local_material(
     sap_t001w: DataFrame,
     sap_t001: DataFrame,
     extra_keys: Sequence[str] = (),
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Plant materials with material, plant, valuation, area and company data.
 
@@ -135,9 +168,11 @@ def integration_local_material(
         sap_mara=sap_mara, sap_mbew=sap_mbew, sap_marc=sap_marc, sap_t001k=sap_t001k, sap_t001w=sap_t001w, sap_t001=sap_t001
     )
     extra = list(extra_keys)
-    # MARA holds one row per material and system, so J1 has no hot right-side key. MANDT,
-    # BWKEY and BUKRS come from the right side of earlier joins: spread their null keys.
-    joined = left_join(sap_marc, sap_mara, [*extra, "MATNR"])
+    # MARA is large and may hold copies of a material: split its hot keys. MANDT, BWKEY
+    # and BUKRS come from the right side of earlier joins: spread their null keys. MBEW has
+    # at most one row per material, area and system after its top-1, and plants, areas and
+    # company codes are organisational tables that do not grow with the transactions.
+    joined = left_join(sap_marc, sap_mara, [*extra, "MATNR"], split_right_skew=True, hot_key_rows=hot_key_rows)
     joined = left_join(joined, sap_t001w, [*extra, "MANDT", "WERKS"], spread_null_keys=True)
     joined = left_join(joined, sap_mbew, [*extra, "MANDT", "MATNR", "BWKEY"], spread_null_keys=True)
     joined = left_join(joined, sap_t001k, [*extra, "MANDT", "BWKEY"], spread_null_keys=True)
@@ -152,6 +187,7 @@ def integration_process_order(
     sap_mara: DataFrame,
     sap_cdpos: DataFrame | None = None,
     extra_keys: Sequence[str] = (),
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Order headers with items, order master, material and (optionally) change items.
 
@@ -161,12 +197,14 @@ def integration_process_order(
     require_named_dataframes(sap_afko=sap_afko, sap_afpo=sap_afpo, sap_aufk=sap_aufk, sap_mara=sap_mara)
     require_optional_dataframe(sap_cdpos, "sap_cdpos")
     extra = list(extra_keys)
-    # Items and change items are one-to-many (a hot order is possible): split right skew.
-    # MATNR and OBJNR come from the right side of earlier joins: spread their null keys.
-    joined = left_join(sap_afko, sap_afpo, [*extra, "AUFNR"], split_right_skew=True)
-    joined = left_join(joined, sap_aufk, [*extra, "AUFNR"])
-    joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True)
+    # Items, order masters, materials and change items are large right sides that may hold
+    # a hot key (one order with most items, copies): split it. MATNR and OBJNR come from the
+    # right side of earlier joins: spread their null keys.
+    hot = {"split_right_skew": True, "hot_key_rows": hot_key_rows}
+    joined = left_join(sap_afko, sap_afpo, [*extra, "AUFNR"], **hot)
+    joined = left_join(joined, sap_aufk, [*extra, "AUFNR"], **hot)
+    joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True, **hot)
     if sap_cdpos is not None:
-        joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, split_right_skew=True)
+        joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, **hot)
     return joined.withColumn("ZZGLTRP_ORIG", F.coalesce(F.col("ZZGLTRP_ORIG"), F.col("GLTRP")))
 

@@ -157,8 +157,8 @@ def test_post_prep_keeps_first_row_in_a_fixed_order(spark):
 
 
 @pytest.mark.parametrize("spread", [False, True])
-@pytest.mark.parametrize("split", [False, True])
-def test_left_join_variants_equal_plain_left_join(spark, spread, split):
+@pytest.mark.parametrize(("split", "hot_rows"), [(False, None), (True, 1_000_000), (True, 5)])
+def test_left_join_variants_equal_plain_left_join(spark, spread, split, hot_rows):
     rnd = random.Random(7)
     left = [(rnd.choice([None, "a", "b", "c"]), rnd.choice([None, "x", "y"]), i) for i in range(300)]
     right = [(rnd.choice([None, "a", "b", "d"]), rnd.choice([None, "x", "y"]), f"r{i}") for i in range(60)]
@@ -166,7 +166,8 @@ def test_left_join_variants_equal_plain_left_join(spark, spread, split):
     lf = spark.createDataFrame(left, "k1 STRING, k2 STRING, v INT")
     rf = spark.createDataFrame(right, "k1 STRING, k2 STRING, w STRING")
     plain = lf.join(rf, ["k1", "k2"], "left")
-    variant = left_join(lf, rf, ["k1", "k2"], spread_null_keys=spread, split_right_skew=split)
+    kwargs = {"hot_key_rows": hot_rows} if hot_rows else {}
+    variant = left_join(lf, rf, ["k1", "k2"], spread_null_keys=spread, split_right_skew=split, **kwargs)
     assert variant.columns == plain.columns
     assert rows(variant) == rows(plain)
 

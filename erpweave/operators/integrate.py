@@ -17,12 +17,13 @@ Two kinds of hot groups are handled explicitly:
   join but not of the other side. ``split_right_skew`` therefore counts the right side's
   keys first (partial aggregation, so a hot key costs one row per map task) and keeps the
   keys with more than ``hot_key_rows`` rows. That set has at most |right| / hot_key_rows
-  keys, so broadcasting it is bounded. Cold keys take the ordinary join (the hot-key set is
-  applied as broadcast anti-join filters: no shuffle). Hot keys take a salted inner join:
-  their right rows are hashed into ceil(count / hot_key_rows) buckets and their left rows
-  are replicated once per bucket, so no task receives more than about ``hot_key_rows``
-  right rows of one key. A left row with a hot key always has partners, so the inner join
-  loses nothing. When no key is hot, AQE drops the empty hot branch at run time.
+  keys, so broadcasting it is bounded; both sides are tagged with it by broadcast joins
+  (no shuffle). A hot key's right rows are hashed into ceil(count / hot_key_rows) salt
+  buckets and its left rows are replicated once per bucket; cold keys keep salt 0. One
+  left join on (keys, salt) then gives no task more than about ``hot_key_rows`` right rows
+  of one key. A hot key always has partners, so the replicated copies that met an empty
+  bucket are dropped by a marker column; cold rows keep left-join semantics. Each input
+  is read once.
 """
 
 from __future__ import annotations
@@ -76,6 +77,7 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread:
 HOT_KEY_ROWS = 1_000_000
 _BUCKETS = "__erpweave_buckets"
 _SALT = "__erpweave_salt"
+_MATCHED = "__erpweave_matched"
 
 
 def hot_keys(right: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -109,23 +111,28 @@ def left_join(
         return _join(left, right, keys, "left", spread_null_keys)
     # Bounded by construction: at most |right| / hot_key_rows keys.
     hot = F.broadcast(hot_keys(right, keys, hot_key_rows))
-    hot_keys_only = hot.select(*keys)
-    cold = _join(
-        left.join(hot_keys_only, on=keys, how="left_anti"),
-        right.join(hot_keys_only, on=keys, how="left_anti"),
-        keys,
-        "left",
-        spread_null_keys,
-    )
-    left_hot = left.join(hot, on=keys, how="inner").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.col(_BUCKETS) - 1))
+    buckets = F.col(_BUCKETS)
+    # Each left row once per bucket of its key (cold keys: one copy with salt 0).
+    salted_left = left.join(hot, on=keys, how="left").withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(buckets, F.lit(1)) - 1))
     )
+    # Each right row in one bucket of its key, picked by a hash of the row; a marker
+    # tells matched output rows from unmatched ones.
     row = ", ".join("`" + c.replace("`", "``") + "`" for c in right.columns)
-    right_hot = right.join(hot, on=keys, how="inner").withColumn(
-        _SALT, F.pmod(F.expr(f"xxhash64({row})"), F.col(_BUCKETS)).cast("int")
+    salted_right = (
+        right.join(hot, on=keys, how="left")
+        .withColumn(
+            _SALT,
+            F.when(buckets.isNull(), F.lit(0)).otherwise(F.pmod(F.expr(f"xxhash64({row})"), buckets)).cast("int"),
+        )
+        .drop(_BUCKETS)
+        .withColumn(_MATCHED, F.lit(True))
     )
-    matched_hot = left_hot.drop(_BUCKETS).join(right_hot.drop(_BUCKETS), on=[*keys, _SALT], how="inner").drop(_SALT)
-    return cold.unionByName(matched_hot)
+    joined = _join(salted_left, salted_right, [*keys, _SALT], "left", spread_null_keys)
+    # A hot key has partners in some bucket, so its copies that met an empty bucket are
+    # surplus; cold rows keep left-join semantics.
+    kept = joined.filter(buckets.isNull() | F.col(_MATCHED).isNotNull())
+    return kept.drop(_SALT, _BUCKETS, _MATCHED)
 
 
 LOCAL_MATERIAL_COLUMNS = [
@@ -197,14 +204,29 @@ def integration_process_order(
     require_named_dataframes(sap_afko=sap_afko, sap_afpo=sap_afpo, sap_aufk=sap_aufk, sap_mara=sap_mara)
     require_optional_dataframe(sap_cdpos, "sap_cdpos")
     extra = list(extra_keys)
-    # Items, order masters, materials and change items are large right sides that may hold
+    # Order masters, items, materials and change items are large right sides that may hold
     # a hot key (one order with most items, copies): split it. MATNR and OBJNR come from the
-    # right side of earlier joins: spread their null keys.
+    # right side of earlier joins: spread their null keys. The order master is joined before
+    # the items: both hang off the header's AUFNR, so the order of the two left joins does
+    # not change the rows, and the re-partitioning between them then moves header rows
+    # rather than item rows.
     hot = {"split_right_skew": True, "hot_key_rows": hot_key_rows}
-    joined = left_join(sap_afko, sap_afpo, [*extra, "AUFNR"], **hot)
-    joined = left_join(joined, sap_aufk, [*extra, "AUFNR"], **hot)
+    joined = left_join(sap_afko, sap_aufk, [*extra, "AUFNR"], **hot)
+    joined = left_join(joined, sap_afpo, [*extra, "AUFNR"], **hot)
     joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True, **hot)
+    steps = [(sap_afpo, "AUFNR"), (sap_aufk, "AUFNR"), (sap_mara, "MATNR")]
     if sap_cdpos is not None:
         joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, **hot)
+        steps.append((sap_cdpos, "OBJNR"))
+    joined = joined.select(*_using_order(sap_afko.columns, steps, extra))
     return joined.withColumn("ZZGLTRP_ORIG", F.coalesce(F.col("ZZGLTRP_ORIG"), F.col("GLTRP")))
 
+
+def _using_order(first: list[str], steps: list[tuple[DataFrame, str]], extra: list[str]) -> list[str]:
+    """Column order of the chain ``first ⟕ step1 ⟕ step2 ...`` joined with ``USING``:
+    each join's keys lead, then the left columns, then the right side's other columns."""
+    order = list(first)
+    for right, key in steps:
+        keys = [*extra, key]
+        order = keys + [c for c in order if c not in keys] + [c for c in right.columns if c not in keys]
+    return order

@@ -31,7 +31,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,11 +56,15 @@ def union_systems(frames: Sequence[DataFrame], schema: StructType | None = None)
     return reduce(lambda left, right: left.unionByName(right), frames)
 
 
-def _spread_column(frame: DataFrame, keys: list[str], left_side: bool):
+def _row_hash(frame: DataFrame) -> Column:
+    """64-bit hash of all columns of a row (sent to the JVM as one SQL expression)."""
+    return F.expr("xxhash64(" + ", ".join("`" + c.replace("`", "``") + "`" for c in frame.columns) + ")")
+
+
+def _spread_column(frame: DataFrame, keys: list[str], left_side: bool) -> Column:
     if left_side:
         # Null-key rows get a hash of the whole row; all others 0.
-        row = ", ".join("`" + c.replace("`", "``") + "`" for c in frame.columns)
-        return F.when(any_null(keys), F.expr(f"xxhash64({row})")).otherwise(F.lit(0).cast("long"))
+        return F.when(any_null(keys), _row_hash(frame)).otherwise(F.lit(0).cast("long"))
     # The right side only carries 0 (its null-key rows -1), so a spread row finds no partner.
     return F.when(any_null(keys), F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
 
@@ -118,12 +122,11 @@ def left_join(
     )
     # Each right row in one bucket of its key, picked by a hash of the row; a marker
     # tells matched output rows from unmatched ones.
-    row = ", ".join("`" + c.replace("`", "``") + "`" for c in right.columns)
     salted_right = (
         right.join(hot, on=keys, how="left")
         .withColumn(
             _SALT,
-            F.when(buckets.isNull(), F.lit(0)).otherwise(F.pmod(F.expr(f"xxhash64({row})"), buckets)).cast("int"),
+            F.when(buckets.isNull(), F.lit(0)).otherwise(F.pmod(_row_hash(right), buckets)).cast("int"),
         )
         .drop(_BUCKETS)
         .withColumn(_MATCHED, F.lit(True))

@@ -91,3 +91,17 @@ def test_pipelines_can_check_keys_right_away(spark):
     assert process_local_material(spark, src, check_keys=True).count() > 0
     with pytest.raises(ValueError, match="Column 'primary_key_intra' is not unique"):
         process_process_order(spark, src, as_of=AS_OF, check_keys=True)
+
+
+@pytest.mark.parametrize(("name", "max_exchanges"), [("local_material_final", 19), ("process_order_final", 12)])
+def test_shuffle_count_without_broadcasts(spark, name, max_exchanges):
+    """The large-scale shape (nothing broadcastable): every input is read once and each
+    join, window and distinct adds at most one hash exchange per side."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") <= max_exchanges
+    assert len(plan.splitlines()) < 250

@@ -78,7 +78,10 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread:
     return joined.drop(_SPREAD)
 
 
+# Rows of one right-side key above which the key is salted; a session can override it with
+# the setting ``erpweave.hotKeyRows`` (roughly the rows one task should join per key).
 HOT_KEY_ROWS = 1_000_000
+HOT_KEY_ROWS_CONF = "erpweave.hotKeyRows"
 _BUCKETS = "__erpweave_buckets"
 _SALT = "__erpweave_salt"
 _MATCHED = "__erpweave_matched"
@@ -102,7 +105,7 @@ def left_join(
     on: str | Sequence[str],
     spread_null_keys: bool = False,
     split_right_skew: bool = False,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (on)``: keys first, then left's and right's other columns.
 
@@ -113,6 +116,8 @@ def left_join(
     keys = [on] if isinstance(on, str) else list(on)
     if not split_right_skew:
         return _join(left, right, keys, "left", spread_null_keys)
+    if hot_key_rows is None:
+        hot_key_rows = int(right.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS)))
     # Bounded by construction: at most |right| / hot_key_rows keys.
     hot = F.broadcast(hot_keys(right, keys, hot_key_rows))
     buckets = F.col(_BUCKETS)
@@ -165,7 +170,7 @@ def integration_local_material(
     sap_t001w: DataFrame,
     sap_t001: DataFrame,
     extra_keys: Sequence[str] = (),
-    hot_key_rows: int = HOT_KEY_ROWS,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Plant materials with material, plant, valuation, area and company data.
 
@@ -197,7 +202,7 @@ def integration_process_order(
     sap_mara: DataFrame,
     sap_cdpos: DataFrame | None = None,
     extra_keys: Sequence[str] = (),
-    hot_key_rows: int = HOT_KEY_ROWS,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Order headers with items, order master, material and (optionally) change items.
 

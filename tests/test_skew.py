@@ -57,3 +57,16 @@ def test_null_keys_spread_over_reducers(skew_conf):
     assert _largest_partition_share(plain) > 0.33
     assert _largest_partition_share(spread) < 0.25
     assert sorted(map(repr, spread.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_hot_key_threshold_from_session(skew_conf):
+    spark = skew_conf
+    headers = spark.range(0, 100).selectExpr("CAST(id AS STRING) AS k", "id AS h")
+    items = spark.range(0, 5000).selectExpr("CASE WHEN id % 2 = 0 THEN '7' ELSE CAST(id % 100 AS STRING) END AS k", "id AS i")
+    spark.conf.set("erpweave.hotKeyRows", "100")
+    try:
+        split = left_join(headers, items, "k", split_right_skew=True)
+        assert _largest_partition_share(split) < 0.3
+    finally:
+        spark.conf.unset("erpweave.hotKeyRows")
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, left_join(headers, items, "k").collect()))

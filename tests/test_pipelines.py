@@ -105,3 +105,25 @@ def test_shuffle_count_without_broadcasts(spark, name, max_exchanges):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") <= max_exchanges
     assert len(plan.splitlines()) < 250
+
+
+def test_pipelines_on_empty_extracts(spark):
+    from erpweave import contracts as C
+    from erpweave.plans import process_local_material, process_process_order
+
+    class Empty:
+        systems = ["SYS1", "SYS2"]
+
+        def __init__(self):
+            self.inner = TpchErpSources(SF_SMALL)
+
+        def load(self, spark_, system, table):
+            return self.inner.load(spark_, system, table).filter("false")
+
+    material = process_local_material(spark, Empty())
+    order = process_process_order(spark, Empty(), as_of=AS_OF)
+    assert material.count() == 0 and order.count() == 0
+    assert material.columns == C.names(C.LOCAL_MATERIAL_CONTRACT)
+    out = tempfile.mkdtemp(prefix="erpweave-empty-")
+    res = harmonize_data(spark, Empty(), out, order_options={"as_of": AS_OF})
+    assert res["local_material"].rows == 0 and res["process_order"].rows == 0

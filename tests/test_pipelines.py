@@ -39,6 +39,11 @@ def test_harmonize_raise_and_report(spark):
     out = tempfile.mkdtemp(prefix="erpweave-run-")
     with pytest.raises(ValueError, match="is not unique"):
         harmonize_data(spark, src, f"{out}/a", order_options={"as_of": AS_OF})
+    # Order keys are duplicated in the fixture: nothing at all is published, not even the
+    # local material whose keys are unique.
+    import os
+
+    assert not os.path.exists(f"{out}/a/local_material") and not os.path.exists(f"{out}/a/process_order")
     res = harmonize_data(spark, src, f"{out}/b", on_key_violation="report", order_options={"as_of": AS_OF})
     assert res["local_material"].keys_unique
     published = spark.read.parquet(f"{out}/b/local_material")

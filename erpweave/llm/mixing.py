@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from erpweave.session import scratch_path
+from erpweave.llm.stored import stored as _stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = 4  # of two hex digits each
@@ -46,12 +46,6 @@ def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
 
 
-def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def document_sizes(docs: DataFrame, seed: int = 0) -> DataFrame:
     """doc_id, source, key, size and h per row of ``docs``."""
     return docs.select(

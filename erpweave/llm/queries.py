@@ -6,22 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from erpweave.llm import mixing, sql_mixing
+from erpweave.llm import decontaminate, mixing, sql_decontaminate, sql_mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of 10-word benchmark windows."""
+    return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: weights 3, 1, 2, 150% of all words, at most 2 epochs."""
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_decontamination": op5_decontamination,
     "op9_mix_sources": op9_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": sql_decontaminate.SQL,
     "op9_mix_sources": sql_mixing.SQL,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from erpweave.llm import decontaminate, mixing, sql_decontaminate, sql_mixing
+from erpweave.llm import decontaminate, mixing, sql_decontaminate, sql_mixing, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer files lie (on every machine, beside the Python packages)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents in binary shards, read back through the shard indexes."""
+    return token_output.token_output(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: weights 3, 1, 2, 150% of all words, at most 2 epochs."""
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
@@ -25,6 +37,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
+    "op7_token_output": op7_token_output,
     "op9_mix_sources": op9_mix_sources,
 }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from erpweave.llm import decontaminate, mixing, sql_decontaminate, sql_mixing, token_output
+from erpweave.llm import decontaminate, mixing, ngram_join, sql_decontaminate, sql_mixing, sql_ngram_join, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,13 +35,20 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents under a 5-word shingle Jaccard of at least 0.8."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op7_token_output": op7_token_output,
     "op9_mix_sources": op9_mix_sources,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": sql_decontaminate.SQL,
     "op9_mix_sources": sql_mixing.SQL,
+    "op10_ngram_join": sql_ngram_join.SQL,
 }

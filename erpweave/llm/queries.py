@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from erpweave.llm import decontaminate, mixing, ngram_join, sql_decontaminate, sql_mixing, sql_ngram_join, token_output
+from erpweave.llm import decontaminate, mixing, ngram_join, quality, sql_decontaminate, sql_mixing, sql_ngram_join, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by the byte-level convolutional network."""
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of 10-word benchmark windows."""
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -41,6 +46,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op5_decontamination": op5_decontamination,
     "op7_token_output": op7_token_output,
     "op9_mix_sources": op9_mix_sources,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from erpweave.llm import decontaminate, mixing, ngram_join, quality, sql_decontaminate, sql_mixing, sql_ngram_join, token_output
+from erpweave.llm import decontaminate, mixing, ngram_join, quality, sql_decontaminate, sql_mixing, sql_ngram_join, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by lexicon automaton and context windows."""
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of 10-word benchmark windows."""
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -47,6 +52,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_toxicity": op2_toxicity,
     "op5_decontamination": op5_decontamination,
     "op7_token_output": op7_token_output,
     "op9_mix_sources": op9_mix_sources,

@@ -37,7 +37,7 @@ PER_CLASS = 2000
 MAX_BYTES = 16 << 10
 THRESHOLD = 0.5
 WINDOW = 5
-STEM, SHORTEST, ENDINGS = 4, 4, 6  # letters of a stem and of a term at least; endings of a stem at least
+STEM, SHORTEST, ENDINGS = 4, 4, 4  # letters of a stem and of a term at least; endings of a stem at least
 EXACT, PREFIX, FUZZY = 0, 1, 2
 QUOTES = frozenset(b"\"'`") | {0xAB, 0xBB}  # ASCII quotes and the last bytes of guillemets
 UNSEEN = 0.3  # weight of a kind of match that the sample does not show, as a share of the entry's

@@ -5,8 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from erpweave.llm import decontaminate, mixing, ngram_join, quality, sql_decontaminate, sql_mixing, sql_ngram_join, token_output, toxicity
+from pyspark.sql import functions as F
+
+from erpweave.llm import (
+    decontaminate,
+    html_text,
+    mixing,
+    ngram_join,
+    quality,
+    sql_decontaminate,
+    sql_mixing,
+    sql_ngram_join,
+    sql_topk,
+    token_output,
+    topk,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +37,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products for every vector whose id is divisible by 50, among all others."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of 10-word benchmark windows."""
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -40,6 +59,11 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's consensus path."""
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: weights 3, 1, 2, 150% of all words, at most 2 epochs."""
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
@@ -53,13 +77,16 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op4_topk": op4_topk,
     "op5_decontamination": op5_decontamination,
     "op7_token_output": op7_token_output,
+    "op8_html": op8_html,
     "op9_mix_sources": op9_mix_sources,
     "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_topk": sql_topk.SQL,
     "op5_decontamination": sql_decontaminate.SQL,
     "op9_mix_sources": sql_mixing.SQL,
     "op10_ngram_join": sql_ngram_join.SQL,

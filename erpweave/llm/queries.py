@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from erpweave.llm import (
     decontaminate,
     html_text,
+    licenses,
     mixing,
     ngram_join,
     quality,
     sql_decontaminate,
+    sql_licenses,
     sql_mixing,
     sql_ngram_join,
     sql_topk,
@@ -37,6 +39,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document by sentence rules."""
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products for every vector whose id is divisible by 50, among all others."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
@@ -77,6 +84,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
     "op4_topk": op4_topk,
     "op5_decontamination": op5_decontamination,
     "op7_token_output": op7_token_output,
@@ -86,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_licenses": sql_licenses.SQL,
     "op4_topk": sql_topk.SQL,
     "op5_decontamination": sql_decontaminate.SQL,
     "op9_mix_sources": sql_mixing.SQL,

@@ -13,6 +13,7 @@ from erpweave.llm import (
     licenses,
     mixing,
     ngram_join,
+    pii,
     quality,
     sql_decontaminate,
     sql_licenses,
@@ -66,6 +67,11 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base patterns and spans added by weak supervision."""
+    return pii.pii_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by its host's consensus path."""
     return html_text.extract_pages(_table(spark, sf_dir, "pages"))
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op4_topk": op4_topk,
     "op5_decontamination": op5_decontamination,
+    "op6_pii": op6_pii,
     "op7_token_output": op7_token_output,
     "op8_html": op8_html,
     "op9_mix_sources": op9_mix_sources,

@@ -1,0 +1,6 @@
+"""Makes this folder's brute-force module importable."""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))

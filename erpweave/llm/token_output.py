@@ -30,12 +30,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from erpweave.llm.stored import stored
-from erpweave.llm.text import NON_SPACE, mix64, slices, utf8, word_hashes, words
+from erpweave.llm.text import LOWER, mix64, slices, utf8, word_hashes
 from erpweave.session import scratch_path
 
 SHARD_TOKENS = 1 << 21
@@ -49,49 +50,115 @@ SHARD_SCHEMA = (
 )
 
 
-class WordEncoder:
-    """Encodes texts through the ids of their white-space separated pieces.
+#: Byte classes: 0 white space, 1 ASCII letter, 2 digit, 3 ASCII punctuation, 4 all else. The
+#: apostrophe (contractions) and the bar (special tokens) are 4: no cut beside them.
+_CLASS = np.full(256, 4, np.uint8)
+_CLASS[0x21:0x7F] = 3
+_CLASS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = 1
+_CLASS[ord("0") : ord("9") + 1] = 2
+_CLASS[[ord("'"), ord("|")]] = 4
+_CLASS[[0x20, *range(0x09, 0x0E)]] = 0
+_MARK = "7"  # a digit is always a piece and an id of its own
+
+
+def pieces(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces that the tokenizer treats apart, and per document its first one.
 
-    The tokenizer drops white space and no match of its pre-tokenizer or normalizer crosses
-    it, so a text's ids are those of its pieces in turn; each distinct piece is encoded once.
+    Cuts are at white space, between ASCII letters, digits and punctuation, and between
+    digits: no match of the pre-tokenizer, composition of the normalizer or special token
+    goes across these.
     """
+    kind = _CLASS[data]
+    inside = kind > 0
+    cut = np.zeros(len(data) + 1, bool)  # a piece starts here
+    if len(data):
+        cut[0] = inside[0]
+        left, right = kind[:-1], kind[1:]
+        apart = (left < 4) & (right < 4) & ((left != right) | (left == 2))
+        cut[1:-1] = inside[1:] & (apart | ~inside[:-1])
+        first = borders[:-1]
+        first = first[first < len(data)]
+        cut[first] |= inside[first]
+    starts = np.flatnonzero(cut)
+    # A piece ends where the next one starts or where white space or the document ends.
+    stop = cut
+    stop[1:] |= ~np.append(inside[1:], False)
+    stop[borders] = True
+    stops = np.flatnonzero(stop)
+    ends = stops[np.searchsorted(stops, starts, side="right")] if len(starts) else starts
+    return starts, ends, np.searchsorted(starts, borders)
+
+
+class WordEncoder:
+    """Encodes texts through the ids of their pieces; each distinct piece is encoded once."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
         self.flat = np.zeros(0, np.uint32)
         self.borders = np.zeros(1, np.int64)
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        new = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    def _ids(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and how many each has."""
+        flat: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        for lo in range(0, len(found), 1000):
+            part = found[lo : lo + 1000]
+            joined = f" {_MARK} ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+            at = np.flatnonzero(ids == self.mark[0])
+            if len(self.mark) == 1 and len(at) == len(part) - 1:
+                sizes.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
+                flat.append(np.delete(ids, at))
+            else:  # a piece holds the mark itself
+                each = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                sizes.append(np.array([len(x) for x in each]))
+                flat += each
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _learn(self, hashes: list[int], found: list[str]) -> None:
         for h in hashes:
             self.known[h] = len(self.known)
-        self.flat = np.concatenate([self.flat, *new])
-        self.borders = np.concatenate([self.borders, self.borders[-1] + np.cumsum([len(x) for x in new])])
+        # Pieces with the mark go last, so that only theirs are encoded one by one.
+        order = np.argsort([_MARK in p for p in found], kind="stable")
+        ids, size = self._ids([found[i] for i in order.tolist()])
+        begin = np.cumsum(size) - size
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        size, begin = size[back], begin[back]
+        upto = np.cumsum(size)
+        ids = ids[np.arange(len(ids)) + np.repeat(begin - (upto - size), size)]
+        self.borders = np.concatenate([self.borders, self.borders[-1] + upto])
+        self.flat = np.concatenate([self.flat, ids])
 
     def encode(self, data: np.ndarray, borders: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, each followed by ``end_id``, and the ids per document."""
-        starts, ends, first = words(data, borders, NON_SPACE)
-        unique, at, place = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if b"<|" not in data.tobytes():  # special tokens are the only place where case counts
+            data = LOWER[data]
+        starts, ends, first = pieces(data, borders)
+        place, unique = pd.factorize(word_hashes(data, starts, ends))
+        at = np.empty(len(unique), np.int64)
+        at[place[::-1]] = np.arange(len(place))[::-1]
         if len(self.known) + len(unique) > self.limit:
             self._clear()
         slot = np.array([self.known.get(h, -1) for h in unique.tolist()], dtype=np.int64)
         new = np.flatnonzero(slot < 0)
         if len(new):
-            pieces = [data[starts[i] : ends[i]].tobytes().decode("utf-8") for i in at[new].tolist()]
+            raw = data.tobytes()
+            found = [raw[a:b].decode("utf-8") for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
             slot[new] = len(self.known) + np.arange(len(new))
-            self._learn(unique[new].tolist(), pieces)
+            self._learn(unique[new].tolist(), found)
         word = slot[place] if len(unique) else np.zeros(0, np.int64)
-        # One more entry per document for the end id, after its last word.
-        source = np.concatenate([self.flat, np.array([end_id], np.uint32)])
+        # One more entry per document for the end id, after its last piece.
+        source = np.append(self.flat, np.uint32(end_id))
         lo = np.insert(self.borders[word], first[1:], len(self.flat))
         size = np.insert(self.borders[word + 1] - self.borders[word], first[1:], 1)
         upto = np.cumsum(size)
@@ -100,6 +167,15 @@ class WordEncoder:
         return ids, per_doc
 
 
+_ENCODERS: dict[str, WordEncoder] = {}  # a worker process keeps its pieces from task to task
+
+
+def encoder(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def _key_hashes(keys: list[int | None]) -> np.ndarray:
     """64-bit hashes of (key, occurrence), in order."""
     seen: dict[int | None, int] = {}
@@ -201,8 +277,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, seq = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
-        width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        coder, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        width = 2 if max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         keys: list = []
         ids: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
@@ -211,7 +287,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             data, borders = utf8(batch.column("text"))
             names = batch.column("doc_id").to_pylist()
             for i, j in slices(borders):
-                own, size = encoder.encode(data[borders[i] : borders[j]], borders[i : j + 1] - borders[i], end_id)
+                own, size = coder.encode(data[borders[i] : borders[j]], borders[i : j + 1] - borders[i], end_id)
                 keys += names[i:j]
                 ids.append(own.astype(f"<u{width}"))
                 sizes.append(size)

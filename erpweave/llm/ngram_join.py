@@ -38,13 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm.components import components
+from erpweave.llm.components import components, through
 from erpweave.llm.stored import stored
 from erpweave.llm.text import LOWER, NON_SPACE, mix64, slices, utf8, windows, word_hashes, words
 
 WIDTH = 5
 NUM, DEN = 80, 100  # Jaccard of at least NUM / DEN; the bounds below are written for 0.8
 SMALL = 16  # sets under one signature up to which all pairs are tried at once
+ALL_HUBS = 2048  # members of a signature that are tried against all others in one round
 SKETCH_BITS = 512
 EMPTY_COST = 40.0  # cost of a chance agreement on an empty segment, in signatures
 FLUSH = 1 << 21  # signatures that a task packs at once
@@ -359,14 +360,16 @@ def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _cross(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component yet."""
-    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    apart = F.coalesce("ra", "a") != F.coalesce("rb", "b")
-    return pairs.join(ra, "a", "left").join(rb, "b", "left").filter(apart).select("a", "b")
+    return through(pairs, roots).filter("ra <> rb").select("a", "b")
 
 
-def _hub_pairs(members: DataFrame, hubs: int) -> DataFrame:
-    """kind 0: possible pairs of ``hubs`` members per signature with all of other components; kind 1: the members left."""
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """kind 0: possible pairs between hubs and all members of other components; kind 1: the members left.
+
+    The hubs of a signature are all its members up to ``ALL_HUBS``, of a larger one that many,
+    those of its largest components first. ``sigs`` are the large signatures of a member; a
+    pair that shares several is tried under the smallest one only.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         sig = table.column("sig")[0].as_py()
@@ -375,14 +378,16 @@ def _hub_pairs(members: DataFrame, hubs: int) -> DataFrame:
         _, inverse, count = np.unique(root, return_inverse=True, return_counts=True)
         order = np.lexsort((key, -count[inverse]))
         key, root, n, sketch = key[order], root[order], n[order], sketch[order]
+        others = [frozenset(x) for x in table.column("sigs").take(pa.array(order)).to_pylist()]
         pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for h in range(min(hubs, len(key))):
+        for h in range(min(ALL_HUBS, len(key))):
             rest = slice(h + 1, None)
             apart = np.bitwise_count(sketch[rest] ^ sketch[h]).sum(axis=1)
             ok = (root[rest] != root[h]) & _may_link(n[rest], n[h], apart)
-            pairs.append((np.full(int(ok.sum()), key[h]), key[rest][ok]))
+            here = [i for i in (np.flatnonzero(ok) + h + 1).tolist() if min(others[i] & others[h]) == sig]
+            pairs.append((np.full(len(here), key[h]), key[here]))
         a, b = _unique_pairs(pairs)
-        left = key[hubs:]
+        left = key[ALL_HUBS:]
         kind = np.concatenate([np.zeros(len(a), np.int32), np.ones(len(left), np.int32)])
         return pa.table({"kind": kind, "a": np.concatenate([a, np.full(len(left), sig, np.int64)]), "b": np.concatenate([b, left])})
 
@@ -411,25 +416,25 @@ def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
         return stored(spark, one, "ngram-texts", compression="zstd")
 
     # First one pair per class, then those that are still between components.
+    of_pairs = texts(pairs)
     first = stored(spark, pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-first")
-    links = stored(spark, _verified(first, texts(first)), "ngram-links")
-    roots = stored(spark, components(links), "ngram-roots")
-    hubs = 0
+    links = stored(spark, _verified(first, of_pairs), "ngram-links")
+    roots = components(links)
+    rest = stored(spark, _cross(pairs, roots).join(first, ["a", "b"], "left_anti"), "ngram-rest")
     while True:
-        rest = stored(spark, _cross(pairs, roots).exceptAll(first) if not hubs else _cross(pairs, roots), "ngram-rest")
         if not rest.isEmpty():
-            links = stored(spark, links.unionByName(_verified(rest, texts(rest))), "ngram-links")
-            roots = stored(spark, components(links), "ngram-roots")
+            roots = components(stored(spark, _verified(rest, of_pairs), "ngram-links"), roots)
         # Members of large signatures whose components still differ go on with new hubs.
         named = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         open_ = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
         left = stored(spark, named.join(open_, "sig").join(info.select("key", "n", "sketch"), "key"), "ngram-open")
         if left.isEmpty():
             return roots
-        hubs = SMALL if not hubs else hubs * 4
-        out = stored(spark, _hub_pairs(left, hubs), "ngram-hubs")
-        pairs = out.filter("kind = 0").select("a", "b").distinct()
+        lists = stored(spark, left.groupBy("key").agg(F.collect_list("sig").alias("sigs")), "ngram-lists")
+        out = stored(spark, _hub_pairs(left.join(lists, "key")), "ngram-hubs")
+        rest = stored(spark, out.filter("kind = 0").select("a", "b").distinct(), "ngram-rest")
         members = out.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("key"))
+        of_pairs = texts(rest) if not rest.isEmpty() else of_pairs
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

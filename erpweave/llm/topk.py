@@ -59,36 +59,48 @@ class SortedLists:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable")  # ascending, per dimension
         self.largest = int(np.abs(vectors.astype(np.float64)).max(initial=0))
+        self.as_kind: dict[type, np.ndarray] = {}
+
+    def _kind(self, query: np.ndarray) -> type:
+        """The cheapest type in which every partial sum of the inner products is exact."""
+        most = self.largest * float(np.abs(query.astype(np.float64)).sum())
+        return np.float32 if most < 2.0**23 else np.float64 if most < 2.0**52 else object
 
     def best(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(score, vec_id) of the k best, best first; the vector with id ``own`` is left out."""
-        n, dims = self.vectors.shape
-        # Exact in doubles below 2^53, else with Python's integers.
-        exact = self.largest * float(np.abs(query.astype(np.float64)).sum()) < 2.0**52
-        kind = np.float64 if exact else object
-        q = query.astype(kind)
+        n = len(self.ids)
+        kind = self._kind(query)
+        if kind not in self.as_kind:
+            self.as_kind[kind] = self.vectors.astype(kind)
+        vectors, q = self.as_kind[kind], query.astype(kind)
         used = np.flatnonzero(query != 0)
         up = query[used] > 0
-        seen = np.zeros(n, bool)
-        seen[self.ids == own] = True
+        unseen = self.ids != own
         ids = np.zeros(0, np.int64)
         scores = np.zeros(0, kind)
         depth, upto = 0, min(FIRST_DEPTH, n)
         while True:
+            met = np.zeros(n, bool)
             if len(used):
-                places = np.where(up, n - 1 - np.arange(depth, upto)[:, None], np.arange(depth, upto)[:, None])
-                met = np.unique(self.order[places, used])
+                steps = np.arange(depth, upto)
+                met[self.order[steps][:, used[~up]]] = True
+                met[self.order[n - 1 - steps][:, used[up]]] = True
+                met &= unseen
             else:
-                met, upto = np.arange(n), n
-            met = met[~seen[met]]
-            seen[met] = True
-            ids = np.concatenate([ids, self.ids[met]])
-            scores = np.concatenate([scores, self.vectors[met].astype(kind) @ q])
+                met, upto = unseen.copy(), n
+            unseen &= ~met
+            new = np.flatnonzero(met)
+            value = vectors[new] @ q
+            if len(new) > k:  # only those that reach the kth of the new ones can be among the best
+                keep = value >= np.partition(value, len(value) - k)[len(value) - k]
+                new, value = new[keep], value[keep]
+            ids = np.concatenate([ids, self.ids[new]])
+            scores = np.concatenate([scores, value])
             top = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[top], scores[top]
-            if upto == n:
+            if upto == n or not unseen.any():
                 break
-            edge = self.vectors[self.order[np.where(up, n - upto, upto - 1), used], used].astype(kind)
+            edge = vectors[self.order[np.where(up, n - upto, upto - 1), used], used]
             if len(ids) == k and scores[-1] > edge @ q[used]:
                 break
             depth, upto = upto, min(2 * upto, n)

@@ -12,18 +12,20 @@ Two kinds of hot groups are handled explicitly:
   filtered out). Such rows can never match, but a hash shuffle sends all of them to one
   reducer. ``spread_null_keys`` gives them an extra join key (a hash of the row) that the
   right side never carries: the result is unchanged and the rows spread over all reducers.
-* Hot right-side keys (one order with a third of all items, or many copies of one
-  material row). AQE can split a skewed partition of the preserved (left) side of a left
-  join but not of the other side. ``split_right_skew`` therefore counts the right side's
-  keys first (partial aggregation, so a hot key costs one row per map task) and keeps the
-  keys with more than ``hot_key_rows`` rows. That set has at most |right| / hot_key_rows
-  keys, so broadcasting it is bounded; both sides are tagged with it by broadcast joins
-  (no shuffle). A hot key's right rows are hashed into ceil(count / hot_key_rows) salt
-  buckets and its left rows are replicated once per bucket; cold keys keep salt 0. One
-  left join on (keys, salt) then gives no task more than about ``hot_key_rows`` right rows
-  of one key. A hot key always has partners, so the replicated copies that met an empty
-  bucket are dropped by a marker column; cold rows keep left-join semantics. Each input
-  is read once.
+* Hot right-side keys (one order with a third of all items). AQE can split a skewed
+  partition of the preserved (left) side of a left join but not of the other side.
+  ``split_right_skew`` therefore counts the right side's keys first (partial aggregation,
+  so a hot key costs one row per map task) and keeps the keys with more than
+  ``hot_key_rows`` rows, the ``MAX_HOT_KEYS`` hottest of them, which bounds the set that is
+  broadcast whatever the size of the data; keys beyond it are joined unsalted. Both sides
+  are tagged by broadcast joins (no shuffle). A hot key's right rows are hashed into
+  ceil(count / hot_key_rows) salt buckets and its left rows are replicated once per bucket;
+  cold keys keep salt 0. One left join on (keys, salt) then gives no task more than about
+  ``hot_key_rows`` right rows of one key. A hot key always has partners, so the replicated
+  copies that met an empty bucket are dropped by a marker column; cold rows keep left-join
+  semantics. The count reads the right side's key and filter columns once more, so it is
+  used for one-to-many tables (items, change items) and not for tables keyed by the join
+  column (materials, order masters).
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from erpweave.contracts import LOCAL_MATERIAL_CONTRACT, names
 from erpweave.functions import any_null
 from erpweave.operators.guards import require_named_dataframes, require_optional_dataframe
 from erpweave.sources.conform import conform
@@ -81,6 +84,8 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread:
 # Rows of one right-side key above which the key is salted; a session can override it with
 # the setting ``erpweave.hotKeyRows`` (roughly the rows one task should join per key).
 HOT_KEY_ROWS = 1_000_000
+MIN_HOT_KEY_ROWS = 100  # floor of the session setting
+MAX_HOT_KEYS = 4_096
 HOT_KEY_ROWS_CONF = "erpweave.hotKeyRows"
 _BUCKETS = "__erpweave_buckets"
 _SALT = "__erpweave_salt"
@@ -88,13 +93,15 @@ _MATCHED = "__erpweave_matched"
 
 
 def hot_keys(right: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys with more than ``hot_key_rows`` right rows, with their bucket count."""
+    """Keys with more than ``hot_key_rows`` right rows (the hottest ones), with their bucket count."""
     counted = (
         right.select(*keys)
         .filter(~any_null(keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") > hot_key_rows)
+        .orderBy(F.col("__rows").desc(), *keys)
+        .limit(MAX_HOT_KEYS)
     )
     return counted.select(*keys, F.ceil(F.col("__rows") / F.lit(hot_key_rows)).cast("int").alias(_BUCKETS))
 
@@ -117,8 +124,8 @@ def left_join(
     if not split_right_skew:
         return _join(left, right, keys, "left", spread_null_keys)
     if hot_key_rows is None:
-        hot_key_rows = int(right.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS)))
-    # Bounded by construction: at most |right| / hot_key_rows keys.
+        hot_key_rows = max(MIN_HOT_KEY_ROWS, int(right.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS))))
+    # At most MAX_HOT_KEYS keys.
     hot = F.broadcast(hot_keys(right, keys, hot_key_rows))
     buckets = F.col(_BUCKETS)
     # Each left row once per bucket of its key (cold keys: one copy with salt 0).
@@ -143,23 +150,8 @@ def left_join(
     return kept.drop(_SALT, _BUCKETS, _MATCHED)
 
 
-LOCAL_MATERIAL_COLUMNS = [
-    "MANDT",
-    "SOURCE_SYSTEM_ERP",
-    "MATNR",
-    "WERKS",
-    "MEINS",
-    "GLOBAL_MATERIAL_NUMBER",
-    "BWKEY",
-    "NAME1",
-    "VPRSV",
-    "VERPR",
-    "STPRS",
-    "PEINH",
-    "BKLAS",
-    "BUKRS",
-    "WAERS",
-]
+# The contract's joined columns; its last four are derived afterwards.
+LOCAL_MATERIAL_COLUMNS = names(LOCAL_MATERIAL_CONTRACT)[:15]
 
 
 def integration_local_material(
@@ -170,29 +162,30 @@ def integration_local_material(
     sap_t001w: DataFrame,
     sap_t001: DataFrame,
     extra_keys: Sequence[str] = (),
-    hot_key_rows: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Plant materials with material, plant, valuation, area and company data.
 
     MARC ⟕ MARA (MATNR) ⟕ T001W (MANDT, WERKS) ⟕ MBEW (MANDT, MATNR, BWKEY)
     ⟕ T001K (MANDT, BWKEY) ⟕ T001 (MANDT, BUKRS), then the 15 output columns.
     ``extra_keys`` (e.g. a system column present on every input) is added to every join
-    so that equal numbers from different systems do not match each other.
+    so that equal numbers from different systems do not match each other; ``keep`` names
+    further columns to carry along.
     """
     require_named_dataframes(
         sap_mara=sap_mara, sap_mbew=sap_mbew, sap_marc=sap_marc, sap_t001k=sap_t001k, sap_t001w=sap_t001w, sap_t001=sap_t001
     )
     extra = list(extra_keys)
-    # MARA is large and may hold copies of a material: split its hot keys. MANDT, BWKEY
-    # and BUKRS come from the right side of earlier joins: spread their null keys. MBEW has
-    # at most one row per material, area and system after its top-1, and plants, areas and
-    # company codes are organisational tables that do not grow with the transactions.
-    joined = left_join(sap_marc, sap_mara, [*extra, "MATNR"], split_right_skew=True, hot_key_rows=hot_key_rows)
+    # MANDT, BWKEY and BUKRS come from the right side of earlier joins: spread their null
+    # keys. MARA is keyed by its material, MBEW has at most one row per material, area and
+    # system after its top-1, and plants, areas and company codes are organisational tables
+    # that do not grow with the transactions: no right side needs splitting.
+    joined = left_join(sap_marc, sap_mara, [*extra, "MATNR"])
     joined = left_join(joined, sap_t001w, [*extra, "MANDT", "WERKS"], spread_null_keys=True)
     joined = left_join(joined, sap_mbew, [*extra, "MANDT", "MATNR", "BWKEY"], spread_null_keys=True)
     joined = left_join(joined, sap_t001k, [*extra, "MANDT", "BWKEY"], spread_null_keys=True)
     joined = left_join(joined, sap_t001, [*extra, "MANDT", "BUKRS"], spread_null_keys=True)
-    return joined.select(*LOCAL_MATERIAL_COLUMNS, *extra)
+    return joined.select(*LOCAL_MATERIAL_COLUMNS, *extra, *keep)
 
 
 def integration_process_order(
@@ -212,16 +205,16 @@ def integration_process_order(
     require_named_dataframes(sap_afko=sap_afko, sap_afpo=sap_afpo, sap_aufk=sap_aufk, sap_mara=sap_mara)
     require_optional_dataframe(sap_cdpos, "sap_cdpos")
     extra = list(extra_keys)
-    # Order masters, items, materials and change items are large right sides that may hold
-    # a hot key (one order with most items, copies): split it. MATNR and OBJNR come from the
+    # Items and change items are one-to-many right sides that may hold a hot key (one order
+    # with most items): split it. MATNR and OBJNR come from the
     # right side of earlier joins: spread their null keys. The order master is joined before
     # the items: both hang off the header's AUFNR, so the order of the two left joins does
     # not change the rows, and the re-partitioning between them then moves header rows
     # rather than item rows.
     hot = {"split_right_skew": True, "hot_key_rows": hot_key_rows}
-    joined = left_join(sap_afko, sap_aufk, [*extra, "AUFNR"], **hot)
+    joined = left_join(sap_afko, sap_aufk, [*extra, "AUFNR"])
     joined = left_join(joined, sap_afpo, [*extra, "AUFNR"], **hot)
-    joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True, **hot)
+    joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True)
     steps = [(sap_afpo, "AUFNR"), (sap_aufk, "AUFNR"), (sap_mara, "MATNR")]
     if sap_cdpos is not None:
         joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, **hot)

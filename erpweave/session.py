@@ -7,6 +7,7 @@ builds a small local session for tests and benchmarks only.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,7 +26,6 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -60,6 +60,7 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in recommended_conf(shuffle_partitions).items():
@@ -94,7 +95,7 @@ def work_dir(spark: SparkSession) -> str:
     directory = _configured_checkpoint_dir(spark)
     if directory:
         return directory.rstrip("/")
-    if not str(spark.conf.get("spark.master", "")).startswith("local"):
+    if not re.match(r"local(\[|$)", str(spark.conf.get("spark.master", ""))):
         msg = "spark.checkpoint.dir must name a shared folder on a cluster"
         raise RuntimeError(msg)
     directory = tempfile.mkdtemp(prefix="erpweave-")

@@ -69,6 +69,17 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
         ("AUFNR", S), ("OBJNR", S), ("ERDAT", S), ("ERNAM", S), ("AUART", S), ("ZZGLTRP_ORIG", S),
         ("ZZPRO_TEXT", S),
     ),
+    "CDPOS": struct(("OBJNR", S), ("CHNGIND", S), ("VALUE_NEW", S)),
+}
+
+#: Columns of the extracts that the pipelines convert from text, with their target types.
+TYPED_SCHEMAS: dict[str, StructType] = {
+    "MARA": struct(("NTGEW", F64)),
+    "MBEW": struct(("VERPR", F64), ("STPRS", F64), ("PEINH", F64)),
+    "MARC": struct(("MATNR", S)),
+    "AFKO": struct(*((c, D) for c in ("GLTRP", "GSTRP", "FTRMS", "GLTRS", "GSTRS", "GSTRI", "GETRI", "GLTRI", "FTRMI", "FTRMP"))),
+    "AFPO": struct(("LTRMI", D)),
+    "AUFK": struct(("ERDAT", D), ("ZZGLTRP_ORIG", D)),
 }
 
 ORDER_HEADER_DATES = ["GLTRP", "GSTRP", "FTRMS", "GLTRS", "GSTRS", "GSTRI", "GETRI", "GLTRI", "FTRMI", "FTRMP"]

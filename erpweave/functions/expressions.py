@@ -63,20 +63,22 @@ def to_date_safe(column: str, dtype: DataType, formats: list[str] | None = None)
 
 def on_time_flag(planned: str = "ZZGLTRP_ORIG", actual: str = "LTRMI") -> Column:
     """1 when the planned date is on or after the actual one, 0 when before, else null."""
-    both = F.col(planned).isNotNull() & F.col(actual).isNotNull()
-    return (
-        F.when(both & (F.col(planned) >= F.col(actual)), F.lit(1))
-        .when(both & (F.col(planned) < F.col(actual)), F.lit(0))
-        .otherwise(F.lit(None).cast("int"))
-    )
+    return (F.col(planned) >= F.col(actual)).cast("int")
 
 
-def deviation_days(planned: str = "ZZGLTRP_ORIG", actual: str = "LTRMI") -> Column:
-    """Days from the actual to the planned date (planned minus actual) as double.
+def deviation_days(
+    planned: str = "ZZGLTRP_ORIG", actual: str = "LTRMI", sign: str = "planned_minus_actual"
+) -> Column:
+    """Days between the planned and the actual date as double.
 
-    As in the reference, a positive value means the actual date came *before* the plan.
+    With the default ``sign``, as in the reference, a positive value means the actual date
+    came *before* the plan; ``"actual_minus_planned"`` makes lateness positive.
     """
-    return F.datediff(F.col(planned), F.col(actual)).cast("double")
+    if sign not in ("planned_minus_actual", "actual_minus_planned"):
+        msg = f"sign must be 'planned_minus_actual' or 'actual_minus_planned', not {sign!r}"
+        raise ValueError(msg)
+    first, second = (planned, actual) if sign == "planned_minus_actual" else (actual, planned)
+    return F.datediff(F.col(first), F.col(second)).cast("double")
 
 
 def late_bucket(deviation: str = "actual_on_time_deviation") -> Column:

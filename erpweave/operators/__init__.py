@@ -1,6 +1,6 @@
 """``DataFrame -> DataFrame`` operators of the unification job."""
 
-from erpweave.operators.dedup import distinct_rows, duplicate_keys, latest_per_key, with_duplicate_count
+from erpweave.operators.dedup import distinct_rows, duplicate_keys, first_per_key_counted, latest_per_key
 from erpweave.operators.derive import (
     derive_intra_and_inter_primary_key,
     derive_order_keys,
@@ -64,5 +64,5 @@ __all__ = [
     "preview",
     "profile_data",
     "union_systems",
-    "with_duplicate_count",
+    "first_per_key_counted",
 ]

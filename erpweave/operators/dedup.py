@@ -30,9 +30,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     return df.withColumn(_ROW_NUMBER, F.row_number().over(window)).filter(F.col(_ROW_NUMBER) == 1).drop(_ROW_NUMBER)
 
 
-def with_duplicate_count(df: DataFrame, keys: Sequence[str], name: str = "no_of_duplicates") -> DataFrame:
-    """Add the number of rows sharing each key (a window count, no self-join)."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+def first_per_key_counted(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str = "no_of_duplicates"
+) -> DataFrame:
+    """First row of each key group with the number of rows that share the key.
+
+    ``order_by`` names columns, ascending with nulls last; all other columns follow in their
+    order, so the order is total. One aggregation of (least row, count): its partial step
+    leaves one row per key and map task before the shuffle.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    ranked = [*order_by, *rest]
+    cells = [x for c in ranked for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(f"v_{c}"))]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*cells)).alias("__least"), F.count(F.lit(1)).alias(name))
+    values = {c: F.col("__least").getField(f"v_{c}").alias(c) for c in ranked}
+    return least.select(*[values.get(c, F.col(c)) for c in df.columns], name)
 
 
 def distinct_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

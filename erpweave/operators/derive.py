@@ -20,10 +20,12 @@ from erpweave.functions import (
     on_time_flag,
     to_date_safe,
 )
-from erpweave.operators.dedup import asc_nulls_last, latest_per_key, with_duplicate_count
+from erpweave.operators.dedup import asc_nulls_last, first_per_key_counted, latest_per_key
 
 MATERIAL_GRAIN = ["SOURCE_SYSTEM_ERP", "MATNR", "WERKS"]
 ORDER_GRAIN = ["AUFNR", "POSNR", "DWERK"]
+# Number of joined tables whose row came from another system than the plant's row.
+FOREIGN = "__erpweave_foreign"
 
 
 def derive_intra_and_inter_primary_key(df: DataFrame) -> DataFrame:
@@ -36,12 +38,16 @@ def derive_intra_and_inter_primary_key(df: DataFrame) -> DataFrame:
     )
 
 
+def _material_order(columns: Sequence[str]) -> list[str]:
+    first = [c for c in (FOREIGN, "MANDT", "BWKEY", "BUKRS") if c in columns]
+    return first + [c for c in columns if c not in first and c not in MATERIAL_GRAIN]
+
+
 def material_dedup_order(columns: Sequence[str]) -> list[Column]:
-    """Deterministic order for the final de-duplication: client, valuation area and company
-    code first, then every remaining column, ascending with nulls last."""
-    first = [c for c in ("MANDT", "BWKEY", "BUKRS") if c in columns]
-    rest = [c for c in columns if c not in first and c not in MATERIAL_GRAIN]
-    return asc_nulls_last(first + rest)
+    """Deterministic order for the final de-duplication: rows joined within the plant's own
+    system first (if the systems are known), then client, valuation area and company code,
+    then every remaining column, ascending with nulls last."""
+    return asc_nulls_last(_material_order(columns))
 
 
 def post_prep_local_material(
@@ -55,12 +61,17 @@ def post_prep_local_material(
     ``global_mtl_id`` the global number, else the material number. The derived columns
     are functions of the surviving row, so they are added after the de-duplication: the
     window's shuffle carries only the input columns. With ``count_duplicates`` the rows
-    sharing a grain key are counted in ``no_of_duplicates``.
+    sharing a grain key are counted in ``no_of_duplicates`` (in the default order only).
     """
-    order = list(order_by) if order_by is not None else material_dedup_order(df.columns)
     if count_duplicates:
-        df = with_duplicate_count(df, MATERIAL_GRAIN)
-    survivors = latest_per_key(df, MATERIAL_GRAIN, order)
+        if order_by is not None:
+            msg = "count_duplicates goes with the default order"
+            raise ValueError(msg)
+        survivors = first_per_key_counted(df, MATERIAL_GRAIN, _material_order(df.columns))
+    else:
+        order = list(order_by) if order_by is not None else material_dedup_order(df.columns)
+        survivors = latest_per_key(df, MATERIAL_GRAIN, order)
+    survivors = survivors.drop(FOREIGN)
     return derive_intra_and_inter_primary_key(survivors).withColumns(
         {
             "mtl_plant_emd": F.concat_ws("-", F.col("WERKS"), F.col("NAME1")),
@@ -79,12 +90,14 @@ def derive_order_keys(df: DataFrame) -> DataFrame:
     )
 
 
-def post_prep_process_order(df: DataFrame, date_formats: list[str] | None = None) -> DataFrame:
+def post_prep_process_order(
+    df: DataFrame, date_formats: list[str] | None = None, sign: str = "planned_minus_actual"
+) -> DataFrame:
     """Keys, on-time flag, day deviation, lateness bucket, MTO/MTS and timestamps.
 
     A missing ZZGLTRP_ORIG column is added as a typed null first. Deviation is planned
-    minus actual (positive = delivered before the plan), as in the reference; the flag is
-    1 when planned >= actual.
+    minus actual (positive = delivered before the plan), as in the reference, unless ``sign``
+    is "actual_minus_planned" (buckets follow it); the flag is 1 when planned >= actual.
     """
     if "ZZGLTRP_ORIG" not in df.columns:
         df = df.withColumn("ZZGLTRP_ORIG", F.lit(None).cast("date"))
@@ -96,7 +109,7 @@ def post_prep_process_order(df: DataFrame, date_formats: list[str] | None = None
         .withColumns(
             {
                 "on_time_flag": on_time_flag(),
-                "actual_on_time_deviation": deviation_days(),
+                "actual_on_time_deviation": deviation_days(sign=sign),
             }
         )
         .withColumns(

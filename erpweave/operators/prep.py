@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 from erpweave.contracts import ORDER_HEADER_DATES
 from erpweave.functions import (
@@ -73,25 +74,54 @@ VALUATION_ORDER = [
 ]
 
 
-def valuation_order(columns: Sequence[str]) -> list[Column]:
-    present = set(columns)
+# Patterns, besides ISO, in which an extract may deliver LAEPR as text.
+VALUATION_DATE_FORMATS = ("dd.MM.yyyy", "MM/dd/yyyy")
+
+
+def evaluation_order(dtype: DataType, formats: Sequence[str] = VALUATION_DATE_FORMATS) -> list[Column]:
+    """LAEPR, latest first and missing last. Text is ranked as what it holds: numbers
+    (compact dates among them) as numbers, dates (ISO or ``formats``) as dates, the rest as text."""
+    if not isinstance(dtype, StringType):
+        return desc_nulls_last(["LAEPR"])
+    number = F.col("LAEPR").try_cast("decimal(38,10)")
     return [
-        (desc_nulls_last if direction == "desc" else asc_nulls_last)([name])[0]
-        for name, direction in VALUATION_ORDER
-        if name in present
+        number.desc_nulls_last(),
+        to_date_safe("LAEPR", dtype, list(formats)).desc_nulls_last(),
+        F.col("LAEPR").desc_nulls_last(),
     ]
 
 
-def prep_material_valuation(df: DataFrame, keys: Sequence[str] = ("MATNR", "BWKEY")) -> DataFrame:
+def valuation_order(
+    columns: Sequence[str], laepr: DataType | None = None, formats: Sequence[str] = VALUATION_DATE_FORMATS
+) -> list[Column]:
+    present = set(columns)
+    order: list[Column] = []
+    for name, direction in VALUATION_ORDER:
+        if name == "LAEPR" and name in present and laepr is not None:
+            order += evaluation_order(laepr, formats)
+        elif name in present:
+            order += (desc_nulls_last if direction == "desc" else asc_nulls_last)([name])
+    return order
+
+
+def prep_material_valuation(
+    df: DataFrame,
+    keys: Sequence[str] = ("MATNR", "BWKEY"),
+    date_formats: Sequence[str] = VALUATION_DATE_FORMATS,
+) -> DataFrame:
     """Material valuation (MBEW): undeleted, not split-valuated, latest LAEPR per key.
 
     ``keys`` defaults to the reference's (MATNR, BWKEY); pass ("MANDT", "MATNR", "BWKEY")
-    to keep clients apart.
+    to keep clients apart. A LAEPR that arrives as text is converted for the ranking (see
+    ``evaluation_order``; ``date_formats`` are tried after ISO).
     """
     require_dataframe(df)
     kept = df.filter(not_deleted() & no_split_valuation())
-    latest = latest_per_key(kept, list(keys), valuation_order(df.columns))
-    return distinct_rows(latest.select(*VALUATION_COLUMNS))
+    laepr = df.schema["LAEPR"].dataType if "LAEPR" in df.columns else None
+    latest = latest_per_key(kept, list(keys), valuation_order(df.columns, laepr, date_formats))
+    # One row per (MATNR, BWKEY) is left by default: only other keys can leave equal rows.
+    columns = latest.select(*VALUATION_COLUMNS)
+    return columns if set(keys) <= set(VALUATION_COLUMNS) else distinct_rows(columns)
 
 
 def prep_plant_data_for_material(

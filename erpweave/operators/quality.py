@@ -91,16 +91,18 @@ def check_schema(df: DataFrame, contract: StructType, ignore_nullable: bool = Tr
         raise SchemaContractError(msg)
 
 
-def _as_text(value: Column, numeric: bool) -> Column:
-    return value.cast("decimal(38,6)").cast("string") if numeric else value.cast("string")
-
-
-def profile_data(df: DataFrame, decimals: int = 4) -> DataFrame:
+def profile_data(df: DataFrame, decimals: int | None = None) -> DataFrame:
     """Per-column profile in long form from one global aggregation.
 
-    Columns: column_name, non_null, nulls, mean, stddev (numeric columns; rounded to
-    ``decimals``), min_value, max_value (as text; numbers with 6 decimals).
+    Columns: column_name, non_null, nulls, mean, stddev (doubles for numeric columns, rounded
+    only if ``decimals`` is given), min_value, max_value (Spark's text of the value in its own
+    type, so no digit is lost; NaN sorts above every number, as in Spark).
     """
+
+    def number(value: Column) -> Column:
+        value = value.cast("double")
+        return value if decimals is None else F.round(value, decimals)
+
     stats = []
     for i, field in enumerate(df.schema.fields):
         c = F.col(field.name)
@@ -109,10 +111,10 @@ def profile_data(df: DataFrame, decimals: int = 4) -> DataFrame:
         stats += [
             F.count(c).alias(f"n{i}"),
             F.count_if(c.isNull()).alias(f"z{i}"),
-            (F.round(F.avg(c), decimals) if numeric else no_number).alias(f"m{i}"),
-            (F.round(F.stddev_samp(c), decimals) if numeric else no_number).alias(f"s{i}"),
-            _as_text(F.min(c), numeric).alias(f"lo{i}"),
-            _as_text(F.max(c), numeric).alias(f"hi{i}"),
+            (number(F.avg(c)) if numeric else no_number).alias(f"m{i}"),
+            (number(F.stddev_samp(c.cast("double"))) if numeric else no_number).alias(f"s{i}"),
+            F.min(c).cast("string").alias(f"lo{i}"),
+            F.max(c).cast("string").alias(f"hi{i}"),
         ]
     wide = df.agg(*stats)
     rows = F.array(

@@ -36,6 +36,7 @@ from erpweave.operators import (
     prep_valuation_data,
     union_systems,
 )
+from erpweave.operators.derive import FOREIGN
 from erpweave.sources.conform import conform
 from erpweave.sources.registry import Sources
 
@@ -62,13 +63,15 @@ def local_material_integrated(
     """Prepared, unioned and joined local material rows (before post-processing).
 
     ``isolate_systems=True`` adds the source system to every join key, so equal material
-    numbers of different systems do not match (the reference matches them).
+    numbers of different systems do not match (the reference matches them). ``FOREIGN``
+    counts the joined rows of other systems; the final de-duplication takes the row with the
+    fewest and drops the column.
     """
     tables: dict[str, list[DataFrame]] = {t: [] for t in ("MARA", "MBEW", "MARC", "T001K", "T001W", "T001")}
     extra = additional_plant_fields or []
     for system in sources.systems:
         load = lambda table: sources.load(spark, system, table)
-        prepared = {
+        prepared: dict[str, DataFrame] = {
             "MARA": prep_general_material_data(
                 load("MARA"), global_material_column, check_old_material_number, check_material_deleted
             ),
@@ -79,7 +82,8 @@ def local_material_integrated(
             "T001": prep_company_codes(load("T001")),
         }
         for table, frame in prepared.items():
-            tables[table].append(_prepared(frame, table, system, isolate_systems, extra if table == "MARC" else ()))
+            frame = _prepared(frame, table, system, isolate_systems, extra if table == "MARC" else ())
+            tables[table].append(frame.withColumn(f"{SYSTEM_TAG}_{table}", F.lit(system)))
     union = {table: union_systems(frames) for table, frames in tables.items()}
     integrated = integration_local_material(
         union["MARA"],
@@ -89,8 +93,12 @@ def local_material_integrated(
         union["T001W"],
         union["T001"],
         extra_keys=[SYSTEM_TAG] if isolate_systems else (),
+        keep=[f"{SYSTEM_TAG}_{table}" for table in tables],
     )
-    return integrated.drop(SYSTEM_TAG)
+    own = F.col(f"{SYSTEM_TAG}_MARC")
+    others = [F.col(f"{SYSTEM_TAG}_{table}") for table in tables if table != "MARC"]
+    foreign = sum((F.coalesce((other != own).cast("int"), F.lit(0)) for other in others), F.lit(0))
+    return integrated.withColumn(FOREIGN, foreign).drop(SYSTEM_TAG, *[f"{SYSTEM_TAG}_{table}" for table in tables])
 
 
 def process_local_material(
@@ -133,8 +141,12 @@ def process_order_integrated(
     date_formats: list[str] | None = None,
     with_changes: bool = False,
     isolate_systems: bool = False,
+    change_columns: Sequence[str] = ("OBJNR", "CHNGIND", "VALUE_NEW"),
 ) -> DataFrame:
-    """Prepared, unioned and joined process order rows (before post-processing)."""
+    """Prepared, unioned and joined process order rows (before post-processing).
+
+    ``change_columns`` are the columns taken from the change items (OBJNR is the join key).
+    """
     names = ["AFKO", "AFPO", "AUFK", "MARA_ORDER"]
     tables: dict[str, list[DataFrame]] = {t: [] for t in names}
     changes: list[DataFrame] = []
@@ -149,7 +161,7 @@ def process_order_integrated(
         for table, frame in prepared.items():
             tables[table].append(_prepared(frame, table, system, isolate_systems))
         if with_changes:
-            cdpos = load("CDPOS")
+            cdpos = load("CDPOS").select(*change_columns)
             changes.append(cdpos.withColumn(SYSTEM_TAG, F.lit(system)) if isolate_systems else cdpos)
     union = {table: union_systems(frames) for table, frames in tables.items()}
     integrated = integration_process_order(
@@ -170,14 +182,16 @@ def process_process_order(
     mask_derived: bool = False,
     mask_salt: str | None = None,
     check_keys: bool = False,
+    sign: str = "planned_minus_actual",
     **options,
 ) -> DataFrame:
     """Process order: one row per order item (grain not enforced), 44 contract columns.
 
-    ``check_keys`` as for :func:`process_local_material`.
+    ``check_keys`` as for :func:`process_local_material`; ``sign`` as for
+    :func:`erpweave.functions.deviation_days`.
     """
     integrated = process_order_integrated(spark, sources, **options)
-    result = post_prep_process_order(integrated, options.get("date_formats"))
+    result = post_prep_process_order(integrated, options.get("date_formats"), sign)
     result = result.select(*C.names(C.PROCESS_ORDER_CONTRACT))
     if mask:
         masked = C.PROCESS_ORDER_MASKED + (C.PROCESS_ORDER_DERIVED_IDS if mask_derived else [])

@@ -257,6 +257,110 @@ _BLOCKS: dict[str, str] = {
         FROM po_post""",
 }
 
+
+
+def _overlap(view: str, columns: str, key: str, both: int, extra: str = "", client: str = "") -> str:
+    """One view of the overlapping fixture: every system's own parity plus the shared keys."""
+    where = f" WHERE {client}" if client else ""
+    base = f"SELECT {columns} FROM (SELECT *, {key} AS k FROM {view}{where}) r JOIN osys y ON k % 2 = y.p OR k % {both} = 0"
+    return base + (f" UNION ALL SELECT {extra}" if extra else "")
+
+
+_K_MATNR, _K_AUFNR = "CAST(MATNR AS BIGINT)", "CAST(AUFNR AS BIGINT)"
+_O_MARA = (
+    "y.s AS sys, '100' AS MANDT, MATNR, {unit} AS MEINS, CASE WHEN k % 2 <> y.p THEN 'X' || ZZMDGM ELSE ZZMDGM END AS ZZMDGM, "
+    "BISMT, LVORM, NTGEW, MTART"
+)
+_BLOCKS["osys"] = "SELECT 'SYS1' AS s, 0 AS p UNION ALL SELECT 'SYS2' AS s, 1 AS p"
+_BLOCKS["o_mara"] = (
+    _overlap("mara", _O_MARA.format(unit="CASE WHEN k % 2 <> y.p THEN 'BOX' ELSE MEINS END"), _K_MATNR, 3)
+    + f" UNION ALL SELECT * FROM ({_overlap('mara', _O_MARA.format(unit=chr(39) + 'PAL' + chr(39)), _K_MATNR, 3)} ) WHERE CAST(MATNR AS BIGINT) % 15 = 0"
+)
+_O_VALID = f"(BISMT IS NULL OR BISMT NOT IN {_RETIRED}) AND (LVORM IS NULL OR trim(LVORM) = '')"
+_BLOCKS["o_mara_p"] = f"SELECT sys, MANDT, MATNR, MEINS, ZZMDGM AS GLOBAL_MATERIAL_NUMBER, NTGEW, MTART FROM o_mara WHERE {_O_VALID}"
+_BLOCKS["o_marc_p"] = (
+    f"SELECT DISTINCT y.s AS SOURCE_SYSTEM_ERP, MATNR, WERKS FROM (SELECT *, {_K_MATNR} AS k FROM marc) r "
+    "JOIN osys y ON k % 2 = y.p OR k % 3 = 0 WHERE LVORM IS NULL"
+)
+_BLOCKS["o_mbew"] = _overlap(
+    "mbew",
+    "y.s AS sys, '100' AS MANDT, MATNR, BWKEY, VPRSV, CASE WHEN k % 2 <> y.p THEN VERPR + 1 ELSE VERPR END AS VERPR, STPRS, PEINH, "
+    "BKLAS, LVORM, BWTAR, LAEPR",
+    _K_MATNR, 3,
+)
+_BLOCKS["o_mbew_p"] = """
+    SELECT sys, MANDT, MATNR, BWKEY, VPRSV, VERPR, STPRS, PEINH, BKLAS FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY sys, MATNR, BWKEY
+            ORDER BY LAEPR DESC NULLS LAST, VERPR DESC NULLS LAST, STPRS DESC NULLS LAST, VPRSV ASC NULLS LAST,
+                     BKLAS ASC NULLS LAST, PEINH DESC NULLS LAST, MANDT ASC NULLS LAST) AS rn
+        FROM o_mbew WHERE LVORM IS NULL AND BWTAR IS NULL) WHERE rn = 1"""
+_BLOCKS["o_t001w_p"] = _overlap(
+    "t001w", "y.s AS sys, MANDT, WERKS, BWKEY, CASE WHEN k % 2 <> y.p THEN NAME1 || ' II' ELSE NAME1 END AS NAME1",
+    "CAST(substr(WERKS, 2) AS BIGINT)", 3, client="MANDT = '100'",
+)
+_BLOCKS["o_t001k_p"] = _overlap(
+    "t001k", "DISTINCT y.s AS sys, MANDT, BWKEY, BUKRS", "CAST(substr(BWKEY, 2) AS BIGINT)", 3, client="MANDT = '100'"
+)
+_BLOCKS["o_t001_p"] = _overlap(
+    "t001", "y.s AS sys, MANDT, BUKRS, WAERS", "CAST(substr(BUKRS, 2) AS BIGINT)", 3, client="MANDT = '100'"
+)
+
+
+def _overlap_joined(isolated: bool) -> str:
+    own = lambda alias: f" AND {alias}.sys = c.SOURCE_SYSTEM_ERP" if isolated else ""
+    foreign = " + ".join(f"coalesce(({a}.sys <> c.SOURCE_SYSTEM_ERP)::INT, 0)" for a in ("a", "w", "v", "k", "t"))
+    return f"""
+        SELECT a.MANDT, c.SOURCE_SYSTEM_ERP, c.MATNR, c.WERKS, a.MEINS, a.GLOBAL_MATERIAL_NUMBER, w.BWKEY, w.NAME1,
+               v.VPRSV, v.VERPR, v.STPRS, v.PEINH, v.BKLAS, k.BUKRS, t.WAERS, {foreign} AS far
+        FROM o_marc_p c
+        LEFT JOIN o_mara_p a ON a.MATNR = c.MATNR{own('a')}
+        LEFT JOIN o_t001w_p w ON w.MANDT = a.MANDT AND w.WERKS = c.WERKS{own('w')}
+        LEFT JOIN o_mbew_p v ON v.MANDT = a.MANDT AND v.MATNR = c.MATNR AND v.BWKEY = w.BWKEY{own('v')}
+        LEFT JOIN o_t001k_p k ON k.MANDT = a.MANDT AND k.BWKEY = w.BWKEY{own('k')}
+        LEFT JOIN o_t001_p t ON t.MANDT = a.MANDT AND t.BUKRS = k.BUKRS{own('t')}"""
+
+
+def _overlap_final(joined: str) -> str:
+    derived = _BLOCKS["lm_derived"].replace("FROM lm_joined", f"FROM {joined}").replace("ORDER BY MANDT", "ORDER BY far, MANDT")
+    return derived
+
+
+_BLOCKS["o_joined"] = _overlap_joined(False)
+_BLOCKS["o_joined_own"] = _overlap_joined(True)
+_BLOCKS["o_derived"] = _overlap_final("o_joined")
+_BLOCKS["o_derived_own"] = _overlap_final("o_joined_own")
+_MASKED = """* EXCLUDE (far, rn{more}) REPLACE (sha256(GLOBAL_MATERIAL_NUMBER) AS GLOBAL_MATERIAL_NUMBER, sha256(NAME1) AS NAME1,
+    sha256(BUKRS) AS BUKRS, sha256(mtl_plant_emd) AS mtl_plant_emd, sha256(MATNR) AS MATNR)"""
+# Orders: headers, items, masters and changes of both systems.
+_BLOCKS["o_afko_p"] = f"""
+    SELECT r.* EXCLUDE (k) REPLACE (y.s AS SOURCE_SYSTEM_ERP, '100' AS MANDT)
+    FROM (SELECT *, {_K_AUFNR} AS k FROM afko_p) r JOIN osys y ON k % 2 = y.p OR k % 7 = 0"""
+_BLOCKS["o_afpo_p"] = f"""
+    SELECT y.s AS sys, r.* EXCLUDE (k) FROM (SELECT *, {_K_AUFNR} AS k FROM afpo_p) r JOIN osys y ON k % 2 = y.p OR k % 7 = 0"""
+_BLOCKS["o_aufk_p"] = f"""
+    SELECT y.s AS sys, r.* EXCLUDE (k) FROM (SELECT *, {_K_AUFNR} AS k FROM aufk_p) r JOIN osys y ON k % 2 = y.p OR k % 7 = 0"""
+_BLOCKS["o_cdpos"] = """
+    WITH one AS (SELECT r.OBJNR, r.CHNGIND, r.VALUE_NEW, k FROM (SELECT *, CAST(substr(OBJNR, 4) AS BIGINT) AS k FROM cdpos) r
+                 JOIN osys y ON k % 2 = y.p OR k % 7 = 0)
+    SELECT OBJNR, CHNGIND, VALUE_NEW FROM one UNION ALL SELECT OBJNR, 'D' AS CHNGIND, NULL AS VALUE_NEW FROM one WHERE k % 5 = 0"""
+
+
+def _overlap_orders(isolated: bool) -> str:
+    own = lambda alias: f" AND {alias}.sys = h.SOURCE_SYSTEM_ERP" if isolated else ""
+    return f"""
+        SELECT h.*, i.POSNR, i.DWERK, i.MATNR, i.MEINS, i.KDAUF, i.KDPOS, i.LTRMI, m.OBJNR, m.ERDAT, m.ERNAM, m.AUART,
+               coalesce(m.ZZGLTRP_ORIG, h.GLTRP) AS ZZGLTRP_ORIG, m.ZZPRO_TEXT, g.GLOBAL_MATERIAL_NUMBER, g.NTGEW, g.MTART
+        FROM o_afko_p h
+        LEFT JOIN o_aufk_p m ON m.AUFNR = h.AUFNR{own('m')}
+        LEFT JOIN o_afpo_p i ON i.AUFNR = h.AUFNR{own('i')}
+        LEFT JOIN o_mara_p g ON g.MATNR = i.MATNR{own('g')}"""
+
+
+_BLOCKS["o_orders"] = _overlap_orders(False)
+_BLOCKS["o_orders_own"] = _overlap_orders(True)
+_BLOCKS["o_orders_post"] = _BLOCKS["po_post"].replace("FROM po_joined", "FROM o_orders_own")
+
 _LM_RENAME = """
     MANDT AS client, SOURCE_SYSTEM_ERP AS source_system_erp, MATNR AS material_number, WERKS AS plant,
     MEINS AS base_unit_of_measure, GLOBAL_MATERIAL_NUMBER AS global_material_number, BWKEY AS valuation_area,
@@ -431,6 +535,39 @@ _QUERIES_SQL: dict[str, str] = {
     "process_order": "SELECT * FROM po",
     "local_material_final": f"SELECT {_LM_RENAME} FROM lm",
     "process_order_final": f"SELECT {_PO_RENAME} FROM po",
+    # Shared client and numbers
+    "overlap_valuation": "SELECT * EXCLUDE (sys) FROM o_mbew_p",
+    "overlap_valuation_area": "SELECT * EXCLUDE (sys) FROM o_t001k_p",
+    "overlap_joined": "SELECT * EXCLUDE (far) FROM o_joined",
+    "overlap_local_material": f"SELECT {_MASKED.format(more=', no_of_duplicates')} FROM o_derived WHERE rn = 1",
+    "overlap_counts": f"SELECT {_MASKED.format(more='')} FROM o_derived WHERE rn = 1",
+    "local_material_isolated": f"SELECT {_MASKED.format(more=', no_of_duplicates')} FROM o_derived_own WHERE rn = 1",
+    "overlap_order_changes": "SELECT j.*, d.CHNGIND, d.VALUE_NEW FROM o_orders j LEFT JOIN o_cdpos d ON j.OBJNR = d.OBJNR",
+    "overlap_order_hot": """
+        SELECT h.*, i.POSNR, i.DWERK, i.MATNR, i.MEINS, i.KDAUF, i.KDPOS, i.LTRMI
+        FROM o_afko_p h LEFT JOIN o_afpo_p i ON i.AUFNR = h.AUFNR""",
+    "process_order_isolated": """
+        SELECT * REPLACE (sha256(AUFNR) AS AUFNR, sha256(MATNR) AS MATNR, sha256(KDPOS) AS KDPOS,
+                          sha256(KDAUF) AS KDAUF, sha256(ERNAM) AS ERNAM, sha256(OBJNR) AS OBJNR)
+        FROM o_orders_post""",
+    "order_deviation_late_positive": f"""
+        SELECT {_PO_KEYS}, 0 - actual_on_time_deviation AS actual_on_time_deviation,
+               CASE WHEN actual_on_time_deviation >= 0 THEN 'On Time'
+                    WHEN actual_on_time_deviation BETWEEN -7 AND -1 THEN '1-7 Days Late'
+                    WHEN actual_on_time_deviation BETWEEN -14 AND -8 THEN '8-14 Days Late'
+                    WHEN actual_on_time_deviation < -14 THEN '>14 Days Late' ELSE 'Unknown' END AS late_delivery_bucket
+        FROM po_post""",
+    # Published output and lost values
+    "harmonize_published": f"""
+        SELECT {_LM_RENAME.replace("SOURCE_SYSTEM_ERP AS source_system_erp", "CASE SOURCE_SYSTEM_ERP WHEN 'SYS1' THEN '001' ELSE '010' END AS source_system_erp").replace("primary_key_inter", "CASE SOURCE_SYSTEM_ERP WHEN 'SYS1' THEN '001' ELSE '010' END || substr(primary_key_inter, 5) AS primary_key_inter")}
+        FROM lm""",
+    "conform_rejects": f"""
+        SELECT system, 'MBEW' AS table_name, 'STPRS' AS column_name,
+               count(*) FILTER (WHERE l_quantity % 5 = 0) AS rejected
+        FROM (SELECT *, {_SYS.format(k="l_partkey")} AS system FROM lineitem) GROUP BY system
+        UNION ALL
+        SELECT system, 'AFPO', 'LTRMI', count(*) FILTER (WHERE l_linenumber = 3)
+        FROM (SELECT *, {_SYS.format(k="l_orderkey")} AS system FROM lineitem) GROUP BY system""",
 }
 
 

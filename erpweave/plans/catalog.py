@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from erpweave import contracts as C
 from erpweave.operators import (
@@ -41,8 +42,9 @@ from erpweave.operators import (
     union_systems,
 )
 from erpweave.operators.dedup import asc_nulls_last
-from erpweave.operators.derive import MATERIAL_GRAIN, material_dedup_order
+from erpweave.operators.derive import FOREIGN, MATERIAL_GRAIN, material_dedup_order
 from erpweave.operators.prep import valuation_order
+from erpweave.plans.harmonize import harmonize_data, read_published, rejected_values
 from erpweave.plans.pipelines import (
     local_material_integrated,
     process_local_material,
@@ -53,10 +55,10 @@ from erpweave.plans.pipelines import (
 )
 from erpweave.functions import not_deleted, not_deleted_or_blank, old_material_number_valid
 from erpweave.session import scratch_path
-from erpweave.sources.fixtures import SYSTEMS, TpchErpSources
+from erpweave.sources.fixtures import SYSTEMS, OverlappingErpSources, TpchErpSources
 from erpweave.sources.readers import read_csv_file, read_csv_typed
 from erpweave.sources.registry import SourceRegistry, SystemLocation
-from erpweave.sources.sinks import write_table
+from erpweave.sources.sinks import read_written, write_table
 
 # Fixed reference day for every query, so current_date never reaches a result.
 AS_OF = "2024-06-15"
@@ -172,11 +174,18 @@ def sink_csv_roundtrip(spark, sf_dir):
 def sink_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "process-order-parquet")
     write_table(rename_process_order(_process_order(spark, sf_dir)), path, partition_by=["source_system_erp"])
-    return spark.read.parquet(path)
+    return read_written(spark, path, C.renamed(C.PROCESS_ORDER_CONTRACT, C.PROCESS_ORDER_RENAME))
 
 
 def profile_columns(spark, sf_dir):
-    return profile_data(_view(spark, sf_dir, "MBEW"))
+    """Profile of the valuations; numbers shown with 4 and 6 decimals to compare across engines."""
+    mbew = _view(spark, sf_dir, "MBEW")
+    shown = F.col("column_name").isin(*[f.name for f in mbew.schema.fields if isinstance(f.dataType, NumericType)])
+    fixed = {
+        c: F.when(shown, F.col(c).cast("double").cast("decimal(38,6)").cast("string")).otherwise(F.col(c))
+        for c in ("min_value", "max_value")
+    }
+    return profile_data(mbew, decimals=4).withColumns(fixed)
 
 
 def run_summary(spark, sf_dir):
@@ -282,7 +291,9 @@ def join_header_item(spark, sf_dir):
 
 
 def join_order_master(spark, sf_dir):
-    return left_join(join_header_item(spark, sf_dir), _aufk_p(spark, sf_dir), "AUFNR")
+    """Headers with order masters, then items: the order and options of the integration."""
+    masters = left_join(_afko_p(spark, sf_dir), _aufk_p(spark, sf_dir), "AUFNR")
+    return left_join(masters, _afpo_p(spark, sf_dir), "AUFNR", split_right_skew=True)
 
 
 def integrate_order(spark, sf_dir):
@@ -312,7 +323,7 @@ def distinct_rows_query(spark, sf_dir):
 
 def dedup_material(spark, sf_dir):
     joined = _lm_joined(spark, sf_dir)
-    return latest_per_key(joined, MATERIAL_GRAIN, material_dedup_order(joined.columns))
+    return latest_per_key(joined, MATERIAL_GRAIN, material_dedup_order(joined.columns)).drop(FOREIGN)
 
 
 def dedup_material_counts(spark, sf_dir):
@@ -458,6 +469,100 @@ def process_order_final(spark, sf_dir):
     return rename_process_order(_process_order(spark, sf_dir))
 
 
+# --- systems that share a client and numbers -------------------------------------------
+
+
+def overlap_valuation(spark, sf_dir):
+    """Latest valuation per system where one system's LAEPR is text."""
+    src = OverlappingErpSources(sf_dir)
+    return union_systems([prep_material_valuation(src.load(spark, s, "MBEW")) for s in src.systems])
+
+
+def overlap_valuation_area(spark, sf_dir):
+    """Valuation areas that the extracts hold twice."""
+    src = OverlappingErpSources(sf_dir)
+    return union_systems([prep_valuation_data(src.load(spark, s, "T001K")) for s in src.systems])
+
+
+def overlap_joined(spark, sf_dir):
+    return local_material_integrated(spark, OverlappingErpSources(sf_dir)).drop(FOREIGN)
+
+
+def overlap_local_material(spark, sf_dir):
+    """Local material where every join fans out over both systems; own rows win."""
+    return process_local_material(spark, OverlappingErpSources(sf_dir))
+
+
+def overlap_counts(spark, sf_dir):
+    return process_local_material(spark, OverlappingErpSources(sf_dir), count_duplicates=True)
+
+
+def local_material_isolated(spark, sf_dir):
+    return process_local_material(spark, OverlappingErpSources(sf_dir), isolate_systems=True)
+
+
+def overlap_order_changes(spark, sf_dir):
+    """Orders with several changes each, and orders that both systems number alike."""
+    return process_order_integrated(spark, OverlappingErpSources(sf_dir), as_of=AS_OF, with_changes=True)
+
+
+def overlap_order_hot(spark, sf_dir):
+    """The same joins with every key of the split joins salted: a threshold of one row."""
+    src = OverlappingErpSources(sf_dir)
+    afko = union_systems([prep_sap_order_header_data(src.load(spark, s, "AFKO"), AS_OF) for s in src.systems])
+    afpo = union_systems([prep_sap_order_item(src.load(spark, s, "AFPO")) for s in src.systems])
+    return left_join(afko, afpo, "AUFNR", split_right_skew=True, hot_key_rows=2)
+
+
+def process_order_isolated(spark, sf_dir):
+    return process_process_order(spark, OverlappingErpSources(sf_dir), as_of=AS_OF, isolate_systems=True)
+
+
+def order_deviation_late_positive(spark, sf_dir):
+    """Deviation with lateness positive, and the buckets that follow from it."""
+    post = post_prep_process_order(_po_joined(spark, sf_dir), sign="actual_minus_planned")
+    return post.select("AUFNR", "POSNR", "DWERK", "actual_on_time_deviation", "late_delivery_bucket")
+
+
+# --- published output and lost values ---------------------------------------------------
+
+
+class _NumberedSources(TpchErpSources):
+    """The fixture with system ids that read as numbers: 001 and 010."""
+
+    def load(self, spark: SparkSession, system: str, table: str) -> DataFrame:
+        df = super().load(spark, system, table)
+        if "SOURCE_SYSTEM_ERP" not in df.columns:
+            return df
+        return df.withColumn("SOURCE_SYSTEM_ERP", F.lit("001" if system == "SYS1" else "010"))
+
+
+def harmonize_published(spark, sf_dir):
+    """The run's own output, read back: local material of systems 001 and 010."""
+    root = scratch_path(spark, "published")
+    harmonize_data(spark, _NumberedSources(sf_dir), root, on_key_violation="report", order_options={"as_of": AS_OF})
+    return read_published(spark, root, "local_material")
+
+
+class _UntidySources(TpchErpSources):
+    """The fixture with prices and dates as text, some in forms that no type accepts."""
+
+    def load(self, spark: SparkSession, system: str, table: str) -> DataFrame:
+        df = super().load(spark, system, table)
+        if table == "MBEW":
+            text = "CASE WHEN STPRS % 5 = 0 THEN concat(CAST(CAST(STPRS AS INT) AS STRING), ',50-') ELSE CAST(STPRS AS STRING) END"
+            return df.withColumn("STPRS", F.expr(text))
+        if table == "AFPO":
+            text = "CASE WHEN POSNR = '2' THEN date_format(LTRMI, 'yyyyMMdd') WHEN POSNR = '3' THEN 'soon' ELSE CAST(LTRMI AS STRING) END"
+            return df.withColumn("LTRMI", F.expr(text))
+        return df
+
+
+def conform_rejects_query(spark, sf_dir):
+    """Values that typing the extracts turns into null, per system and column."""
+    return rejected_values(spark, _UntidySources(sf_dir), ["MBEW", "AFPO"], date_formats=["yyyyMMdd"])
+
+
 QUERIES: dict[str, Query] = {
     # S: scans, sinks, profile
     "scan_csv_inferred": scan_csv_inferred,
@@ -534,4 +639,17 @@ QUERIES: dict[str, Query] = {
     "process_order": process_order,
     "local_material_final": local_material_final,
     "process_order_final": process_order_final,
+    # Shared client and numbers, published output, lost values
+    "overlap_valuation": overlap_valuation,
+    "overlap_valuation_area": overlap_valuation_area,
+    "overlap_joined": overlap_joined,
+    "overlap_local_material": overlap_local_material,
+    "overlap_counts": overlap_counts,
+    "local_material_isolated": local_material_isolated,
+    "overlap_order_changes": overlap_order_changes,
+    "overlap_order_hot": overlap_order_hot,
+    "process_order_isolated": process_order_isolated,
+    "order_deviation_late_positive": order_deviation_late_positive,
+    "harmonize_published": harmonize_published,
+    "conform_rejects": conform_rejects_query,
 }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, StructType
 
 
 def _quoted(name: str) -> str:
@@ -39,3 +42,26 @@ def conform(df: DataFrame, schema: StructType, allow_missing: bool = False, keep
         wanted = {field.name for field in schema.fields}
         columns += [_quoted(name) for name in df.columns if name not in wanted]
     return df.selectExpr(*columns)
+
+
+def conform_rejects(df: DataFrame, schema: StructType, date_formats: Sequence[str] = ()) -> DataFrame:
+    """column_name and rejected: per column of ``schema`` the values that conforming turns into null.
+
+    One aggregation over the columns whose type changes. A date column also accepts text in
+    ``date_formats`` (after ISO), as the preparation operators do when given them.
+    """
+    present = {field.name: field.dataType for field in df.schema.fields}
+    counts = []
+    for field in schema.fields:
+        if field.name not in present or present[field.name] == field.dataType:
+            continue
+        value = F.col(_quoted(field.name))
+        kept = [value.try_cast(field.dataType)]
+        if isinstance(field.dataType, DateType):
+            kept += [F.try_to_date(value.cast("string"), fmt) for fmt in date_formats]
+        counts.append((field.name, F.count_if(value.isNotNull() & F.coalesce(*kept).isNull())))
+    if not counts:
+        return df.sparkSession.createDataFrame([], "column_name string, rejected long")
+    wide = df.agg(*[count.alias(f"c{i}") for i, (_, count) in enumerate(counts)])
+    cells = [F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias("rejected")) for i, (name, _) in enumerate(counts)]
+    return wide.select(F.inline(F.array(*cells)))

@@ -214,3 +214,63 @@ class TpchErpSources:
                 out = out.unionByName(frame)
             return out
         return view.build(base)
+
+
+# Per table of the overlapping fixture: the expression of the numeric key, and the modulus of
+# the keys that both systems deliver.
+OVERLAP: dict[str, tuple[str, int]] = {
+    "MARA": ("CAST(MATNR AS BIGINT)", 3),
+    "MARC": ("CAST(MATNR AS BIGINT)", 3),
+    "MBEW": ("CAST(MATNR AS BIGINT)", 3),
+    "T001W": ("CAST(substring(WERKS, 2) AS BIGINT)", 3),
+    "T001K": ("CAST(substring(BWKEY, 2) AS BIGINT)", 3),
+    "T001": ("CAST(substring(BUKRS, 2) AS BIGINT)", 3),
+    "AFKO": ("CAST(AUFNR AS BIGINT)", 7),
+    "AFPO": ("CAST(AUFNR AS BIGINT)", 7),
+    "AUFK": ("CAST(AUFNR AS BIGINT)", 7),
+    "CDPOS": ("CAST(substring(OBJNR, 4) AS BIGINT)", 7),
+}
+
+
+@dataclass
+class OverlappingErpSources:
+    """Two systems that share one client and many numbers, as the shipped extracts do.
+
+    Besides the keys of its parity a system delivers every key divisible by the table's
+    modulus. A row of the other parity is marked as that system's own version (unit ``BOX``,
+    global number prefix ``X``, plant name suffix, price plus one). MARA holds a second copy of
+    every material divisible by 15, T001K every row twice where its number is even, CDPOS a
+    second change for every order divisible by 5; the second system delivers LAEPR as text.
+    """
+
+    sf_dir: str
+    systems: list[str] = field(default_factory=lambda: list(SYSTEMS))
+
+    def __post_init__(self) -> None:
+        self.inner = TpchErpSources(self.sf_dir)
+
+    def load(self, spark: SparkSession, system: str, table: str) -> DataFrame:
+        _, parity = SYSTEMS[system]
+        key, both = OVERLAP[table]
+        rows = self.inner.view(spark, table)
+        if VIEWS[table].system_key is None:
+            rows = rows.filter("MANDT = '100'")
+        rows = rows.filter(f"{key} % 2 = {parity} OR {key} % {both} = 0")
+        other = f"{key} % 2 <> {parity}"
+        changes = {"MANDT": "'100'", "SOURCE_SYSTEM_ERP": f"'{system}'"}
+        if table == "MARA":
+            changes |= {"MEINS": f"CASE WHEN {other} THEN 'BOX' ELSE MEINS END", "ZZMDGM": f"CASE WHEN {other} THEN concat('X', ZZMDGM) ELSE ZZMDGM END"}
+        elif table == "MBEW":
+            changes["VERPR"] = f"CASE WHEN {other} THEN VERPR + 1 ELSE VERPR END"
+            if parity:
+                changes["LAEPR"] = "date_format(LAEPR, 'dd.MM.yyyy')"
+        elif table == "T001W":
+            changes["NAME1"] = f"CASE WHEN {other} THEN concat(NAME1, ' II') ELSE NAME1 END"
+        rows = rows.selectExpr(*[f"{changes[c]} AS {c}" if c in changes else c for c in rows.columns])
+        if table == "MARA":
+            rows = rows.unionByName(rows.filter(f"{key} % 15 = 0").selectExpr(*["'PAL' AS MEINS" if c == "MEINS" else c for c in rows.columns]))
+        elif table == "T001K":
+            rows = rows.unionByName(rows.filter(f"{key} % 2 = 0"))
+        elif table == "CDPOS":
+            rows = rows.unionByName(rows.filter(f"{key} % 5 = 0").selectExpr("OBJNR", "'D' AS CHNGIND", "CAST(NULL AS STRING) AS VALUE_NEW"))
+        return rows

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_table(
@@ -29,3 +30,35 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+
+
+def read_written(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A table written by ``write_table`` with the types and column order of ``schema``.
+
+    The schema is given and not inferred, so a partition column keeps its type (a system id
+    ``001`` stays text) and its place.
+    """
+    reader = spark.read.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("enforceSchema", False)
+    return reader.load(path).select(*schema.fieldNames())
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Replace ``target`` by the folder ``source`` (a rename within one file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(conf)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        msg = f"cannot move {source} to {target}"
+        raise OSError(msg)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from erpweave.llm import decontaminate, mixing, ngram_join, quality, token_output
 from erpweave.llm.queries import tokenizer_path
-from erpweave.llm.stored import stored
+from erpweave.llm.stored import stored, workers_find_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
+    workers_find_package(spark)
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -24,9 +24,11 @@ from erpweave.llm import (
     topk,
     toxicity,
 )
+from erpweave.llm.stored import workers_find_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -108,20 +108,22 @@ def prep_material_valuation(
     df: DataFrame,
     keys: Sequence[str] = ("MATNR", "BWKEY"),
     date_formats: Sequence[str] = VALUATION_DATE_FORMATS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Material valuation (MBEW): undeleted, not split-valuated, latest LAEPR per key.
 
     ``keys`` defaults to the reference's (MATNR, BWKEY); pass ("MANDT", "MATNR", "BWKEY")
     to keep clients apart. A LAEPR that arrives as text is converted for the ranking (see
-    ``evaluation_order``; ``date_formats`` are tried after ISO).
+    ``evaluation_order``; ``date_formats`` are tried after ISO). ``keep`` names further
+    columns to carry along.
     """
     require_dataframe(df)
     kept = df.filter(not_deleted() & no_split_valuation())
     laepr = df.schema["LAEPR"].dataType if "LAEPR" in df.columns else None
     latest = latest_per_key(kept, list(keys), valuation_order(df.columns, laepr, date_formats))
-    # One row per (MATNR, BWKEY) is left by default: only other keys can leave equal rows.
-    columns = latest.select(*VALUATION_COLUMNS)
-    return columns if set(keys) <= set(VALUATION_COLUMNS) else distinct_rows(columns)
+    # One row per key is left: equal rows remain only where a key is not among the columns.
+    columns = [*VALUATION_COLUMNS, *keep]
+    return latest.select(*columns) if set(keys) <= set(columns) else distinct_rows(latest.select(*columns))
 
 
 def prep_plant_data_for_material(

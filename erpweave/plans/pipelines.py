@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from erpweave import contracts as C
 from erpweave.operators import (
@@ -33,10 +34,11 @@ from erpweave.operators import (
     prep_sap_order_header_data,
     prep_sap_order_item,
     prep_sap_order_master_data,
-    prep_valuation_data,
     union_systems,
 )
+from erpweave.operators.dedup import distinct_rows
 from erpweave.operators.derive import FOREIGN
+from erpweave.operators.guards import require_bool
 from erpweave.sources.conform import conform
 from erpweave.sources.registry import Sources
 
@@ -48,6 +50,14 @@ def _prepared(frame: DataFrame, table: str, system: str, isolate: bool, extra: S
     return out.withColumn(SYSTEM_TAG, F.lit(system)) if isolate else out
 
 
+def _valuation_schema(frames: Sequence[DataFrame]) -> StructType:
+    """The valuation columns in their prepared types; LAEPR in the systems' common type, else text."""
+    found = {f.schema["LAEPR"].dataType for f in frames if "LAEPR" in f.columns}
+    laepr = found.pop() if len(found) == 1 else StringType()
+    flags = C.struct(("LVORM", StringType()), ("BWTAR", StringType()), ("LAEPR", laepr))
+    return StructType([*C.PREPARED_SCHEMAS["MBEW"].fields, *flags.fields])
+
+
 def local_material_integrated(
     spark: SparkSession,
     sources: Sources,
@@ -67,24 +77,35 @@ def local_material_integrated(
     counts the joined rows of other systems; the final de-duplication takes the row with the
     fewest and drops the column.
     """
+    require_bool(drop_duplicate_plants, "drop_duplicate_records")
     tables: dict[str, list[DataFrame]] = {t: [] for t in ("MARA", "MBEW", "MARC", "T001K", "T001W", "T001")}
     extra = additional_plant_fields or []
+    loaded = {system: sources.load(spark, system, "MBEW") for system in sources.systems}
+    valuation = _valuation_schema(list(loaded.values()))
     for system in sources.systems:
         load = lambda table: sources.load(spark, system, table)
         prepared: dict[str, DataFrame] = {
             "MARA": prep_general_material_data(
                 load("MARA"), global_material_column, check_old_material_number, check_material_deleted
             ),
-            "MBEW": prep_material_valuation(load("MBEW"), valuation_keys),
-            "MARC": prep_plant_data_for_material(load("MARC"), check_plant_deleted, drop_duplicate_plants, extra or None),
-            "T001K": prep_valuation_data(load("T001K")),
+            "MARC": prep_plant_data_for_material(load("MARC"), check_plant_deleted, False, extra or None),
+            "T001K": load("T001K").select(*C.names(C.PREPARED_SCHEMAS["T001K"])),
             "T001W": prep_plant_and_branches(load("T001W")),
             "T001": prep_company_codes(load("T001")),
         }
-        for table, frame in prepared.items():
-            frame = _prepared(frame, table, system, isolate_systems, extra if table == "MARC" else ())
+        typed = {t: _prepared(frame, t, system, isolate_systems, extra if t == "MARC" else ()) for t, frame in prepared.items()}
+        mbew = conform(loaded[system], valuation, allow_missing=True)
+        typed["MBEW"] = mbew.withColumn(SYSTEM_TAG, F.lit(system)) if isolate_systems else mbew
+        for table, frame in typed.items():
             tables[table].append(frame.withColumn(f"{SYSTEM_TAG}_{table}", F.lit(system)))
+    # The systems are unioned before their windows and distincts, which run once with the
+    # system in the key: the number of shuffles does not grow with the number of systems.
     union = {table: union_systems(frames) for table, frames in tables.items()}
+    tags = [f"{SYSTEM_TAG}_MBEW", *([SYSTEM_TAG] if isolate_systems else [])]
+    union["MBEW"] = prep_material_valuation(union["MBEW"], [tags[0], *valuation_keys], keep=tags)
+    union["T001K"] = distinct_rows(union["T001K"])
+    if drop_duplicate_plants:
+        union["MARC"] = distinct_rows(union["MARC"])
     integrated = integration_local_material(
         union["MARA"],
         union["MBEW"],

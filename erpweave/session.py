@@ -108,5 +108,18 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared work folder."""
-    return f"{work_dir(spark)}/erpweave/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared work folder, in this application's own part of it."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/erpweave/{spark.conf.get('spark.app.id', 'session')}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application once their results are written.
+
+    Results that are still lazy read these tables, so call it at the end of a run.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

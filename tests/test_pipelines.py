@@ -98,7 +98,7 @@ def test_pipelines_can_check_keys_right_away(spark):
         process_process_order(spark, src, as_of=AS_OF, check_keys=True)
 
 
-@pytest.mark.parametrize(("name", "max_exchanges"), [("local_material_final", 19), ("process_order_final", 12)])
+@pytest.mark.parametrize(("name", "max_exchanges"), [("local_material_final", 14), ("process_order_final", 8)])
 def test_shuffle_count_without_broadcasts(spark, name, max_exchanges):
     """The large-scale shape (nothing broadcastable): each join, window and distinct adds at
     most one hash exchange per side."""

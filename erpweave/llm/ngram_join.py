@@ -16,7 +16,7 @@ one of any k + 1 segments, or differ in at most one element on one of any (k + 1
 * Signatures meet in hash partitions, packed as binary. Sets of equal content have equal
   keys and count once. A signature shared by up to ``SMALL`` sets gives all its pairs, a
   larger one a star around its smallest key; the rest of its pairs is only tried where
-  components still differ, hub by hub, after a bound on the symmetric difference (512-bit
+  components still differ, in blocks, after a bound on the symmetric difference (512-bit
   parity sketches never exceed it). So linked groups cost their size, not its square.
 * Candidates are verified exactly on the sets of the texts; components come from
   alternating stars. No pair is lost: each is verified, implied by its component, or
@@ -45,11 +45,11 @@ from erpweave.llm.text import LOWER, NON_SPACE, mix64, slices, utf8, windows, wo
 WIDTH = 5
 NUM, DEN = 80, 100  # Jaccard of at least NUM / DEN; the bounds below are written for 0.8
 SMALL = 16  # sets under one signature up to which all pairs are tried at once
-ALL_HUBS = 2048  # members of a signature that are tried against all others in one round
+BLOCK = 4096  # members of a large signature that one task holds at once
 SKETCH_BITS = 512
 EMPTY_COST = 40.0  # cost of a chance agreement on an empty segment, in signatures
 FLUSH = 1 << 21  # signatures that a task packs at once
-PER_PART = 1 << 17  # shingles per hash partition aimed at
+PER_PART = 1 << 20  # shingles per hash partition aimed at
 NO_ID = -(1 << 63)
 
 
@@ -207,30 +207,50 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 
 def _packed_signatures(docs: DataFrame, bits: int) -> DataFrame:
-    """part, sig (5 bytes each, lowest bit: allocated) and key (8 bytes each), packed per task and part."""
+    """part, kind, sig and keys, packed per task and part.
 
-    def packed(sig: list, key: list) -> pa.RecordBatch:
+    Kind 0: signatures (5 bytes: 38 bits of the signature, then the flags large and allocated)
+    and set keys (8 bytes). A signature that more than ``SMALL`` sets of one task share is
+    combined there: its smallest key goes on alone, marked large, and its members as kind 1
+    (8 bytes for signature and key each), which only pass through the parts.
+    """
+
+    def packed(sig: list, key: list, turn: int) -> Iterator[pa.RecordBatch]:
         s, k = np.concatenate(sig), np.concatenate(key)
-        order = np.lexsort((k, s))
+        order = np.lexsort((k, s >> np.uint64(64 - bits - 38)))
         s, k = s[order], k[order]
-        part = (s >> np.uint64(64 - bits)).astype(np.int64)
-        low = ((s >> np.uint64(64 - bits - 39)) & np.uint64((1 << 39) - 1)) << np.uint64(1) | (s & np.uint64(1))
-        fresh = np.ones(len(s), bool)
-        fresh[1:] = (s[1:] != s[:-1]) | (k[1:] != k[:-1])
-        part, low, k = part[fresh], low[fresh], k[fresh]
+        allocated = (s & np.uint64(1)).astype(bool)
+        s = s >> np.uint64(64 - bits - 38)  # the part and 38 bits
+        at = np.flatnonzero(_fresh(s, k))
+        allocated, s, k = np.logical_or.reduceat(allocated, at), s[at], k[at]
+        start = np.flatnonzero(_fresh(s))
+        size = np.diff(np.append(start, len(s)))
+        keep, large = np.ones(len(s), bool), np.zeros(len(s), bool)
+        members = []
+        for lo, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+            own = k[lo : lo + n]
+            allocated[lo], large[lo], keep[lo + 1 : lo + n] = allocated[lo : lo + n].any(), True, False
+            members.append((np.full(n, s[lo]), own))
+        part = (s >> np.uint64(38)).astype(np.int64)
+        low = (s & np.uint64((1 << 38) - 1)) << np.uint64(2) | large.astype(np.uint64) << np.uint64(1) | allocated.astype(np.uint64)
+        part, low, k = part[keep], low[keep], k[keep]
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
         upto = np.append(cuts[1:], len(part))
         five = np.ascontiguousarray(low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(part[cuts]),
-                pa.array([five[a:b].tobytes() for a, b in zip(cuts, upto, strict=True)], pa.binary()),
-                pa.array([k[a:b].astype("<u8").tobytes() for a, b in zip(cuts, upto, strict=True)], pa.binary()),
-            ],
-            names=["part", "sig", "keys"],
+        yield _packed_batch(
+            part[cuts], 0, [five[a:b].tobytes() for a, b in zip(cuts, upto, strict=True)],
+            [k[a:b].astype("<u8").tobytes() for a, b in zip(cuts, upto, strict=True)],
         )
+        if members:
+            left, right = (np.concatenate(x).astype("<u8") for x in zip(*members, strict=True))
+            cells = range(0, len(left), 1 << 16)
+            places = np.array([(turn + i) % (1 << bits) for i in range(len(cells))], np.int64)
+            yield _packed_batch(places, 1, [left[c : c + (1 << 16)].tobytes() for c in cells], [right[c : c + (1 << 16)].tobytes() for c in cells])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        turn = TaskContext.get().partitionId() * 7919
         sig: list[np.ndarray] = []
         key: list[np.ndarray] = []
         have = 0
@@ -240,12 +260,28 @@ def _packed_signatures(docs: DataFrame, bits: int) -> DataFrame:
             key.append(set_keys(tokens, own)[d])
             have += len(s)
             if have >= FLUSH:
-                yield packed(sig, key)
-                sig, key, have = [], [], 0
+                yield from packed(sig, key, turn)
+                sig, key, have, turn = [], [], 0, turn + 101
         if have:
-            yield packed(sig, key)
+            yield from packed(sig, key, turn)
+
+    return docs.mapInArrow(run, "part long, kind int, sig binary, keys binary")
+
 
-    return docs.mapInArrow(run, "part long, sig binary, keys binary")
+def _packed_batch(part: np.ndarray, kind: int, sig: list[bytes], keys: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part), pa.array(np.full(len(part), kind, np.int32)), pa.array(sig, pa.binary()), pa.array(keys, pa.binary())],
+        names=["part", "kind", "sig", "keys"],
+    )
+
+
+def _fresh(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = False
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def _unique_pairs(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -258,45 +294,49 @@ def _unique_pairs(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarra
     return a[fresh], b[fresh]
 
 
-def _met(part: int, sig: np.ndarray, key: np.ndarray) -> pa.Table:
-    """Pairs (kind 0) of the sets that share signatures, and members (kind 1) of large signatures."""
-    order = np.lexsort((key, sig >> np.uint64(1)))
+def _met(part: int, sig: np.ndarray, key: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b) of the sets that share a signature, and of the large signatures that join
+    sets (signature, key) of the members that came here and (signature, smallest key)."""
+    order = np.lexsort((key, sig >> np.uint64(2)))
     sig, key = sig[order], key[order]
-    allocated, sig = (sig & np.uint64(1)).astype(bool), sig >> np.uint64(1)
-    head = np.ones(len(sig), bool)
-    head[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-    at = np.flatnonzero(head)
-    allocated = np.logical_or.reduceat(allocated, at) if len(at) else allocated
+    flags, sig = (sig & np.uint64(3)).astype(np.int64), sig >> np.uint64(2)
+    at = np.flatnonzero(_fresh(sig, key))
+    flags = np.bitwise_or.reduceat(flags, at) if len(at) else flags
     sig, key = sig[at], key[at].view(np.int64)
-    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+    start = np.flatnonzero(_fresh(sig)) if len(sig) else np.zeros(0, np.int64)
     size = np.diff(np.append(start, len(sig)))
-    live = (size > 1) & (np.add.reduceat(allocated.astype(np.int64), start) > 0) if len(start) else size > 1
-    start, size = start[live], size[live]
+    of_sig = np.bitwise_or.reduceat(flags, start) if len(start) else flags
+    large = ((size > SMALL) | (of_sig & 2 > 0)) & (of_sig & 1 > 0)
+    few = (size > 1) & ~large & (of_sig & 1 > 0)
     pairs: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for c in range(2, SMALL + 1):
-        rows = start[size == c]
+        rows = start[few & (size == c)]
         if len(rows):
             i, j = np.triu_indices(c, 1)
             a, b = (rows[:, None] + i).ravel(), (rows[:, None] + j).ravel()
-            ok = allocated[a] | allocated[b]
+            ok = (flags[a] | flags[b]) & 1 > 0
             pairs.append((key[a[ok]], key[b[ok]]))
-    members_s, members_k = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for s, c in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        pairs.append((np.full(c - 1, key[s]), key[s + 1 : s + c]))
-        members_s.append(np.full(c, (part << 39) | int(sig[s])).astype(np.int64))
-        members_k.append(key[s : s + c])
-    a, b = _unique_pairs(pairs)
-    ms, mk = np.concatenate(members_s), np.concatenate(members_k)
-    kind = np.concatenate([np.zeros(len(a), np.int32), np.ones(len(ms), np.int32)])
-    return pa.table({"kind": kind, "a": np.concatenate([a, ms]), "b": np.concatenate([b, mk])})
+    name = (part << 38) | sig.astype(np.int64)
+    within = np.repeat(large, size)
+    return [_unique_pairs(pairs), (name[within], key[within]), (name[start[large]], key[start[large]])]
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    raw = b"".join(table.column("sig").to_pylist())
+    """kind 0: pairs (a, b); kind 1: members (signature, key) of large signatures; kind 2: their hubs."""
+    kinds = table.column("kind").to_numpy()
+    sigs, keys = table.column("sig").to_pylist(), table.column("keys").to_pylist()
+
+    def joined(cells: list[bytes], kind: int) -> bytes:
+        return b"".join([c for c, k in zip(cells, kinds.tolist(), strict=True) if k == kind])
+
+    raw = joined(sigs, 0)
     wide = np.zeros((len(raw) // 5, 8), np.uint8)
     wide[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    key = np.frombuffer(b"".join(table.column("keys").to_pylist()), "<u8")
-    return _met(table.column("part")[0].as_py(), wide.view("<u8").ravel().astype(np.uint64), key.astype(np.uint64))
+    key = np.frombuffer(joined(keys, 0), "<u8").astype(np.uint64)
+    found = _met(table.column("part")[0].as_py(), wide.view("<u8").ravel().astype(np.uint64), key)
+    found[1] = tuple(np.concatenate([x, np.frombuffer(joined(c, 1), "<i8")]) for x, c in zip(found[1], (sigs, keys), strict=True))
+    kind = np.repeat(np.arange(3, dtype=np.int32), [len(x) for x, _ in found])
+    return pa.table({"kind": kind, "a": np.concatenate([x for x, _ in found]), "b": np.concatenate([x for _, x in found])})
 
 
 def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
@@ -363,35 +403,62 @@ def _cross(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return through(pairs, roots).filter("ra <> rb").select("a", "b")
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """kind 0: possible pairs between hubs and all members of other components; kind 1: the members left.
+def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of the signatures that join several components, with root and block numbers.
 
-    The hubs of a signature are all its members up to ``ALL_HUBS``, of a larger one that many,
-    those of its largest components first. ``sigs`` are the large signatures of a member; a
-    pair that shares several is tried under the smallest one only.
+    ``query`` marks those outside the signature's largest component: a pair of two components
+    holds at least one of them. ``nc`` and ``nq`` are the blocks of all members and of these.
     """
+    named = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    per = named.groupBy("sig", "root").agg(F.count("*").alias("c"))
+    of_sig = (
+        per.groupBy("sig")
+        .agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
+        .filter(F.col("all") > F.col("most"))
+        .select(
+            "sig", "main", F.ceil(F.col("all") / BLOCK).alias("nc"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("nq")
+        )
+    )
+    return named.join(of_sig, "sig").select("sig", "key", "root", (F.col("root") != F.col("main")).alias("query"), "nc", "nq")
+
 
-    def run(table: pa.Table) -> pa.Table:
-        sig = table.column("sig")[0].as_py()
-        key, root, n = (table.column(c).to_numpy() for c in ("key", "root", "n"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
-        _, inverse, count = np.unique(root, return_inverse=True, return_counts=True)
-        order = np.lexsort((key, -count[inverse]))
-        key, root, n, sketch = key[order], root[order], n[order], sketch[order]
-        others = [frozenset(x) for x in table.column("sigs").take(pa.array(order)).to_pylist()]
+def _open_pairs(left: DataFrame, info: DataFrame) -> DataFrame:
+    """Possible pairs (a, b) of different components under the open signatures.
+
+    Members meet in blocks of at most about ``BLOCK``, so that no task holds a whole large
+    signature. A pair that shares several signatures is tried under the smallest one only.
+    """
+    lists = left.groupBy("key").agg(F.collect_list("sig").alias("sigs"))
+    rows = left.join(lists, "key").join(info.select("key", "n", "sketch"), "key")
+    columns = ["sig", "cb", "qb", "key", "root", "n", "sketch", "sigs"]
+    block = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("key"), F.col(n))
+    every = rows.withColumn("cb", place("nc")).withColumn("qb", block("nq")).select(*columns)
+    asked = rows.filter("query").withColumn("qb", place("nq")).withColumn("cb", block("nc"))
+    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in columns])  # a self-cogroup needs own names
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for h in range(min(ALL_HUBS, len(key))):
-            rest = slice(h + 1, None)
-            apart = np.bitwise_count(sketch[rest] ^ sketch[h]).sum(axis=1)
-            ok = (root[rest] != root[h]) & _may_link(n[rest], n[h], apart)
-            here = [i for i in (np.flatnonzero(ok) + h + 1).tolist() if min(others[i] & others[h]) == sig]
-            pairs.append((np.full(len(here), key[h]), key[here]))
+        if left.num_rows and right.num_rows:
+            right = right.rename_columns(columns)
+            (key, root, n, sketch), (q_key, q_root, q_n, q_sketch) = (_member_arrays(t) for t in (left, right))
+            others, own = ([frozenset(x) for x in t.column("sigs").to_pylist()] for t in (left, right))
+            sig = left.column("sig")[0].as_py()
+            for i in range(len(q_key)):
+                apart = np.bitwise_count(sketch ^ q_sketch[i]).sum(axis=1)
+                ok = (root != q_root[i]) & _may_link(n, q_n[i], apart)
+                here = [j for j in np.flatnonzero(ok).tolist() if min(others[j] & own[i]) == sig]
+                pairs.append((np.full(len(here), q_key[i]), key[here]))
         a, b = _unique_pairs(pairs)
-        left = key[ALL_HUBS:]
-        kind = np.concatenate([np.zeros(len(a), np.int32), np.ones(len(left), np.int32)])
-        return pa.table({"kind": kind, "a": np.concatenate([a, np.full(len(left), sig, np.int64)]), "b": np.concatenate([b, left])})
+        return pa.table({"a": a, "b": b})
+
+    groups = ["sig", "cb", "qb"]
+    return every.groupBy(*groups).cogroup(asked.groupBy(*[f"q_{g}" for g in groups])).applyInArrow(run, "a long, b long").distinct()
+
 
-    return members.groupBy("sig").applyInArrow(run, "kind int, a long, b long")
+def _member_arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    key, root, n = (table.column(c).to_numpy() for c in ("key", "root", "n"))
+    return key, root, n, np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
 
 
 def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -406,8 +473,14 @@ def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     met = stored(
         spark, _packed_signatures(docs, bits).groupBy("part").applyInArrow(_meet, "kind int, a long, b long"), "ngram-met"
     )
-    pairs = stored(spark, _possible(met.filter("kind = 0").select("a", "b").distinct(), info), "ngram-pairs")
-    members = met.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("key"))
+    members = met.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("key")).distinct()
+    hubs = met.filter("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("hub"))
+    # A member listed by a task belongs to a signature that joins sets only if it has a hub.
+    members = stored(spark, members.join(hubs, "sig"), "ngram-members")
+    stars = members.filter("key <> hub").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))
+    tried = met.filter("kind = 0").select("a", "b").unionByName(stars).distinct()
+    pairs = stored(spark, _possible(tried, info), "ngram-pairs")
+    members = members.select("sig", "key")
 
     def texts(of: DataFrame) -> DataFrame:
         wanted = of.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(info.select("key", "id"), "key")
@@ -421,20 +494,15 @@ def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     links = stored(spark, _verified(first, of_pairs), "ngram-links")
     roots = components(links)
     rest = stored(spark, _cross(pairs, roots).join(first, ["a", "b"], "left_anti"), "ngram-rest")
-    while True:
+    if not rest.isEmpty():
+        roots = components(stored(spark, _verified(rest, of_pairs), "ngram-links"), roots)
+    # Large signatures that still join several components: all their pairs across these.
+    left = stored(spark, _open_members(members, roots), "ngram-open")
+    if not left.isEmpty():
+        rest = stored(spark, _open_pairs(left, info), "ngram-rest")
         if not rest.isEmpty():
-            roots = components(stored(spark, _verified(rest, of_pairs), "ngram-links"), roots)
-        # Members of large signatures whose components still differ go on with new hubs.
-        named = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_ = named.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
-        left = stored(spark, named.join(open_, "sig").join(info.select("key", "n", "sketch"), "key"), "ngram-open")
-        if left.isEmpty():
-            return roots
-        lists = stored(spark, left.groupBy("key").agg(F.collect_list("sig").alias("sigs")), "ngram-lists")
-        out = stored(spark, _hub_pairs(left.join(lists, "key")), "ngram-hubs")
-        rest = stored(spark, out.filter("kind = 0").select("a", "b").distinct(), "ngram-rest")
-        members = out.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("key"))
-        of_pairs = texts(rest) if not rest.isEmpty() else of_pairs
+            roots = components(stored(spark, _verified(rest, texts(rest)), "ngram-links"), roots)
+    return roots
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

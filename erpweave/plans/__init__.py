@@ -1,6 +1,6 @@
 """The unified data sets and the end-to-end run."""
 
-from erpweave.plans.harmonize import PublishResult, harmonize_data, publish
+from erpweave.plans.harmonize import PublishResult, harmonize_data, publish, read_published, rejected_values
 from erpweave.plans.pipelines import (
     local_material_integrated,
     process_local_material,
@@ -18,6 +18,8 @@ __all__ = [
     "process_order_integrated",
     "process_process_order",
     "publish",
+    "read_published",
+    "rejected_values",
     "rename_local_material",
     "rename_process_order",
 ]

@@ -1,18 +1,20 @@
 """Readers, writers, schema conformance and source registries."""
 
-from erpweave.sources.conform import conform
+from erpweave.sources.conform import conform, conform_rejects
 from erpweave.sources.readers import read_csv_file, read_csv_typed, read_table
 from erpweave.sources.registry import SourceRegistry, Sources, SystemLocation, load_all
-from erpweave.sources.sinks import write_table
+from erpweave.sources.sinks import read_written, write_table
 
 __all__ = [
     "SourceRegistry",
     "Sources",
     "SystemLocation",
     "conform",
+    "conform_rejects",
     "load_all",
     "read_csv_file",
     "read_csv_typed",
     "read_table",
+    "read_written",
     "write_table",
 ]

@@ -91,3 +91,17 @@ def test_filters_and_projection_reach_a_parquet_extract(spark):
     mbew = prep_material_valuation(reg.load(spark, "SYS1", "MBEW"))
     plan = mbew._jdf.queryExecution().executedPlan().toString().replace(" ", "")
     assert "IsNull(LVORM)" in plan and "IsNull(BWTAR)" in plan
+
+
+def test_clear_scratch_removes_only_this_application(spark, tmp_path):
+    import os
+
+    from erpweave.session import clear_scratch, scratch_path, work_dir
+
+    mine = scratch_path(spark, "mine")
+    spark.range(3).write.parquet(mine)
+    other = f"{work_dir(spark)}/erpweave/another-application/kept"
+    spark.range(3).write.parquet(other, mode="overwrite")
+    clear_scratch(spark)
+    local = lambda path: path.removeprefix("file:").replace("///", "/")
+    assert not os.path.exists(local(mine)) and os.path.exists(local(other))

@@ -469,7 +469,7 @@ def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
         "ngram-classes",
     )
     shingles = sets.agg(F.sum("n")).first()[0] or 0
-    bits = max(10, int(shingles // PER_PART).bit_length())
+    bits = min(25, max(10, int(shingles // PER_PART).bit_length()))  # with 38 more a 64-bit signature is used up
     met = stored(
         spark, _packed_signatures(docs, bits).groupBy("part").applyInArrow(_meet, "kind int, a long, b long"), "ngram-met"
     )

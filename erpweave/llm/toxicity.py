@@ -38,6 +38,7 @@ MAX_BYTES = 16 << 10
 THRESHOLD = 0.5
 WINDOW = 5
 STEM, SHORTEST, ENDINGS = 4, 4, 4  # letters of a stem and of a term at least; endings of a stem at least
+COMMONEST = 0.75  # share of its contexts that one ending of a stem may hold; beyond, the word is a term
 EXACT, PREFIX, FUZZY = 0, 1, 2
 QUOTES = frozenset(b"\"'`") | {0xAB, 0xBB}  # ASCII quotes and the last bytes of guillemets
 UNSEEN = 0.3  # weight of a kind of match that the sample does not show, as a share of the entry's
@@ -228,17 +229,18 @@ def learn_lexicon(rows: list[tuple[str, int]], least: int = 8, pure: float = 0.9
     def telling(yes: int, no: int) -> bool:
         return yes >= least and yes >= pure * (yes + no)
 
-    prefixes: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
+    prefixes: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])  # contexts of 0 and of 1, endings, contexts of the commonest
     for label, found in ((0, none), (1, some)):
         for word, contexts in found.items():
             for k in range(STEM, min(len(word), 9)):
                 cell = prefixes[word[:k]]
                 cell[label] += len(contexts)
                 cell[2] += label
+                cell[3] = max(cell[3], label * len(contexts))
     stems: list[str] = []
     for prefix in sorted(prefixes, key=lambda p: (len(p), p)):
-        no, yes, endings = prefixes[prefix]
-        if endings >= ENDINGS and telling(yes, no) and not any(prefix.startswith(s) or s.startswith(prefix) for s in stems):
+        no, yes, endings, most = prefixes[prefix]
+        if endings >= ENDINGS and most <= COMMONEST * yes and telling(yes, no) and not any(prefix.startswith(s) or s.startswith(prefix) for s in stems):
             while longer := [p for p in prefixes if len(p) == len(prefix) + 1 and p.startswith(prefix) and prefixes[p][1] == yes]:
                 prefix = longer[0]  # all its label-1 words go on with one letter
             stems.append(prefix)

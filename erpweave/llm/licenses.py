@@ -1,10 +1,12 @@
 """Licence scan by sentence rules (DataFrame functions only).
 
-Texts that hold a licence word are cut into sentences, once at line breaks and sentence ends
-(notices on lines of their own) and once at sentence ends only (notices wrapped over lines).
-A sentence is normalised (A-Z lower-cased, everything but a-z and 0-9 one space) and mapped
-to its identifier if it is a known licence sentence. The identifiers of a text, in order, are
-then matched against the ordered rules: a rule holds where its identifiers follow each other.
+Texts that hold a licence word are normalised (A-Z lower-cased, everything but a-z and 0-9 one
+space) up to their borders: . ! ? ; : before white space, and line breaks. A known licence
+sentence counts, by its identifier, where it stands between two borders. Line breaks, blank
+lines, ; and : may also stand inside it (wrapped notices, "free software; you can"), the end
+of another sentence may not; the point of "v. 2.0" is no border. The identifiers of a text, in
+order, are then matched against the ordered rules: a rule holds where its identifiers follow
+each other.
 A longer rule of a licence outranks its shorter ones by ``coverage``.
 
 Defined cases: a null or empty text has no sentence and no licence; repeated notices count
@@ -119,15 +121,27 @@ HINT = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _sentences(text: Column) -> Column:
-    """The normalised sentences of a text: cut at line breaks and after . ! ? ; : before white space."""
-    cut = F.split(F.regexp_replace(text, r"([.!?;:])\s+", "$1\n"), "\n")
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), "[^a-z0-9]+", " ")))
+def _bordered(text: Column) -> Column:
+    """The words of a text, lower-cased: ``\\x01`` where . ! or ? ends a sentence, a line break
+    after ; and : and at the end of a line, one space between other words."""
+    t = F.translate(text, _UPPER + "\x01", _LOWER + " ")
+    for pattern, by in (
+        (r"(?<![a-z0-9])v\.\s+(?=[0-9])", "v "),
+        (r"[.!?](?=\s)", "\x01"),
+        (r"[;:](?=\s)", "\n"),
+        (r"[^a-z0-9\x01\n]+", " "),
+        (r" ?([\x01\n]) ?", "$1"),
+    ):
+        t = F.regexp_replace(t, pattern, by)
+    return F.trim(t)
 
 
-def _identifiers(text: Column, sentences: dict[str, str]) -> Column:
+def _identifiers(bordered: Column, sentences: dict[str, str], longest: bool) -> Column:
+    """The known sentences between two borders, in order; of two that start together the longest or the shortest."""
     known = F.create_map(*[F.lit(x) for name, sentence in sentences.items() for x in (sentence, name)])
-    return F.filter(F.transform(_sentences(text), lambda s: F.element_at(known, s)), lambda x: x.isNotNull())
+    each = sorted(sentences.values(), key=lambda x: (len(x), x), reverse=longest)
+    pattern = r"(?<![^\x01\n])(?:" + "|".join(x.replace(" ", r"(?: |\n+)") for x in each) + r")(?![^\x01\n])"
+    return F.transform(F.regexp_extract_all(bordered, F.lit(pattern), 0), lambda x: F.element_at(known, F.regexp_replace(x, r"\n+", " ")))
 
 
 def scan_licenses(
@@ -138,16 +152,12 @@ def scan_licenses(
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
     hinted = docs.select("doc_id", F.when(text.rlike(HINT), text).alias("t"))
-    found = hinted.select(
-        "doc_id",
-        F.when(F.col("t").isNull(), none).otherwise(_identifiers(F.col("t"), sentences)).alias("lines"),
-        F.when(F.col("t").isNull(), none)
-        .otherwise(_identifiers(F.regexp_replace(F.col("t"), r"\s*\n\s*", " "), sentences))
-        .alias("joined"),
+    found = hinted.select("doc_id", _bordered(F.col("t")).alias("t")).select(
+        "doc_id", *[F.coalesce(_identifiers(F.col("t"), sentences, longest), none).alias(n) for n, longest in (("short", False), ("long", True))]
     )
-    # The cut that knows more sentences counts for the identifiers; rules may hold in either.
-    ids = F.when(F.size("joined") > F.size("lines"), F.col("joined")).otherwise(F.col("lines"))
-    chains = [F.concat(F.lit("|"), F.array_join(F.col(c), "|"), F.lit("|")) for c in ("lines", "joined")]
+    # The reading that knows more sentences counts for the identifiers; rules may hold in either.
+    ids = F.when(F.size("short") > F.size("long"), F.col("short")).otherwise(F.col("long"))
+    chains = [F.concat(F.lit("|"), F.array_join(F.col(c), "|"), F.lit("|")) for c in ("short", "long")]
     found = found.select("doc_id", ids.alias("identifiers"), *[c.alias(n) for n, c in zip(("a", "b"), chains, strict=True)])
 
     def holds(chain: tuple[str, ...]) -> Column:

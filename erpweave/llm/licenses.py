@@ -7,7 +7,8 @@ lines, ; and : may also stand inside it (wrapped notices, "free software; you ca
 of another sentence may not; the point of "v. 2.0" is no border. The identifiers of a text, in
 order, are then matched against the ordered rules: a rule holds where its identifiers follow
 each other.
-A longer rule of a licence outranks its shorter ones by ``coverage``.
+A longer rule of a licence outranks its shorter ones by ``coverage`` and takes its sentences
+from the shorter rules of other licences (a BSD-3-Clause text is no BSD-2-Clause text).
 
 Defined cases: a null or empty text has no sentence and no licence; repeated notices count
 once in ``licenses`` and each in ``n_sentences``; an empty table gives an empty result.
@@ -118,6 +119,8 @@ HINT = (
     "(?i)licen|compliance with|apache|redistribut|permission|provided as is|provided \"as is|copyright holder|free software|"
     "without any warranty|governing"
 )
+#: The same words, also where a notice breaks the line or puts a comment sign between them.
+_HINT = HINT.replace(" ", "[^A-Za-z0-9]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -151,22 +154,31 @@ def scan_licenses(
     sentences = sentences or SENTENCES
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
-    hinted = docs.select("doc_id", F.when(text.rlike(HINT), text).alias("t"))
+    hinted = docs.select("doc_id", F.when(text.rlike(_HINT), text).alias("t"))
     found = hinted.select("doc_id", _bordered(F.col("t")).alias("t")).select(
         "doc_id", *[F.coalesce(_identifiers(F.col("t"), sentences, longest), none).alias(n) for n, longest in (("short", False), ("long", True))]
     )
     # The reading that knows more sentences counts for the identifiers; rules may hold in either.
     ids = F.when(F.size("short") > F.size("long"), F.col("short")).otherwise(F.col("long"))
-    chains = [F.concat(F.lit("|"), F.array_join(F.col(c), "|"), F.lit("|")) for c in ("short", "long")]
+    chains = [F.array_join(F.transform(F.col(c), lambda x: F.concat(F.lit("|"), x, F.lit("|"))), "") for c in ("short", "long")]
     found = found.select("doc_id", ids.alias("identifiers"), *[c.alias(n) for n, c in zip(("a", "b"), chains, strict=True)])
 
-    def holds(chain: tuple[str, ...]) -> Column:
-        wanted = F.lit("|" + "|".join(chain) + "|")
-        return F.contains(F.col("a"), wanted) | F.contains(F.col("b"), wanted)
+    def joined(chain: tuple[str, ...]) -> str:
+        return "".join(f"|{x}|" for x in chain)
+
+    def holds(name: str, chain: tuple[str, ...]) -> Column:
+        """The chain stands in one of the readings, outside longer chains of other licences."""
+        held = []
+        for c in (F.col("a"), F.col("b")):
+            for other, longer in sorted(rules, key=lambda r: -len(r[1])):
+                if other != name and len(longer) > len(chain) and joined(chain) in joined(longer):
+                    c = F.replace(c, F.lit(joined(longer)), F.lit("#"))
+            held.append(F.contains(c, F.lit(joined(chain))))
+        return held[0] | held[1]
 
     any_known = F.size("identifiers") > 0
-    licences = F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(holds(c), F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())))
-    coverage = F.greatest(*[F.when(holds(c), F.lit(len(c))).otherwise(F.lit(0)) for _, c in rules])
+    licences = F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(holds(n, c), F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())))
+    coverage = F.greatest(*[F.when(holds(n, c), F.lit(len(c))).otherwise(F.lit(0)) for n, c in rules])
     return found.select(
         "doc_id",
         F.when(any_known, licences).otherwise(none).alias("licenses"),

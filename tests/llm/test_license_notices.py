@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import pytest
-
 from erpweave.llm import licenses as L
 
 APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
@@ -69,3 +67,60 @@ def test_a_sentence_that_goes_on_is_another_sentence(spark):
     assert [x[0] for x in scan(spark, texts)] == ["", "", ""]
     # A line that ends after the short form counts, also where the next line makes it the long one.
     assert scan(spark, ['Licensed under the Apache License, Version 2.0\n(the "License"); ask us.'])[0][0] == "Apache-2.0"
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM.
+"""
+BSD2 = """Copyright (c) 2020, Jane Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_whole_wrapped_files(spark):
+    cases = [(MIT, "MIT", 4), (APACHE, "Apache-2.0", 6), (BSD2, "BSD-2-Clause", 2), (BSD3, "BSD-3-Clause", 3), (GPL3, "GPL-3.0-or-later", 3)]
+    cases += [(as_comment(t, sign), n, c) for t, n, c in cases for sign in ("#", " *")]
+    cases += [(t.replace("\n", "\r\n"), n, c) for t, n, c in cases[:5]]
+    cases += [("\n".join(t.split()), n, c) for t, n, c in cases[:2]]
+    cases += [(BSD2 + BSD3, "BSD-2-Clause,BSD-3-Clause", 3), (BSD3 + BSD2, "BSD-2-Clause,BSD-3-Clause", 3), (BSD3 + BSD3, "BSD-3-Clause", 3)]
+    assert [x[:2] for x in scan(spark, [t for t, _, _ in cases])] == [(n, c) for _, n, c in cases]
+
+
+def test_every_sentence_is_seen_however_it_is_wrapped(spark):
+    want, texts = [], []
+    for name, sentence in L.SENTENCES.items():
+        words = sentence.split()
+        for wrapped in (sentence, "\n".join(words), "\n * ".join(words), f"{words[0]}\n{' '.join(words[1:])}"):
+            texts.append(f"Some text.\n\n{wrapped}.\n")
+            want.append(name)
+    assert [x[2] for x in scan(spark, texts)] == want

@@ -189,21 +189,22 @@ def _set_batches(batches: Iterator[pa.RecordBatch]):
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id (null as NO_ID), n, key and sketch per document."""
+    """id (null as NO_ID), h (hash of the text), n, key and sketch per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, i, j, tokens, own in _set_batches(batches):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id")[i:j],
+                    batch.column("h")[i:j],
                     pa.array(np.diff(own)),
                     pa.array(set_keys(tokens, own).view(np.int64)),
                     pa.array(sketches(tokens, own), pa.binary()),
                 ],
-                names=["id", "n", "key", "sketch"],
+                names=["id", "h", "n", "key", "sketch"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, key long, sketch binary")
+    return docs.mapInArrow(run, "id long, h long, n long, key long, sketch binary")
 
 
 def _packed_signatures(docs: DataFrame, bits: int) -> DataFrame:
@@ -505,14 +506,24 @@ def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return roots
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) per document."""
-    spark = docs.sparkSession
-    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text"))
+def _named(docs: DataFrame) -> DataFrame:
+    """id (doc_id, null as NO_ID), h (hash of the text), text."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("h"), F.col("text"))
+
+
+def _rooted(spark: SparkSession, named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sets of the documents, and key, id (the smallest) and root of the classes."""
     sets = stored(spark, document_sets(named), "ngram-sets")
     roots = _links(spark, named, sets)
     classes = sets.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"))
     rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return sets, rooted
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) per document."""
+    spark = docs.sparkSession
+    sets, rooted = _rooted(spark, _named(docs))
     least = rooted.groupBy("root").agg(F.min("id").alias("least"))
     component = stored(spark, rooted.join(least, "root").select("key", "least"), "ngram-components")
     out = sets.filter("n > 0").select("id", "n", "key").join(component, "key").select("id", "n", "least")
@@ -524,13 +535,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
+    """One row of each component, the one with the smallest doc_id, with all its columns.
 
-    Rows that share a doc_id are one document; the row with the smallest text is kept.
+    Rows are told apart by their texts, not by their doc_id: rows of unlike texts that repeat
+    a doc_id or have none are all kept. Of the rows of a component with its smallest doc_id
+    the one with the smallest text stays. A row of no shingles is a component of its own.
     """
-    near = near_duplicates(docs.select("doc_id", "text"))
-    keep = near.filter("doc_id <=> component_id").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_keep")).distinct()
-    keep = stored(docs.sparkSession, keep, "ngram-keep")
-    row = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    kept = row.join(keep, F.col("_id") == F.col("_keep"), "left_semi")
-    return kept.groupBy("_id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row")).select("row.*")
+    spark = docs.sparkSession
+    sets, rooted = _rooted(spark, _named(docs))
+    least = rooted.groupBy("root").agg(F.min("id").alias("least"))
+    component = stored(spark, rooted.join(least, "root").select("key", "root", F.col("least").alias("id")), "ngram-components")
+    first = sets.filter("n > 0").select("id", "h", "key").join(component, ["key", "id"])
+    keep = stored(spark, first.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("root").alias("_root")).distinct(), "ngram-keep")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    some = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    found = docs.filter(some).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_h"), row)
+    kept = found.join(keep, ["_id", "_h"]).groupBy("_root").agg(F.min_by("row", "row.text").alias("row"))
+    return kept.select("row.*").unionByName(docs.filter(~some))

@@ -9,9 +9,10 @@
    page's own best one, if it has none) give the text, block by block in page order.
 
 Boilerplate elements (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) never give text, also inside the winning container. Character
-references are decoded; white space becomes one space within a block, blocks are joined by
-one space; nothing else is dropped.
+styles, reader comments) never give text, also inside the winning container. Ids of headings,
+paragraphs, sections and other anchors do not mark boilerplate, but for a section whose whole
+id names a part of the page. Character references are decoded; white space becomes one space
+within a block, blocks are joined by one space; nothing else is dropped.
 
 Defined cases: null or empty html gives an empty text; a null url counts as one host of its
 own; a page cut off in the middle ends there (open elements close, an open comment, script or
@@ -49,6 +50,13 @@ MARKS = frozenset((
     "share", "sharing", "social", "widget", "pagination", "pager", "search", "toolbar", "skip", "hidden", "contentinfo",
     "complementary",
 ))
+#: Elements whose ids are anchors, mostly made from a heading's text, and tell nothing.
+ANCHORS = frozenset((
+    "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "p", "section", "li", "dt", "dd", "pre", "figure", "figcaption", "blockquote",
+    "caption", "details", "summary", "address",
+))
+#: Whole ids of sections that name a part of the page all the same.
+PARTS = frozenset(("comments", "respond", "disqus", "disqus_thread", "sidebar", "footer", "header", "nav", "navbar", "masthead", "breadcrumbs", "newsletter"))
 #: An element that closes an open element of these names in the same container.
 CLOSES = {
     "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"),
@@ -63,8 +71,8 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_CLASS = re.compile(r"class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CLASS = re.compile(r"(?<![^\s\"'/])class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -88,10 +96,14 @@ class Page:
         return ">".join(reversed(names))
 
 
-def _marked(attrs: str) -> bool:
+def _marked(tag: str, attrs: str) -> bool:
+    """Whether class, role or id mark boilerplate; the id of an anchor does not."""
     for found in _NAMES.finditer(attrs):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if not MARKS.isdisjoint(_WORD.findall(value)):
+        kind, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+        if kind == "id" and tag in ANCHORS:
+            if tag == "section" and value.strip() in PARTS:
+                return True
+        elif not MARKS.isdisjoint(_WORD.findall(value)):
             return True
     return False
 
@@ -152,7 +164,7 @@ def read_page(text: str) -> Page:
         page.name.append(_step(tag, attrs))
         page.tag.append(tag)
         body = tag in ("html", "body", "article", "main")
-        page.out.append(page.out[stack[-1]] or tag in BOILERPLATE or (not body and bool(attrs) and _marked(attrs)))
+        page.out.append(page.out[stack[-1]] or tag in BOILERPLATE or (not body and bool(attrs) and _marked(tag, attrs)))
         stack.append(node)
     if at < len(text):
         page.texts.append((stack[-1], text[at:], link > 0))

@@ -15,7 +15,8 @@ id names a part of the page. Character references are decoded; white space becom
 within a block, blocks are joined by one space; nothing else is dropped.
 
 Defined cases: null or empty html gives an empty text; a null url counts as one host of its
-own; a page cut off in the middle ends there (open elements close, an open comment, script or
+own; a self-closed svg is empty, and a raw element but script, style, textarea and title that
+nothing closes ends at its own tag; a page cut off in the middle ends there (open elements close, an open comment, script or
 tag gives nothing); an empty table gives an empty result.
 """
 
@@ -33,7 +34,9 @@ from pyspark.sql import functions as F
 from erpweave.llm.stored import stored
 
 # Element names of HTML.
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title", "select", "object", "canvas")
+RAW = ("script", "style", "textarea", "title", "template", "iframe", "svg", "select")
+#: Raw elements that go on to the end of the page if nothing closes them; the others then end at their own tag.
+TO_END = frozenset(("script", "style", "textarea", "title"))
 BOILERPLATE = frozenset(("nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "head"))
 CONTAINERS = frozenset(("article", "main", "section", "div", "body", "td", "center", "blockquote"))
 BLOCKS = CONTAINERS | BOILERPLATE | frozenset((
@@ -66,11 +69,11 @@ LIKELY = frozenset(("article", "main"))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 _NAMES = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _CLASS = re.compile(r"(?<![^\s\"'/])class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -126,16 +129,28 @@ def read_page(text: str) -> Page:
     def close_to(depth: int) -> None:
         del stack[depth:]
 
-    for token in _TOKEN.finditer(text):
+    unclosed: set[str] = set()
+    while token := _TOKEN.search(text, at):
         if token.start() > at:
             page.texts.append((stack[-1], text[at : token.start()], link > 0))
         at = token.end()
         tag = token["tag"]
         if tag is None:
-            if token["raw"] and token["raw"].lower() != "title":
-                page.texts.append((stack[-1], " ", False))
             continue
         tag = tag.lower()
+        if tag in _CLOSE and not token["end"]:
+            if tag != "title":
+                page.texts.append((stack[-1], " ", False))
+            if tag == "svg" and token["attrs"].endswith("/") or tag in unclosed:
+                continue
+            close = _CLOSE[tag].search(text, at)
+            if close:
+                at = close.end()
+            elif tag in TO_END:
+                at = len(text)
+            else:
+                unclosed.add(tag)
+            continue
         if tag == "a":
             link = 0 if token["end"] else 1
         if tag in VOID:

@@ -42,3 +42,23 @@ def test_ids_made_from_headings_do_not_mark(part):
 )
 def test_boilerplate_still_goes(part):
     assert text(f"<article><p>{LONG}</p>{part}<p>end</p></article>") == f"{LONG} end"
+
+
+@pytest.mark.parametrize(
+    ("part", "want"),
+    [
+        ('<svg class="i"/> kept', "kept"),
+        ("<svg/> kept <svg><text>gone</text></svg>", "kept"),
+        ("<math><mi>x</mi></math> kept", "x kept"),
+        ("<math/> kept", "kept"),
+        ("<select-box>kept</select-box> <template-card>kept</template-card> <object-view>kept", "kept kept kept"),
+        ("<noscript>one</noscript> <object>two</object> <canvas>three</canvas>", "one two three"),
+        ("<template> kept", "kept"),
+        ("<iframe src='x'> kept <select><option>gone</option></select>", "kept"),
+        ("<script>gone '</p>' <!-- </script > kept <style>p {}</STYLE>", "kept"),
+        ("kept <svg><title>gone</title></svg>", "kept"),
+    ],
+)
+def test_raw_elements_end_where_they_end(part, want):
+    assert text(f"<article><p>{LONG}</p><div>{part}</div><p>end</p></article>") == f"{LONG} {want} end"
+    assert text(f"<article><p>{LONG}</p><script>never closed <p>gone</p></article>") == LONG

@@ -20,7 +20,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -121,6 +121,12 @@ def _all_until(spark: SparkSession, path: str, schema: StructType, batch_id: int
     return _earlier(spark, path, schema, batch_id + 1)
 
 
+def _newest_delivery(rows: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """All rows of the newest batch of each key; of a null AUFNR the rows of all batches."""
+    last = F.max("batch_id").over(Window.partitionBy(*grain))
+    return rows.withColumn("__last", last).filter(F.col("AUFNR").isNull() | (F.col("batch_id") == F.col("__last"))).drop("batch_id", "__last")
+
+
 def run_order_batches(
     headers: DataFrame,
     items: DataFrame,
@@ -139,10 +145,16 @@ def run_order_batches(
     each batch joins again all orders that it touches and writes them whole to
     ``{output_path}/batch_id={id}``, so ``current_orders`` (the latest version of every order)
     equals a batch run over everything received. A header or item that is delivered again
-    replaces its older version. ``master`` and ``material`` are prepared static tables.
+    replaces its older version: all rows of its newest batch stay. Rows of no order number have
+    no older version and all stay. AFPO has no system; give the items a SOURCE_SYSTEM_ERP column
+    where systems share order numbers. Items without it keep one row of each (order, position,
+    plant). ``master`` and ``material`` are prepared static tables.
     """
     spark = headers.sparkSession
     header_schema, item_schema = headers.schema, items.schema
+    header_grain, item_grain = ["SOURCE_SYSTEM_ERP", "AUFNR"], ["AUFNR", "POSNR", "DWERK"]
+    if "SOURCE_SYSTEM_ERP" in items.columns:
+        item_grain = ["SOURCE_SYSTEM_ERP", *item_grain]
     kind = "__erpweave_kind"
     both = headers.select(F.lit("h").alias(kind), F.struct(*headers.columns).alias("h"), F.lit(None).cast(item_schema).alias("i")).unionByName(
         items.select(F.lit("i").alias(kind), F.lit(None).cast(header_schema).alias("h"), F.struct(*items.columns).alias("i"))
@@ -155,10 +167,13 @@ def run_order_batches(
         touched = [known[n].filter(F.col("batch_id") == batch_id).select("AUFNR") for n in ("h", "i")]
         orders = touched[0].union(touched[1]).distinct()
         newest = {}
-        for n, grain in (("h", ["SOURCE_SYSTEM_ERP", "AUFNR"]), ("i", ["AUFNR", "POSNR", "DWERK"])):
-            rows = known[n].join(orders, "AUFNR", "left_semi")
-            rest = asc_nulls_last([c for c in rows.columns if c not in (*grain, "batch_id")])
-            newest[n] = latest_per_key(rows, grain, [F.col("batch_id").desc(), *rest]).drop("batch_id")
+        for n, grain in (("h", header_grain), ("i", item_grain)):
+            rows = known[n].join(orders, known[n]["AUFNR"].eqNullSafe(orders["AUFNR"]), "left_semi")
+            if "SOURCE_SYSTEM_ERP" in grain:
+                newest[n] = _newest_delivery(rows, grain)
+            else:
+                rest = asc_nulls_last([c for c in rows.columns if c not in (*grain, "batch_id")])
+                newest[n] = latest_per_key(rows, grain, [F.col("batch_id").desc(), *rest]).drop("batch_id")
         joined = integration_process_order(
             prep_sap_order_header_data(newest["h"], as_of), prep_sap_order_item(newest["i"]), master, material
         )
@@ -177,5 +192,6 @@ def run_order_batches(
 def current_orders(spark: SparkSession, output_path: str) -> DataFrame:
     """The latest version of every order that ``run_order_batches`` has written."""
     rows = _earlier(spark, output_path, C.PROCESS_ORDER_CONTRACT, 1 << 62)
-    last = rows.groupBy("AUFNR").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, ["AUFNR", "batch_id"], "left_semi").select(*C.names(C.PROCESS_ORDER_CONTRACT))
+    last = _earlier(spark, output_path, C.PROCESS_ORDER_CONTRACT, 1 << 62).groupBy("AUFNR").agg(F.max("batch_id").alias("batch_id"))
+    same = rows["AUFNR"].eqNullSafe(last["AUFNR"]) & (rows["batch_id"] == last["batch_id"])
+    return rows.join(last, same, "left_semi").select(*C.names(C.PROCESS_ORDER_CONTRACT))

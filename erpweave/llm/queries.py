@@ -11,14 +11,20 @@ from erpweave.llm import (
     decontaminate,
     html_text,
     licenses,
+    line_frequency,
+    merkle,
     mixing,
     ngram_join,
     pii,
+    prefix_trie,
     quality,
     sql_decontaminate,
     sql_licenses,
+    sql_line_frequency,
+    sql_merkle,
     sql_mixing,
     sql_ngram_join,
+    sql_prefix_trie,
     sql_topk,
     token_output,
     topk,
@@ -89,6 +95,21 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, subroot, root, proof digest and tamper check of every document."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of every document, and the verdict of the cross-document line frequency."""
+    return line_frequency.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -100,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_mix_sources": op9_mix_sources,
     "op10_ngram_join": op10_ngram_join,
+    "op11_merkle": op11_merkle,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -108,4 +132,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": sql_decontaminate.SQL,
     "op9_mix_sources": sql_mixing.SQL,
     "op10_ngram_join": sql_ngram_join.SQL,
+    "op11_merkle": sql_merkle.SQL,
+    "op12_prefix_trie": sql_prefix_trie.SQL,
+    "op13_quality_rules": sql_line_frequency.SQL,
 }

@@ -22,7 +22,7 @@ if str(ROOT) not in sys.path:
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "documents", "embeddings", "pages", "benchmark", "labels",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
 

@@ -21,6 +21,7 @@ with labels of one class or none, every score is the share of label 1 (0.5 witho
 from __future__ import annotations
 
 import math
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,6 +41,7 @@ WINDOW = 5
 STEM, SHORTEST, ENDINGS = 4, 4, 4  # letters of a stem and of a term at least; endings of a stem at least
 COMMONEST = 0.75  # share of its contexts that one ending of a stem may hold; beyond, the word is a term
 EXACT, PREFIX, FUZZY = 0, 1, 2
+MOST_STATES = 200_000  # of the determinised automaton that a worker keeps
 QUOTES = frozenset(b"\"'`") | {0xAB, 0xBB}  # ASCII quotes and the last bytes of guillemets
 UNSEEN = 0.3  # weight of a kind of match that the sample does not show, as a share of the entry's
 
@@ -67,6 +69,10 @@ class Lexicon:
                 node = self.children[node][c]
             (self.term if i < len(terms) else self.stem)[node] = i
         self.most = max((edits(len(t)) for t in terms), default=0)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the determinised automaton anew; it only caches, so matches stay the same."""
         self.ids: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
         self.next: list[dict[str, int]] = []
@@ -105,6 +111,8 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(entry, kind) of the best match of a word: exact term, stem, or misspelled term."""
+        if len(self.states) > MOST_STATES:
+            self._forget()
         state, stem = self.start, -1
         for c in word:
             to = self.next[state].get(c)
@@ -218,7 +226,7 @@ def _contexts(rows: list[tuple[str, int]]) -> list[dict[str, set[int]]]:
         padded = ["", *own, ""]
         for i, word in enumerate(own):
             if len(word) >= SHORTEST:
-                out[label][word].add(hash((padded[i], padded[i + 2])) & 0xFFFFFFFF)
+                out[label][word].add(zlib.crc32(f"{padded[i]} {padded[i + 2]}".encode()))
     return out
 
 
@@ -319,7 +327,7 @@ def probabilities(model: Model | float, column: pa.Array) -> np.ndarray:
     out = []
     for i, j in slices(borders):
         hits = model.hits(data[borders[i] : borders[j]], borders[i : j + 1] - borders[i])
-        out.append(1 / (1 + np.exp(-np.clip(model.features(j - i, hits) @ model.coefficients, -700, 700))))
+        out.append(1 / (1 + np.exp(-np.clip((model.features(j - i, hits) * model.coefficients).sum(axis=1), -700, 700))))
     return np.concatenate(out) if out else np.zeros(0)
 
 

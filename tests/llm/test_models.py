@@ -121,6 +121,16 @@ def test_network_covers_whole_texts():
     assert np.allclose(got, want, atol=1e-4)
 
 
+def test_network_scores_a_text_alike_in_any_company():
+    net = network(2).on_grid()
+    rng = np.random.default_rng(7)
+    texts = ["".join(map(chr, rng.integers(32, 400, int(n)))) for n in rng.integers(0, 3000, 120)] + ["z" * 600_000]
+    whole = quality.probabilities(net, pa.array(texts))
+    for step in (1, 7, 50):
+        parts = [quality.probabilities(net, pa.array(texts[i : i + step])) for i in range(0, len(texts), step)]
+        assert np.array_equal(np.concatenate(parts), whole)
+
+
 def test_network_scores_a_long_text_in_blocks_alike():
     net = network(3)
     rng = np.random.default_rng(1)

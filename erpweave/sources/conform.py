@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StructType
 
@@ -44,14 +44,14 @@ def conform(df: DataFrame, schema: StructType, allow_missing: bool = False, keep
     return df.selectExpr(*columns)
 
 
-def conform_rejects(df: DataFrame, schema: StructType, date_formats: Sequence[str] = ()) -> DataFrame:
-    """column_name and rejected: per column of ``schema`` the values that conforming turns into null.
+def losses(df: DataFrame, schema: StructType, date_formats: Sequence[str] = ()) -> dict[str, Column]:
+    """Per column of ``schema`` whose type changes: true where conforming turns a value into null.
 
-    One aggregation over the columns whose type changes. A date column also accepts text in
-    ``date_formats`` (after ISO), as the preparation operators do when given them.
+    A date column also accepts text in ``date_formats`` (after ISO), as the preparation
+    operators do when given them.
     """
     present = {field.name: field.dataType for field in df.schema.fields}
-    counts = []
+    found = {}
     for field in schema.fields:
         if field.name not in present or present[field.name] == field.dataType:
             continue
@@ -59,9 +59,24 @@ def conform_rejects(df: DataFrame, schema: StructType, date_formats: Sequence[st
         kept = [value.try_cast(field.dataType)]
         if isinstance(field.dataType, DateType):
             kept += [F.try_to_date(value.cast("string"), fmt) for fmt in date_formats]
-        counts.append((field.name, F.count_if(value.isNotNull() & F.coalesce(*kept).isNull())))
+        found[field.name] = value.isNotNull() & F.coalesce(*kept).isNull()
+    return found
+
+
+def lost_columns(df: DataFrame, schema: StructType, date_formats: Sequence[str] = ()) -> Column:
+    """The names of a row's columns that conforming turns into null."""
+    names = [F.when(lost, F.lit(name)) for name, lost in losses(df, schema, date_formats).items()]
+    return F.filter(F.array(*names).cast("array<string>"), lambda name: name.isNotNull())
+
+
+def conform_rejects(df: DataFrame, schema: StructType, date_formats: Sequence[str] = ()) -> DataFrame:
+    """column_name and rejected: per column of ``schema`` the values that conforming turns into null.
+
+    One aggregation over the columns whose type changes.
+    """
+    counts = {name: F.count_if(lost) for name, lost in losses(df, schema, date_formats).items()}
     if not counts:
         return df.sparkSession.createDataFrame([], "column_name string, rejected long")
-    wide = df.agg(*[count.alias(f"c{i}") for i, (_, count) in enumerate(counts)])
-    cells = [F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias("rejected")) for i, (name, _) in enumerate(counts)]
+    wide = df.agg(*[count.alias(f"c{i}") for i, count in enumerate(counts.values())])
+    cells = [F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias("rejected")) for i, name in enumerate(counts)]
     return wide.select(F.inline(F.array(*cells)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,20 +45,44 @@ def read_written(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return reader.load(path).select(*schema.fieldNames())
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Replace ``target`` by the folder ``source`` (a rename within one file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = dst.getFileSystem(conf)
-    fs.mkdirs(dst.getParent())
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    if not fs.rename(src, dst):
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
         msg = f"cannot move {source} to {target}"
         raise OSError(msg)
 
 
+def swap_folders(spark: SparkSession, staged: dict[str, str]) -> None:
+    """Put each staged folder (key) in the place of its target (value), all or none.
+
+    Old folders are set aside by a rename and deleted only after every new one is in place;
+    when a step fails, what was done is undone, and the staged folders stay where they were.
+    Between the two renames of a target it is absent for a moment, and a killed process leaves
+    the old folder beside it (``.replaced-*``): publish by versions where readers must not see that.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    undo: list = []
+    olds: list = []
+    try:
+        for source, target in staged.items():
+            src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+            fs = dst.getFileSystem(conf)
+            fs.mkdirs(dst.getParent())
+            if fs.exists(dst):
+                old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex}")
+                _rename(fs, dst, old)
+                undo.append((fs, old, dst))
+                olds.append((fs, old))
+            _rename(fs, src, dst)
+            undo.append((fs, dst, src))
+    except Exception:
+        for fs, now, before in reversed(undo):
+            _rename(fs, now, before)
+        raise
+    for fs, old in olds:
+        fs.delete(old, True)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -425,6 +425,15 @@ _QUERIES_SQL: dict[str, str] = {
     # S
     "scan_csv_inferred": "SELECT CAST(MANDT AS INTEGER) AS MANDT, WERKS, BWKEY, NAME1 FROM t001w",
     "scan_csv_typed": "SELECT * FROM marc",
+    "scan_csv_damaged": """
+        SELECT CASE WHEN m IN (3, 7) THEN 'cells' ELSE 'rows' END AS lane,
+               CASE WHEN m NOT IN (3, 7) THEN SOURCE_SYSTEM_ERP END AS SOURCE_SYSTEM_ERP,
+               CASE WHEN m NOT IN (3, 7) THEN MATNR END AS MATNR,
+               CASE WHEN m NOT IN (3, 7) THEN WERKS END AS WERKS,
+               CASE WHEN m NOT IN (3, 7) THEN LVORM END AS LVORM,
+               CASE WHEN m IN (3, 7) THEN SOURCE_SYSTEM_ERP || ',' || MATNR || ',' || WERKS || ',' || coalesce(LVORM, '')
+                    || CASE WHEN m = 3 THEN ',note,surplus' ELSE '' END END AS record
+        FROM (SELECT *, CAST(MATNR AS INTEGER) % 10 AS m FROM marc)""",
     "scan_registry": "SELECT * FROM lm",
     "sink_csv_roundtrip": f"SELECT {_LM_RENAME} FROM lm",
     "sink_parquet_roundtrip": f"SELECT {_PO_RENAME} FROM po",
@@ -561,6 +570,15 @@ _QUERIES_SQL: dict[str, str] = {
     "harmonize_published": f"""
         SELECT {_LM_RENAME.replace("SOURCE_SYSTEM_ERP AS source_system_erp", "CASE SOURCE_SYSTEM_ERP WHEN 'SYS1' THEN '001' ELSE '010' END AS source_system_erp").replace("primary_key_inter", "CASE SOURCE_SYSTEM_ERP WHEN 'SYS1' THEN '001' ELSE '010' END || substr(primary_key_inter, 5) AS primary_key_inter")}
         FROM lm""",
+    "harmonize_published_order": f"SELECT {_PO_RENAME} FROM po",
+    "harmonize_raise": f"SELECT {_LM_RENAME} FROM lm",
+    "rejects_registry": f"""
+        SELECT system, 'MBEW' AS table_name, c.column_name,
+               CASE c.column_name WHEN '(rows)' THEN n WHEN 'STPRS' THEN bad ELSE 0 END AS rejected
+        FROM (SELECT {_SYS.format(k="l_partkey")} AS system, count(*) AS n,
+                     count(*) FILTER (WHERE l_quantity % 5 = 0) AS bad
+              FROM lineitem GROUP BY 1),
+             (VALUES ('(rows)'), ('(damaged records)'), ('VERPR'), ('STPRS'), ('PEINH')) c(column_name)""",
     "conform_rejects": f"""
         SELECT system, 'MBEW' AS table_name, 'STPRS' AS column_name,
                count(*) FILTER (WHERE l_quantity % 5 = 0) AS rejected

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructType
 
 from erpweave.functions import sha256_hex
+from erpweave.session import scratch_path
 
 
 def mask_sensitive_columns(df: DataFrame, sensitive_columns: Sequence[str], salt: str | None = None) -> DataFrame:
@@ -33,32 +34,91 @@ def _require_columns(df: DataFrame, columns: Sequence[str]) -> None:
             raise ValueError(msg)
 
 
-def key_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Uniqueness report, one row per checked column, from a single aggregation job.
+def _digest(value: Column) -> Column:
+    """What the first phase of the key check counts in place of a text. Any function will do:
+    texts that share a digest are told apart in the second phase."""
+    return F.xxhash64(value)
+
+
+def key_violations(df: DataFrame, columns: Sequence[str], stage: bool = True) -> DataFrame:
+    """Uniqueness report, one row per checked column.
 
     Each column is checked on its own (not as a composite key). Null is a value: two null
-    keys are a duplicate; ``null_rows`` reports them separately. The key columns are
-    unpivoted to (column_name, value), counted per value with map-side partial
-    aggregation, and the counts are folded per column.
+    keys are a duplicate; ``null_rows`` reports them separately.
+
+    Two phases. First 64-bit digests of the key texts are counted (map-side partial
+    aggregation, no text is shuffled): a digest that occurs once is a unique key. Only texts
+    under a digest that occurs again are counted as texts, so colliding digests cost time but
+    never change a number. Where all keys are unique there is no second phase.
+
+    Both phases read ``df``. ``stage`` first writes its key columns to the work folder, so that
+    an expensive plan runs once; pass False for a table that is cheap to read again.
+    The phases run when this is called; the returned report is small.
     """
     _require_columns(df, columns)
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "value"
+    spark, names = df.sparkSession, list(columns)
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(names)])
+    if stage:
+        texts = _staged(texts, "key-texts")
+    long = texts.select(F.posexplode(F.array(*texts.columns)).alias("k", "value"))
+    digest = F.when(F.col("value").isNotNull(), _digest(F.col("value"))).cast("long").alias("h")
+    counted = long.select("k", digest).groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"))
+
+    again = F.col("h").isNotNull() & (F.col("n") > 1)
+    seen = Observation()
+    totals = [F.count_if(again).alias("suspects")]
+    for i in range(len(names)):
+        own = F.col("k") == i
+        totals += [
+            F.count_if(own & F.col("h").isNotNull() & (F.col("n") == 1)).alias(f"single{i}"),
+            F.coalesce(F.sum(F.when(own & F.col("h").isNull(), F.col("n"))), F.lit(0)).alias(f"nulls{i}"),
+        ]
+    suspects = _staged(counted.observe(seen, *totals).filter(again).select("k", "h"), "key-suspects")
+    found = seen.get
+    known = [(i, found[f"single{i}"], found[f"nulls{i}"]) for i in range(len(names))]
+    parts = spark.createDataFrame(known, "k int, single long, nulls long").select(
+        "k",
+        (F.col("single") + F.when(F.col("nulls") > 0, 1).otherwise(0)).cast("long").alias("distinct_values"),
+        F.when(F.col("nulls") > 1, 1).otherwise(0).cast("long").alias("duplicated_values"),
+        F.when(F.col("nulls") > 1, F.col("nulls")).otherwise(0).cast("long").alias("duplicated_rows"),
+        F.col("nulls").alias("null_rows"),
     )
-    per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    dup = F.col("n") > 1
-    return per_value.groupBy("column_name").agg(
-        F.count(F.lit(1)).cast("long").alias("distinct_values"),
-        F.sum(F.when(dup, 1).otherwise(0)).cast("long").alias("duplicated_values"),
-        F.sum(F.when(dup, F.col("n")).otherwise(0)).cast("long").alias("duplicated_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("long").alias("null_rows"),
+    if found["suspects"]:
+        exact = (
+            long.select("k", "value", digest)
+            .join(suspects, ["k", "h"], "left_semi")
+            .groupBy("k", "h", "value")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        dup = F.col("n") > 1
+        parts = parts.unionByName(
+            exact.groupBy("k").agg(
+                F.count(F.lit(1)).alias("distinct_values"),
+                F.count_if(dup).alias("duplicated_values"),
+                F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long").alias("duplicated_rows"),
+                F.lit(0).cast("long").alias("null_rows"),
+            )
+        )
+    counts = ["distinct_values", "duplicated_values", "duplicated_rows", "null_rows"]
+    return (
+        parts.groupBy("k")
+        .agg(*[F.sum(c).cast("long").alias(c) for c in counts])
+        .filter("distinct_values > 0")
+        .select(F.element_at(F.array(*[F.lit(c) for c in names]), F.col("k") + 1).alias("column_name"), *counts)
     )
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the work folder and read back, so that its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def check_columns_unique(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """Raise ``ValueError`` for the first listed column holding a duplicated value.
 
-    Runs one job for all columns; returns ``{column: duplicated values}`` (all zero) when
+    Checks all columns together; returns ``{column: duplicated values}`` (all zero) when
     every column is unique. An empty list checks nothing.
     """
     _require_columns(df, columns)

@@ -55,6 +55,8 @@ from erpweave.plans.pipelines import (
 )
 from erpweave.functions import not_deleted, not_deleted_or_blank, old_material_number_valid
 from erpweave.session import scratch_path
+from erpweave.sources.audit import AuditedSources, SourceAudit
+from erpweave.sources.damaged import read_csv_lanes
 from erpweave.sources.fixtures import SYSTEMS, OverlappingErpSources, TpchErpSources
 from erpweave.sources.readers import read_csv_file, read_csv_typed
 from erpweave.sources.registry import SourceRegistry, SystemLocation
@@ -152,6 +154,28 @@ def scan_csv_typed(spark, sf_dir):
     return read_csv_typed(spark, path, C.SOURCE_SCHEMAS["MARC"])
 
 
+def scan_csv_damaged(spark, sf_dir):
+    """Plant rows as CSV text, some with a cell too many or too few, some with a quoted line break:
+    both lanes of the reader, as one table."""
+    names = C.SOURCE_SCHEMAS["MARC"].fieldNames()
+    marc = _view(spark, sf_dir, "MARC").select(*names)
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
+    kind = F.col("MATNR").cast("int") % 10
+    lines = (
+        F.when(kind == 3, F.array(F.concat(line, F.lit(",note,surplus"))))
+        .when(kind == 7, F.array(line))
+        .when(kind == 5, F.array(F.concat(line, F.lit(',"a note')), F.lit('of two lines"')))
+        .otherwise(F.array(F.concat(line, F.lit(",note"))))
+    )
+    path = scratch_path(spark, "marc-damaged")
+    # One text column whose name is the header line; nothing in it is quoted or separated.
+    text = marc.select(F.explode(lines).alias(",".join([*names, "NOTE"])))
+    text.write.options(header=True, sep="\u0001", quote="").csv(path)
+    found = read_csv_lanes(spark, path, C.SOURCE_SCHEMAS["MARC"])
+    rows = found.rows.select(F.lit("rows").alias("lane"), *names, F.lit(None).cast("string").alias("record"))
+    return rows.unionByName(found.rejected.select(F.col("reason").alias("lane"), "record"), allowMissingColumns=True)
+
+
 def scan_registry(spark, sf_dir):
     """Local material run from CSV extracts laid out per system (typed, by name)."""
     root = scratch_path(spark, "extracts")
@@ -558,6 +582,51 @@ class _UntidySources(TpchErpSources):
         return df
 
 
+def rejects_registry(spark, sf_dir):
+    """Losses of the valuation extracts (CSV, prices in forms that no type takes), counted on the
+    plan that builds local material from them."""
+    root = scratch_path(spark, "untidy-extracts")
+    src, locations = _UntidySources(sf_dir), {}
+    for i, system in enumerate(SYSTEMS, start=1):
+        loc = locations[system] = SystemLocation(root=f"{root}/system_{i}", prefix=f"P{i}", fmt="csv")
+        for table in ("MARA", "MBEW", "MARC", "T001K", "T001W", "T001"):
+            write_table(src.load(spark, system, table), f"{loc.root}/{loc.prefix}_{table}.csv", fmt="csv")
+    audit = SourceAudit()
+    sources = AuditedSources(SourceRegistry(locations, damaged="drop"), audit)
+    process_local_material(spark, sources).write.format("noop").mode("overwrite").save()
+    return audit.report(spark).filter("table_name = 'MBEW'")
+
+
+def harmonize_published_order(spark, sf_dir):
+    """The order half of a versioned run, read back through its commit."""
+    root = scratch_path(spark, "versions")
+    harmonize_data(
+        spark, _src(sf_dir), root, on_key_violation="report", order_options={"as_of": AS_OF}, versioned=True
+    )
+    return read_published(spark, root, "process_order")
+
+
+class _NoOddPlants(TpchErpSources):
+    """The fixture without the plant rows of every second material: a run with other results."""
+
+    def load(self, spark: SparkSession, system: str, table: str) -> DataFrame:
+        df = super().load(spark, system, table)
+        return df.filter("crc32(MATNR) % 2 = 0") if table == "MARC" else df
+
+
+def harmonize_raise(spark, sf_dir):
+    """A run in ``raise`` mode that meets duplicated order keys: readers still see the run before."""
+    root = scratch_path(spark, "raising")
+    options = {"order_options": {"as_of": AS_OF}, "versioned": True}
+    harmonize_data(spark, _src(sf_dir), root, on_key_violation="report", **options)
+    try:
+        harmonize_data(spark, _NoOddPlants(sf_dir), root, on_key_violation="raise", **options)
+    except ValueError:
+        return read_published(spark, root, "local_material")
+    msg = "the fixture's order keys are not unique, so nothing may be published"
+    raise AssertionError(msg)
+
+
 def conform_rejects_query(spark, sf_dir):
     """Values that typing the extracts turns into null, per system and column."""
     return rejected_values(spark, _UntidySources(sf_dir), ["MBEW", "AFPO"], date_formats=["yyyyMMdd"])
@@ -567,6 +636,7 @@ QUERIES: dict[str, Query] = {
     # S: scans, sinks, profile
     "scan_csv_inferred": scan_csv_inferred,
     "scan_csv_typed": scan_csv_typed,
+    "scan_csv_damaged": scan_csv_damaged,
     "scan_registry": scan_registry,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
@@ -651,5 +721,8 @@ QUERIES: dict[str, Query] = {
     "process_order_isolated": process_order_isolated,
     "order_deviation_late_positive": order_deviation_late_positive,
     "harmonize_published": harmonize_published,
+    "harmonize_published_order": harmonize_published_order,
+    "harmonize_raise": harmonize_raise,
     "conform_rejects": conform_rejects_query,
+    "rejects_registry": rejects_registry,
 }

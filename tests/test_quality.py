@@ -1,9 +1,12 @@
 """Masking, uniqueness checks, contracts, conformance and profiling."""
 
 import hashlib
+import random
+from collections import Counter
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from erpweave import contracts as C
 from erpweave.operators import (
@@ -13,6 +16,7 @@ from erpweave.operators import (
     key_violations,
     mask_sensitive_columns,
     profile_data,
+    quality,
 )
 from erpweave.sources import conform
 from erpweave.sources.conform import conform_rejects
@@ -113,3 +117,32 @@ def test_conform_rejects_counts_lost_values(spark):
     assert rows(conform_rejects(df, schema)) == [("d", 2), ("p", 2)]
     assert rows(conform_rejects(df, schema, date_formats=["yyyyMMdd"])) == [("d", 1), ("p", 2)]
     assert conform_rejects(df.select("s"), C.struct(("s", C.S))).count() == 0
+
+
+def _report(values):
+    counts = Counter(values)
+    dup = {v: n for v, n in counts.items() if n > 1}
+    return (len(counts), len(dup), sum(dup.values()), counts[None])
+
+
+@pytest.mark.parametrize("digest", ["xxhash64", "length", "constant"])
+@pytest.mark.parametrize("stage", [True, False])
+def test_key_check_is_exact_whatever_the_digests(spark, monkeypatch, digest, stage):
+    """Texts that share a digest, by chance or on purpose, are still counted apart."""
+    digests = {"xxhash64": F.xxhash64, "length": F.length, "constant": lambda value: F.lit(1)}
+    monkeypatch.setattr(quality, "_digest", digests[digest])
+    rng = random.Random(3)
+    key = lambda: rng.choice([None, "", "hot", "hot", *(f"k{rng.randrange(400)}" for _ in range(6))])
+    data = [(key(), f"only-{i}", None) for i in range(500)]
+    df = spark.createDataFrame(data, "a string, `b.c` string, d string")
+    got = {r.column_name: tuple(r)[1:] for r in key_violations(df, ["a", "b.c", "d"], stage=stage).collect()}
+    assert got == {name: _report([row[i] for row in data]) for i, name in enumerate(["a", "b.c", "d"])}
+    assert key_violations(df.limit(0), ["a"], stage=stage).count() == 0
+
+
+def test_no_text_of_a_unique_key_is_shuffled(spark):
+    """The only exchange of the first phase moves numbers; without suspects there is no second one."""
+    df = spark.range(1000).selectExpr("CAST(id AS STRING) AS a", "concat('x', id) AS b")
+    report = key_violations(df, ["a", "b"], stage=False)
+    assert "left_semi" not in report._jdf.queryExecution().toString().lower().replace("leftsemi", "left_semi")
+    assert {tuple(r) for r in report.collect()} == {("a", 1000, 0, 0, 0), ("b", 1000, 0, 0, 0)}

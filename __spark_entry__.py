@@ -570,6 +570,8 @@ _QUERIES_SQL: dict[str, str] = {
     "harmonize_published": f"""
         SELECT {_LM_RENAME.replace("SOURCE_SYSTEM_ERP AS source_system_erp", "CASE SOURCE_SYSTEM_ERP WHEN 'SYS1' THEN '001' ELSE '010' END AS source_system_erp").replace("primary_key_inter", "CASE SOURCE_SYSTEM_ERP WHEN 'SYS1' THEN '001' ELSE '010' END || substr(primary_key_inter, 5) AS primary_key_inter")}
         FROM lm""",
+    "process_order_stored": "SELECT * FROM po",
+    "key_violations_stored": _key_violations_sql("po"),
     "harmonize_published_order": f"SELECT {_PO_RENAME} FROM po",
     "harmonize_raise": f"SELECT {_LM_RENAME} FROM lm",
     "rejects_registry": f"""

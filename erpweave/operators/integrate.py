@@ -206,18 +206,33 @@ def integration_process_order(
     require_optional_dataframe(sap_cdpos, "sap_cdpos")
     extra = list(extra_keys)
     # Items and change items are one-to-many right sides that may hold a hot key (one order
-    # with most items): split it. MATNR and OBJNR come from the
-    # right side of earlier joins: spread their null keys. The order master is joined before
-    # the items: both hang off the header's AUFNR, so the order of the two left joins does
-    # not change the rows, and the re-partitioning between them then moves header rows
-    # rather than item rows.
-    hot = {"split_right_skew": True, "hot_key_rows": hot_key_rows}
+    # with most items): split it. The order master is joined before the items: both hang off
+    # the header's AUFNR, so the order of the two left joins does not change the rows, and the
+    # re-partitioning between them then moves header rows rather than item rows.
     joined = left_join(sap_afko, sap_aufk, [*extra, "AUFNR"])
-    joined = left_join(joined, sap_afpo, [*extra, "AUFNR"], **hot)
+    joined = left_join(joined, sap_afpo, [*extra, "AUFNR"], split_right_skew=True, hot_key_rows=hot_key_rows)
+    return order_rows_with_materials(joined, sap_afko, sap_afpo, sap_aufk, sap_mara, sap_cdpos, extra, hot_key_rows)
+
+
+def order_rows_with_materials(
+    joined: DataFrame,
+    sap_afko: DataFrame,
+    sap_afpo: DataFrame,
+    sap_aufk: DataFrame,
+    sap_mara: DataFrame,
+    sap_cdpos: DataFrame | None = None,
+    extra_keys: Sequence[str] = (),
+    hot_key_rows: int | None = None,
+) -> DataFrame:
+    """The second half of :func:`integration_process_order`: ``joined`` holds J6 and J7 already."""
+    extra = list(extra_keys)
+    # MATNR and OBJNR come from the right side of earlier joins: spread their null keys.
     joined = left_join(joined, sap_mara, [*extra, "MATNR"], spread_null_keys=True)
     steps = [(sap_afpo, "AUFNR"), (sap_aufk, "AUFNR"), (sap_mara, "MATNR")]
     if sap_cdpos is not None:
-        joined = left_join(joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, **hot)
+        joined = left_join(
+            joined, sap_cdpos, [*extra, "OBJNR"], spread_null_keys=True, split_right_skew=True, hot_key_rows=hot_key_rows
+        )
         steps.append((sap_cdpos, "OBJNR"))
     joined = joined.select(*_using_order(sap_afko.columns, steps, extra))
     return joined.withColumn("ZZGLTRP_ORIG", F.coalesce(F.col("ZZGLTRP_ORIG"), F.col("GLTRP")))

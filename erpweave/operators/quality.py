@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -40,30 +41,64 @@ def _digest(value: Column) -> Column:
     return F.xxhash64(value)
 
 
-def key_violations(df: DataFrame, columns: Sequence[str], stage: bool = True) -> DataFrame:
+def key_violations(df: DataFrame, columns: Sequence[str], reread: bool = False) -> DataFrame:
     """Uniqueness report, one row per checked column.
 
     Each column is checked on its own (not as a composite key). Null is a value: two null
     keys are a duplicate; ``null_rows`` reports them separately.
 
-    Two phases. First 64-bit digests of the key texts are counted (map-side partial
-    aggregation, no text is shuffled): a digest that occurs once is a unique key. Only texts
-    under a digest that occurs again are counted as texts, so colliding digests cost time but
-    never change a number. Where all keys are unique there is no second phase.
-
-    Both phases read ``df``. ``stage`` first writes its key columns to the work folder, so that
-    an expensive plan runs once; pass False for a table that is cheap to read again.
-    The phases run when this is called; the returned report is small.
+    By default ``df`` is evaluated once, in one lazy aggregation: the key columns are unpivoted
+    to (column_name, value), counted per value with map-side partial aggregation, and the
+    counts are folded per column. With ``reread``, for a stored table that is cheap to read
+    again, the check takes two phases that shuffle no text of a unique key (``_two_phases``).
     """
     _require_columns(df, columns)
-    spark, names = df.sparkSession, list(columns)
+    if reread:
+        return _two_phases(df, list(columns))
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column_name", "value"
+    )
+    per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    dup = F.col("n") > 1
+    return per_value.groupBy("column_name").agg(
+        F.count(F.lit(1)).cast("long").alias("distinct_values"),
+        F.sum(F.when(dup, 1).otherwise(0)).cast("long").alias("duplicated_values"),
+        F.sum(F.when(dup, F.col("n")).otherwise(0)).cast("long").alias("duplicated_rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("long").alias("null_rows"),
+    )
+
+
+def _two_phases(df: DataFrame, names: list[str]) -> DataFrame:
+    """First 56-bit digests of the key texts are counted: a digest that occurs once is a unique
+    key. Only texts under a digest that occurs again are counted as texts, so colliding digests
+    cost time but never change a number. Without such digests there is no second phase.
+
+    A row of the first shuffle is two numbers whatever the keys' length. The first phase runs
+    when this is called.
+    """
+    spark = df.sparkSession
+    if len(names) > 128:
+        msg = "at most 128 key columns can be checked at once"
+        raise ValueError(msg)
     texts = df.select(*[F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(names)])
-    if stage:
-        texts = _staged(texts, "key-texts")
-    long = texts.select(F.posexplode(F.array(*texts.columns)).alias("k", "value"))
-    digest = F.when(F.col("value").isNotNull(), _digest(F.col("value"))).cast("long").alias("h")
-    counted = long.select("k", digest).groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"))
 
+    def digests(i: int) -> Column:
+        """56 bits of a text's digest, a mark and the column's number in one long: that and a
+        count is all that the first phase shuffles. A null text has the number alone."""
+        value = F.col(f"v{i}")
+        marked = F.shiftleft(_digest(value).cast("long"), 8).bitwiseOR(F.lit(128 + i).cast("long"))
+        return F.when(value.isNotNull(), marked).otherwise(F.lit(i).cast("long")).alias("h")
+
+    numbers = reduce(DataFrame.union, [texts.select(digests(i)) for i in range(len(names))])
+    counted = (
+        numbers.groupBy("h")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            F.col("h").bitwiseAND(127).cast("int").alias("k"),
+            F.when(F.col("h").bitwiseAND(128) != 0, F.col("h")).alias("h"),
+            "n",
+        )
+    )
     again = F.col("h").isNotNull() & (F.col("n") > 1)
     seen = Observation()
     totals = [F.count_if(again).alias("suspects")]
@@ -73,7 +108,8 @@ def key_violations(df: DataFrame, columns: Sequence[str], stage: bool = True) ->
             F.count_if(own & F.col("h").isNotNull() & (F.col("n") == 1)).alias(f"single{i}"),
             F.coalesce(F.sum(F.when(own & F.col("h").isNull(), F.col("n"))), F.lit(0)).alias(f"nulls{i}"),
         ]
-    suspects = _staged(counted.observe(seen, *totals).filter(again).select("k", "h"), "key-suspects")
+    path = scratch_path(spark, "key-suspects")
+    counted.observe(seen, *totals).filter(again).select("h").write.parquet(path)
     found = seen.get
     known = [(i, found[f"single{i}"], found[f"nulls{i}"]) for i in range(len(names))]
     parts = spark.createDataFrame(known, "k int, single long, nulls long").select(
@@ -84,12 +120,15 @@ def key_violations(df: DataFrame, columns: Sequence[str], stage: bool = True) ->
         F.col("nulls").alias("null_rows"),
     )
     if found["suspects"]:
-        exact = (
-            long.select("k", "value", digest)
-            .join(suspects, ["k", "h"], "left_semi")
-            .groupBy("k", "h", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
+        long = reduce(
+            DataFrame.union,
+            [
+                texts.filter(F.col(f"v{i}").isNotNull()).select(F.lit(i).alias("k"), digests(i), F.col(f"v{i}").alias("value"))
+                for i in range(len(names))
+            ],
         )
+        suspects = spark.read.schema("h long").parquet(path)  # of known size: broadcast if small
+        exact = long.join(suspects, "h", "left_semi").groupBy("k", "h", "value").agg(F.count(F.lit(1)).alias("n"))
         dup = F.col("n") > 1
         parts = parts.unionByName(
             exact.groupBy("k").agg(
@@ -108,17 +147,10 @@ def key_violations(df: DataFrame, columns: Sequence[str], stage: bool = True) ->
     )
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the work folder and read back, so that its size is known to the planner."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def check_columns_unique(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """Raise ``ValueError`` for the first listed column holding a duplicated value.
 
-    Checks all columns together; returns ``{column: duplicated values}`` (all zero) when
+    Runs one job for all columns; returns ``{column: duplicated values}`` (all zero) when
     every column is unique. An empty list checks nothing.
     """
     _require_columns(df, columns)

@@ -7,6 +7,7 @@ fixture table to a fresh folder under the session's shared work folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,7 @@ from erpweave.operators import (
 from erpweave.operators.dedup import asc_nulls_last
 from erpweave.operators.derive import FOREIGN, MATERIAL_GRAIN, material_dedup_order
 from erpweave.operators.prep import valuation_order
+from erpweave.plans.colocated import process_stored_orders, store_order_tables
 from erpweave.plans.harmonize import harmonize_data, read_published, rejected_values
 from erpweave.plans.pipelines import (
     local_material_integrated,
@@ -606,6 +608,20 @@ def harmonize_published_order(spark, sf_dir):
     return read_published(spark, root, "process_order")
 
 
+def process_order_stored(spark, sf_dir):
+    """A second run of process order: its facts come from tables bucketed by order number."""
+    prefix = f"orders_{uuid.uuid4().hex}"
+    store_order_tables(spark, _src(sf_dir), prefix, location=scratch_path(spark, "orders"), as_of=AS_OF)
+    return process_stored_orders(spark, prefix)
+
+
+def key_violations_stored(spark, sf_dir):
+    """The two-phase key check over a stored table."""
+    path = scratch_path(spark, "keys")
+    _process_order(spark, sf_dir).select(*C.PRIMARY_KEYS).write.parquet(path)
+    return key_violations(spark.read.parquet(path), C.PRIMARY_KEYS, reread=True)
+
+
 class _NoOddPlants(TpchErpSources):
     """The fixture without the plant rows of every second material: a run with other results."""
 
@@ -723,6 +739,8 @@ QUERIES: dict[str, Query] = {
     "harmonize_published": harmonize_published,
     "harmonize_published_order": harmonize_published_order,
     "harmonize_raise": harmonize_raise,
+    "process_order_stored": process_order_stored,
+    "key_violations_stored": key_violations_stored,
     "conform_rejects": conform_rejects_query,
     "rejects_registry": rejects_registry,
 }

@@ -154,7 +154,7 @@ def process_local_material(
     return result
 
 
-def process_order_integrated(
+def process_order_tables(
     spark: SparkSession,
     sources: Sources,
     global_material_column: str = "ZZMDGM",
@@ -163,11 +163,8 @@ def process_order_integrated(
     with_changes: bool = False,
     isolate_systems: bool = False,
     change_columns: Sequence[str] = ("OBJNR", "CHNGIND", "VALUE_NEW"),
-) -> DataFrame:
-    """Prepared, unioned and joined process order rows (before post-processing).
-
-    ``change_columns`` are the columns taken from the change items (OBJNR is the join key).
-    """
+) -> dict[str, DataFrame | None]:
+    """The prepared tables of process order, unioned over the systems (CDPOS: None unless asked for)."""
     names = ["AFKO", "AFPO", "AUFK", "MARA_ORDER"]
     tables: dict[str, list[DataFrame]] = {t: [] for t in names}
     changes: list[DataFrame] = []
@@ -184,13 +181,24 @@ def process_order_integrated(
         if with_changes:
             cdpos = load("CDPOS").select(*change_columns)
             changes.append(cdpos.withColumn(SYSTEM_TAG, F.lit(system)) if isolate_systems else cdpos)
-    union = {table: union_systems(frames) for table, frames in tables.items()}
+    union: dict[str, DataFrame | None] = {table: union_systems(frames) for table, frames in tables.items()}
+    union["CDPOS"] = union_systems(changes) if with_changes else None
+    return union
+
+
+def process_order_integrated(spark: SparkSession, sources: Sources, isolate_systems: bool = False, **options) -> DataFrame:
+    """Prepared, unioned and joined process order rows (before post-processing).
+
+    ``options`` as for :func:`process_order_tables`; ``change_columns`` are the columns taken
+    from the change items (OBJNR is the join key).
+    """
+    tables = process_order_tables(spark, sources, isolate_systems=isolate_systems, **options)
     integrated = integration_process_order(
-        union["AFKO"],
-        union["AFPO"],
-        union["AUFK"],
-        union["MARA_ORDER"],
-        union_systems(changes) if with_changes else None,
+        tables["AFKO"],
+        tables["AFPO"],
+        tables["AUFK"],
+        tables["MARA_ORDER"],
+        tables["CDPOS"],
         extra_keys=[SYSTEM_TAG] if isolate_systems else (),
     )
     return integrated.drop(SYSTEM_TAG)
@@ -212,14 +220,27 @@ def process_process_order(
     :func:`erpweave.functions.deviation_days`.
     """
     integrated = process_order_integrated(spark, sources, **options)
-    result = post_prep_process_order(integrated, options.get("date_formats"), sign)
+    result = finished_process_order(integrated, options.get("date_formats"), mask, mask_derived, mask_salt, sign)
+    if check_keys:
+        check_columns_unique(result, C.PRIMARY_KEYS)
+    return result
+
+
+def finished_process_order(
+    integrated: DataFrame,
+    date_formats: list[str] | None = None,
+    mask: bool = True,
+    mask_derived: bool = False,
+    mask_salt: str | None = None,
+    sign: str = "planned_minus_actual",
+) -> DataFrame:
+    """Derivations, contract columns, masking and contract check over integrated order rows."""
+    result = post_prep_process_order(integrated, date_formats, sign)
     result = result.select(*C.names(C.PROCESS_ORDER_CONTRACT))
     if mask:
         masked = C.PROCESS_ORDER_MASKED + (C.PROCESS_ORDER_DERIVED_IDS if mask_derived else [])
         result = mask_sensitive_columns(result, masked, mask_salt)
     check_schema(result, C.PROCESS_ORDER_CONTRACT)
-    if check_keys:
-        check_columns_unique(result, C.PRIMARY_KEYS)
     return result
 
 

@@ -16,6 +16,7 @@ from erpweave.functions.expressions import (
     month_start,
     mto_vs_mts,
     on_time_flag,
+    hmac_sha256_hex,
     sha256_hex,
     to_date_safe,
 )
@@ -50,6 +51,7 @@ __all__ = [
     "not_deleted_or_blank",
     "old_material_number_valid",
     "on_time_flag",
+    "hmac_sha256_hex",
     "sha256_hex",
     "to_date_safe",
 ]

@@ -79,16 +79,25 @@ VALUATION_DATE_FORMATS = ("dd.MM.yyyy", "MM/dd/yyyy")
 
 
 def evaluation_order(dtype: DataType, formats: Sequence[str] = VALUATION_DATE_FORMATS) -> list[Column]:
-    """LAEPR, latest first and missing last. Text is ranked as what it holds: numbers
-    (compact dates among them) as numbers, dates (ISO or ``formats``) as dates, the rest as text."""
+    """LAEPR, latest first and missing last.
+
+    Text in any mix of forms ranks by one number, the moment it stands for as yyyyMMdd and a
+    part of the day: compact and ISO dates with or without a time, and ``formats``. Digits that
+    are no date count as that number; the rest comes last, as text.
+    """
     if not isinstance(dtype, StringType):
         return desc_nulls_last(["LAEPR"])
-    number = F.col("LAEPR").try_cast("decimal(38,10)")
-    return [
-        number.desc_nulls_last(),
-        to_date_safe("LAEPR", dtype, list(formats)).desc_nulls_last(),
-        F.col("LAEPR").desc_nulls_last(),
-    ]
+    text = F.trim("LAEPR")
+    moment = F.coalesce(
+        F.when(text.rlike("^[0-9]{14}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss"))),
+        F.when(text.rlike("^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd"))),
+        F.when(text.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), text.try_cast("timestamp")),
+        F.when(~text.rlike("^[0-9]*$"), to_date_safe("LAEPR", dtype, list(formats)).cast("timestamp")),
+    )
+    day = F.year(moment) * 10_000 + F.month(moment) * 100 + F.dayofmonth(moment)
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    rank = F.coalesce((day + seconds / 86_400).cast("decimal(38,10)"), text.try_cast("decimal(38,10)"))
+    return [rank.desc_nulls_last(), F.col("LAEPR").desc_nulls_last()]
 
 
 def valuation_order(

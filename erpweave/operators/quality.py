@@ -9,23 +9,30 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructType
 
-from erpweave.functions import sha256_hex
+from erpweave.functions import hmac_sha256_hex, sha256_hex
 from erpweave.session import scratch_path
 
 
-def mask_sensitive_columns(df: DataFrame, sensitive_columns: Sequence[str], salt: str | None = None) -> DataFrame:
+def mask_sensitive_columns(
+    df: DataFrame, sensitive_columns: Sequence[str], salt: str | None = None, key: str | None = None
+) -> DataFrame:
     """Replace each listed column by the SHA-256 hex of its text (null stays null).
 
     Every name is checked before anything is built; an unknown one raises ``ValueError``.
-    ``salt`` (optional) is prepended to the text before hashing.
+    ``salt`` (optional) is prepended to the text before hashing. With ``key`` the hash is an
+    HMAC-SHA-256 under that key, which numbers that can be enumerated need.
     """
+    if salt and key:
+        msg = "give a salt or a key, not both"
+        raise ValueError(msg)
     for name in sensitive_columns:
         if name not in df.columns:
             msg = f"Column '{name}' not found in DataFrame."
             raise ValueError(msg)
     if not sensitive_columns:
         return df
-    return df.withColumns({name: sha256_hex(name, salt) for name in sensitive_columns})
+    masked = {name: hmac_sha256_hex(name, key) if key else sha256_hex(name, salt) for name in sensitive_columns}
+    return df.withColumns(masked)
 
 
 def _require_columns(df: DataFrame, columns: Sequence[str]) -> None:

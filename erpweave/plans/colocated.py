@@ -109,7 +109,7 @@ def process_stored_orders(
 ) -> DataFrame:
     """Process order from the stored tables: the rows of ``process_process_order``.
 
-    ``options``: mask, mask_derived, mask_salt, sign.
+    ``options``: mask, mask_derived, mask_salt, mask_key, sign.
     """
 
     def table(suffix: str) -> DataFrame:

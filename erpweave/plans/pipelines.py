@@ -128,6 +128,7 @@ def process_local_material(
     mask: bool = True,
     mask_derived: bool = False,
     mask_salt: str | None = None,
+    mask_key: str | None = None,
     count_duplicates: bool = False,
     check_keys: bool = False,
     **options,
@@ -146,7 +147,7 @@ def process_local_material(
     result = result.select(*C.names(C.LOCAL_MATERIAL_CONTRACT), *extra)
     if mask:
         masked = C.LOCAL_MATERIAL_MASKED + (C.LOCAL_MATERIAL_DERIVED_IDS if mask_derived else [])
-        result = mask_sensitive_columns(result, masked, mask_salt)
+        result = mask_sensitive_columns(result, masked, mask_salt, mask_key)
     if not count_duplicates:
         check_schema(result, C.LOCAL_MATERIAL_CONTRACT)
     if check_keys:
@@ -210,6 +211,7 @@ def process_process_order(
     mask: bool = True,
     mask_derived: bool = False,
     mask_salt: str | None = None,
+    mask_key: str | None = None,
     check_keys: bool = False,
     sign: str = "planned_minus_actual",
     **options,
@@ -220,7 +222,7 @@ def process_process_order(
     :func:`erpweave.functions.deviation_days`.
     """
     integrated = process_order_integrated(spark, sources, **options)
-    result = finished_process_order(integrated, options.get("date_formats"), mask, mask_derived, mask_salt, sign)
+    result = finished_process_order(integrated, options.get("date_formats"), mask, mask_derived, mask_salt, mask_key, sign)
     if check_keys:
         check_columns_unique(result, C.PRIMARY_KEYS)
     return result
@@ -232,6 +234,7 @@ def finished_process_order(
     mask: bool = True,
     mask_derived: bool = False,
     mask_salt: str | None = None,
+    mask_key: str | None = None,
     sign: str = "planned_minus_actual",
 ) -> DataFrame:
     """Derivations, contract columns, masking and contract check over integrated order rows."""
@@ -239,7 +242,7 @@ def finished_process_order(
     result = result.select(*C.names(C.PROCESS_ORDER_CONTRACT))
     if mask:
         masked = C.PROCESS_ORDER_MASKED + (C.PROCESS_ORDER_DERIVED_IDS if mask_derived else [])
-        result = mask_sensitive_columns(result, masked, mask_salt)
+        result = mask_sensitive_columns(result, masked, mask_salt, mask_key)
     check_schema(result, C.PROCESS_ORDER_CONTRACT)
     return result
 

@@ -179,33 +179,37 @@ def test_missing_original_date_column_is_added(spark):
     assert row["ZZGLTRP_ORIG"] is None and row["on_time_flag"] is None and row["late_delivery_bucket"] == "Unknown"
 
 
-def _integration_inputs(spark):
-    S = "STRING"
-    afko = spark.createDataFrame([("1000", "OBJ1", "2024-12-31"), ("2000", "OBJ2", "2024-11-30")], f"AUFNR {S}, OBJNR {S}, GLTRP {S}")
-    afpo = spark.createDataFrame([("1000", "MATERIAL1"), ("1000", "MATERIAL2")], f"AUFNR {S}, MATNR {S}")
-    aufk = spark.createDataFrame([("1000", None), ("2000", "2024-10-01")], f"AUFNR {S}, ZZGLTRP_ORIG {S}")
-    mara = spark.createDataFrame([("MATERIAL1", "Sample")], f"MATNR {S}, DESCRIPTION {S}")
-    cdpos = spark.createDataFrame([("OBJ1", "C1"), ("OBJ1", "C2")], f"OBJNR {S}, CHANGE {S}")
+def _brewery(spark):
+    """Three batches: two with items, one without; the second has no planned date of its own."""
+
+    def frame(columns, *data):
+        return spark.createDataFrame(list(data), ", ".join(f"{c} STRING" for c in columns.split()))
+
+    afko = frame("AUFNR OBJNR GLTRP", ("B-7", "OR7", "2023-03-03"), ("B-8", "OR8", "2023-04-04"), ("B-9", "OR9", "2023-05-05"))
+    afpo = frame("AUFNR MATNR", ("B-7", "ALE"), ("B-8", "STOUT"), ("B-8", "MALT"), ("B-8", "ALE"))
+    aufk = frame("AUFNR ZZGLTRP_ORIG", ("B-7", "2023-02-20"), ("B-8", None), ("B-9", "2023-05-01"))
+    mara = frame("MATNR DESCRIPTION", ("ALE", "pale ale"), ("STOUT", "dry stout"), ("CIDER", "not brewed here"))
+    cdpos = frame("OBJNR CHANGE", ("OR8", "quantity"), ("OR8", "date"), ("OR9", "cancelled"))
     return afko, afpo, aufk, mara, cdpos
 
 
 def test_integration_required_and_fallback_date(spark):
-    afko, afpo, aufk, mara, _ = _integration_inputs(spark)
-    out = integration_process_order(afko, afpo, aufk, mara)
-    got = rows(out, "AUFNR", "MATNR", "ZZGLTRP_ORIG", "DESCRIPTION")
-    assert got == [
-        ("1000", "MATERIAL1", "2024-12-31", "Sample"),
-        ("1000", "MATERIAL2", "2024-12-31", None),
-        ("2000", None, "2024-10-01", None),
+    out = integration_process_order(*_brewery(spark)[:4])
+    assert rows(out, "AUFNR", "MATNR", "ZZGLTRP_ORIG", "DESCRIPTION") == [
+        ("B-7", "ALE", "2023-02-20", "pale ale"),
+        ("B-8", "ALE", "2023-04-04", "pale ale"),
+        ("B-8", "MALT", "2023-04-04", None),
+        ("B-8", "STOUT", "2023-04-04", "dry stout"),
+        ("B-9", None, "2023-05-01", None),
     ]
     assert out.columns[0] == "MATNR"
 
 
 def test_integration_with_changes(spark):
-    afko, afpo, aufk, mara, cdpos = _integration_inputs(spark)
-    out = integration_process_order(afko, afpo, aufk, mara, cdpos)
+    out = integration_process_order(*_brewery(spark))
     assert "CHANGE" in out.columns and out.columns[0] == "OBJNR"
-    assert out.count() == 5  # order 1000: 2 items x 2 changes; order 2000: no items, no changes
+    counts = {r.AUFNR: r["count"] for r in out.groupBy("AUFNR").count().collect()}
+    assert counts == {"B-7": 1, "B-8": 6, "B-9": 1}  # three items times two changes; no item, one change
 
 
 def test_integration_type_errors(spark):

@@ -1,6 +1,7 @@
 """Masking, uniqueness checks, contracts, conformance and profiling."""
 
 import hashlib
+import hmac
 import random
 from collections import Counter
 
@@ -145,3 +146,13 @@ def test_no_text_of_a_unique_key_is_shuffled(spark):
     report = key_violations(df, ["a", "b"], reread=True)
     assert "LeftSemi" not in report._jdf.queryExecution().toString()
     assert {tuple(r) for r in report.collect()} == {("a", 1000, 0, 0, 0), ("b", 1000, 0, 0, 0)}
+
+
+@pytest.mark.parametrize("key", ["k", "a key of some length", "x" * 64, "é" * 50])
+def test_keyed_masks_are_standard_hmacs(spark, key):
+    values = ["4711", "", "ünïcode", None, "x" * 200]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = [r.v for r in mask_sensitive_columns(df, ["v"], key=key).orderBy("i").collect()]
+    assert got == [None if v is None else hmac.new(key.encode(), v.encode(), "sha256").hexdigest() for v in values]
+    with pytest.raises(ValueError, match="not both"):
+        mask_sensitive_columns(df, ["v"], salt="s", key=key)

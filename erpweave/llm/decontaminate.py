@@ -12,7 +12,8 @@ most ``block_bytes`` of item text, one pass over the documents per block, so tha
 of a broadcast does not follow the size of the benchmark.
 
 Defined cases: null has no words (neither as item nor as document); repeated items count by
-their distinct ids; an item of no words is never found; an empty table gives an empty result;
+their distinct ids, all items of a null id as one more that is not listed; an item of no
+words is never found; an empty table gives an empty result;
 further columns of the input are passed through by ``decontaminate``.
 """
 
@@ -177,7 +178,7 @@ def _pass(df: DataFrame, block: list[tuple[str, str | None]], window: int) -> Da
                 for k in range(i, j):
                     old = [(x["a"], x["b"]) for x in had[k]]
                     hits.append([{"a": a, "b": b} for a, b in merged(old + ranges[k - i])])
-                    names.append(sorted(items[k - i].union(had_items[k])))
+                    names.append(sorted(items[k - i].union(had_items[k]), key=lambda x: (x is not None, x or "")))
             at = {f.name: k for k, f in enumerate(batch.schema)}
             columns = list(batch.columns)
             columns[at["_n"]] = pa.array(np.concatenate(n) if n else [], pa.int64())

@@ -80,6 +80,14 @@ def test_decontamination_equals_brute_force(spark):
     assert {(r["row"]["doc_id"], str(r["hits"]), str(r["items"])) for r in small.collect()} == want
 
 
+def test_items_without_id_count_as_one_unlisted_item(spark):
+    items = spark.createDataFrame([(None, "a b"), (None, "c d"), (7, "b c")], "item_id long, text string")
+    docs = frame(spark, [(1, "a b c d"), (2, "a b"), (3, "x")])
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in D.contamination_report(docs, items).collect()}
+    digest = lambda ids: hashlib.sha256(ids.encode()).hexdigest()
+    assert got == {1: (4, 2, digest("7")), 2: (2, 1, digest("")), 3: (0, 0, digest(""))}
+
+
 def test_decontaminate_keeps_clean_rows_with_all_columns(spark):
     item = " ".join(f"q{i}" for i in range(12))
     docs = frame(spark, [(1, "clean text"), (2, "so " + item + " there"), (3, None), (1, "clean text")])

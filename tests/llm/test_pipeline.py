@@ -28,7 +28,7 @@ ROOT = Path(__file__).resolve().parents[2]
 
 def as_duck(sf):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {table} AS FROM '{sf}/{table}.parquet'")
     return con
 
@@ -43,7 +43,7 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op") and name[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op") and name[2].isdigit()}
     assert "pipeline" in names and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 

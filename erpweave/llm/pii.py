@@ -14,12 +14,14 @@ joined or grouped by document. Only vote patterns (at most 3 to the number of la
 kind) and feature values (fixed buckets) reach the driver, as counts over all candidates.
 
 Offsets are code points, from 0, end exclusive. Defined cases: a null or empty text has no
-span; repeated rows each give a row; without candidates the classifier adds nothing.
+span; repeated rows each give a row; a text of very many matches takes time in proportion to
+them (but for the sort of overlaps); without candidates the classifier adds nothing.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,9 @@ from erpweave.llm.stored import stored
 KINDS = ("email", "ip", "card", "phone")
 THRESHOLD = 0.9
 ROUNDS = 30
+PIECE = 256
+#: Characters before a span that the labelers see.
+AROUND = 40
 
 # The base patterns. Starts within a run that cannot differ from the run's start
 # are skipped by the look-behind; \G lets a match begin where the last one ended.
@@ -70,30 +75,102 @@ AGAINST = r"version|\bv$|isbn|issn|\bno\.?\s*$|order|invoice|page|chapter|serial
 
 
 def _empty() -> Column:
-    return F.expr("cast(array() as array<struct<s: int, e: int, m: string>>)")
+    return F.expr("cast(array() as array<struct<s: int, e: int, m: string, before: string, after: string>>)")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, zero: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """The fold of all earlier elements at every element of an array, ``merge`` being associative.
+
+    A fold that appends copies its list at every step, so it runs over pieces of ``PIECE``
+    elements, then over the pieces' totals: n elements copy n * PIECE / 2 + (n / PIECE)^2 / 2
+    cells, which is in proportion to n up to about PIECE^3, some 16 million matches in one text.
+    """
+
+    def small(xs: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.filter(F.array(zero), lambda x: F.lit(False)).alias("out"))
+        return F.aggregate(
+            xs, start, lambda acc, x: F.struct(merge(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"]
+        )
+
+    def joined(pieces: Column) -> Column:
+        before = small(F.transform(pieces, lambda p: F.aggregate(p, zero, merge)))
+        return F.flatten(F.transform(
+            F.arrays_zip(pieces.alias("p"), before.alias("b")), lambda x: F.transform(small(x["p"]), lambda v: merge(x["b"], v))
+        ))
+
+    def by_pieces(xs: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(xs) - 1, F.lit(0)) / PIECE).cast("int"))
+        return _let(F.transform(starts, lambda i: F.slice(xs, i * PIECE + 1, PIECE)), joined)
+
+    return _let(values, by_pieces)
 
 
 def spans(text: Column, pattern: str) -> Column:
-    """Start, end and text of the leftmost non-overlapping matches, in code points.
+    """Start, end and text of the leftmost non-overlapping matches, in code points, with the
+    ``AROUND`` characters before and the one after each.
 
-    The matches and the pieces between them alternate, so their lengths give the places.
+    The matches and the pieces between them alternate, so their running lengths give the places
+    and their running ends the characters before, in time in proportion to the text.
     """
-    pairs = F.arrays_zip(
-        F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")
-    )
-    zero = F.struct(F.lit(0).alias("at"), _empty().alias("out"))
+    cut = F.struct(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["g"])
-        end = start + F.length(x["m"])
-        return F.struct(
-            F.coalesce(end, start).alias("at"),
-            F.when(x["m"].isNull(), acc["out"])
-            .otherwise(F.concat(acc["out"], F.array(F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m")))))
-            .alias("out"),
+    def paired(c: Column) -> Column:
+        n = F.size(c["g"])
+        return F.slice(
+            F.arrays_zip(c["g"].alias("g"), c["m"].alias("m"), F.slice(c["g"], 2, n).alias("g2"), F.slice(c["m"], 2, n).alias("m2")),
+            1, F.size(c["m"]),
+        )
+
+    def placed(xs: Column) -> Column:
+        end = F.lit(AROUND)
+        steps = F.transform(xs, lambda x: F.struct(
+            (F.length(x["g"]) + F.length(x["m"])).alias("n"), F.right(F.concat(x["g"], F.right(x["m"], end)), end).alias("end")
+        ))
+        so_far = running(
+            steps,
+            F.struct(F.lit(0).alias("n"), F.lit("").alias("end")),
+            lambda a, b: F.struct((a["n"] + b["n"]).alias("n"), F.right(F.concat(a["end"], b["end"]), end).alias("end")),
+        )
+
+        def cell(z: Column) -> Column:
+            x, start = z["x"], z["a"]["n"] + F.length(z["x"]["g"])
+            return F.struct(
+                start.alias("s"), (start + F.length(x["m"])).alias("e"), x["m"].alias("m"),
+                F.right(F.concat(z["a"]["end"], F.right(x["g"], end)), end).alias("before"),
+                F.left(F.concat(F.left(x["g2"], F.lit(1)), F.coalesce(F.left(x["m2"], F.lit(1)), F.lit(""))), F.lit(1)).alias("after"),
+            )
+
+        return F.transform(F.arrays_zip(xs.alias("x"), so_far.alias("a")), cell)
+
+    return _let(_let(cut, paired), placed)
+
+
+def apart(found: Column, others: Column) -> Column:
+    """The spans of ``found`` that overlap none of ``others``, by one sort of both.
+
+    In order of their starts, a span is apart from the earlier ones if the largest of their
+    ends does not pass its start, and from the later ones if the next start does not lie
+    before its end.
+    """
+    far = F.lit(2**31 - 1)
+    mine = F.transform(found, lambda x: F.struct(x["s"].alias("at"), F.lit(1).alias("own"), x.alias("x")))
+    theirs = F.transform(others, lambda y: F.struct(y["s"].alias("at"), F.lit(0).alias("own"), y.alias("x")))
+
+    def pick(xs: Column) -> Column:
+        before = running(F.transform(xs, lambda x: F.when(x["own"] == 0, x["x"]["e"]).otherwise(-1)), F.lit(-1), lambda a, b: F.greatest(a, b))
+        after = F.reverse(running(F.transform(F.reverse(xs), lambda x: F.when(x["own"] == 0, x["at"]).otherwise(far)), far, lambda a, b: F.least(a, b)))
+        kept = F.filter(
+            F.arrays_zip(xs.alias("x"), before.alias("b"), after.alias("a")),
+            lambda z: (z["x"]["own"] == 1) & (z["b"] <= z["x"]["at"]) & (z["a"] >= z["x"]["x"]["e"]),
         )
+        return F.transform(kept, lambda z: z["x"]["x"])
 
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    return F.when((F.size(found) == 0) | (F.size(others) == 0), found).otherwise(_let(F.array_sort(F.concat(mine, theirs)), pick))
 
 
 def _digits(m: Column) -> Column:
@@ -149,11 +226,10 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return F.when(yes, F.lit("1")).when(no if no is not None else F.lit(True), F.lit("0")).otherwise(F.lit("-"))
 
 
-def _votes(kind: str, x: Column, base: bool, text: Column) -> Column:
+def _votes(kind: str, x: Column, base: bool) -> Column:
     """One character per labeler: strict pattern, gazetteer, words before, words against, form."""
     m = x["m"]
-    before = F.lower(F.substring(text, F.greatest(x["s"] - 39, F.lit(1)), F.least(x["s"], F.lit(40))))
-    after = F.substring(text, x["e"] + 1, F.lit(1))
+    before, after = F.lower(x["before"]), x["after"]
     gazetteer = {
         "email": F.lower(F.regexp_extract(m, r"([A-Za-z]+)[^A-Za-z]*$", 1)).isin(*TOP_LEVEL),
         "ip": ~m.rlike(SPECIAL_NET),
@@ -191,7 +267,7 @@ def _described(found: Column, kind: str, base: bool) -> Column:
     """The spans with their kind, votes and features."""
 
     def cell(x: Column) -> Column:
-        votes = _votes(kind, x, base, F.col("t"))
+        votes = _votes(kind, x, base)
         return F.struct(
             F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.lit(base).alias("base"),
             votes.alias("votes"), _features(kind, x, votes).alias("features"),
@@ -216,8 +292,7 @@ def find_candidates(docs: DataFrame) -> DataFrame:
         for base in (True, False):
             found = F.col(f"{'base' if base else 'loose'}_{kind}")
             if not base:
-                found = F.filter(found, lambda x: ~F.exists(own, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
-
+                found = apart(found, own)
             parts.append(_described(found, kind, base))
     return df.select("doc_id", F.concat(*parts).alias("cands"))
 

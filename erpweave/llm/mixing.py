@@ -10,17 +10,21 @@ Every document of a source is taken ``floor(target / size)`` times; the fraction
 filled with documents in the order of a seeded hash, up to the document that brings the
 source nearest to its target. The place where that order is cut is found by radix descent
 over hash prefixes with pre-aggregated counts (256 buckets a level), so that no window ever
-holds more than 256 rows of one source plus the few documents that share an 8-digit prefix.
+holds more than 256 rows of one source plus the few hashes that share an 8-digit prefix. The
+hash is of doc_id and text, so rows of a null or repeated id are decided one by one. Rows equal
+in both have one hash and count as one entry; if the cut falls among them, as many of them as
+bring the source nearest to its target are taken, told apart by their place in a stored table.
 
 Defined cases: a null or empty text has size 0; a source of no words has target 0 and none
-of its documents is taken; repeated rows of one doc_id share one decision; a null source is
-a source of its own, sorted last; an empty table gives an empty result. Input columns
+of its documents is taken; repeated rows are decided row by row, and rows equal in doc_id and
+text stand for each other; a null source is a source of its own, sorted last; an empty table
+gives an empty result. Input columns
 beyond the three used ones pass through ``mix_documents`` whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,9 +40,9 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def seeded_hash(key: Column, seed: int) -> Column:
-    """32 hex digits that order the documents of a source; a null key has one of its own."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+def seeded_hash(key: Column, text: Column, seed: int) -> Column:
+    """32 hex digits of id and text that order the documents of a source; nulls count as ``null`` and empty."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit(""))))
 
 
 def _source_key(source: Column) -> Column:
@@ -47,13 +51,14 @@ def _source_key(source: Column) -> Column:
 
 
 def document_sizes(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, source, key, size and h per row of ``docs``."""
+    """doc_id, source, key, size, h and line (a number of its own, once stored) per row of ``docs``."""
     return docs.select(
         F.col("doc_id"),
         F.col("source"),
         _source_key(F.col("source")).alias("key"),
         word_count(F.col("text")).alias("size"),
-        seeded_hash(F.col("doc_id"), seed).alias("h"),
+        seeded_hash(F.col("doc_id"), F.col("text"), seed).alias("h"),
+        F.monotonically_increasing_id().alias("line"),
     )
 
 
@@ -97,7 +102,8 @@ def source_targets(
 
 
 def _cuts(spark: SparkSession, sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Adds cut_h and cut_id per source: documents up to (cut_h, cut_id) are taken once more.
+    """Adds cut_h, cut_rows and split per source: documents of smaller hashes, and ``cut_rows`` of
+    hash ``cut_h``, are taken once more; ``split`` if that hash has more rows.
 
     A document belongs to the extra repetition while the words before it and up to it stay
     within twice the goal together, which ends the sample at the document nearest to the goal.
@@ -138,29 +144,54 @@ def _cuts(spark: SparkSession, sizes: DataFrame, targets: DataFrame) -> DataFram
         )
         state = _stored(spark, nxt, "mix-level")
     inside = state.filter("prefix is not null and prefix <> 'g'").select("key", "prefix", "base", "goal")
-    ordered = Window.partitionBy("key").orderBy("h", F.col("doc_id").asc_nulls_first())
+    ordered = Window.partitionBy("key").orderBy("h")
+    doubled = 2 * F.col("goal") - 2 * F.col("before")
     last = (
-        sizes.select("key", "h", "doc_id", "size")
+        sizes.select("key", "h", "size")
         .join(inside, "key")
         .filter(F.substring("h", 1, 2 * LEVELS) == F.col("prefix"))
-        .groupBy("key", "h", "doc_id")
-        .agg(F.sum("size").alias("n"), F.first("base").alias("base"), F.first("goal").alias("goal"))
-        .withColumn("upto", F.col("base") + F.sum("n").over(ordered))
-        .filter(2 * F.col("upto") - F.col("n") <= 2 * F.col("goal"))
+        .groupBy("key", "h")
+        .agg(F.count("*").alias("rows"), F.max("size").alias("size"), F.first("base").alias("base"), F.first("goal").alias("goal"))
+        .withColumn("before", F.col("base") + F.sum(F.col("rows") * F.col("size")).over(ordered) - F.col("rows") * F.col("size"))
+        # The i-th row of a hash belongs to the sample while 2 * (before + i * size) - size <= 2 * goal.
+        .withColumn(
+            "fit",
+            F.when(F.col("size") == 0, F.when(doubled >= 0, F.col("rows")).otherwise(0))
+            .otherwise(F.least(F.col("rows"), F.floor((doubled + F.col("size")) / (2 * F.greatest("size", F.lit(1))))))
+            .cast("long"),
+        )
+        .filter("fit > 0")
         .groupBy("key")
-        .agg(F.max(F.struct("h", F.col("doc_id").alias("id"))).alias("last"))
+        .agg(F.max(F.struct("h", "fit", (F.col("fit") < F.col("rows")).alias("split"))).alias("last"))
     )
     out = state.join(last, "key", "left").select(
         "key", "source_size", "target", "whole",
         F.coalesce(F.col("last.h"), F.col("prefix")).alias("cut_h"),
-        F.col("last.id").alias("cut_id"),
+        F.coalesce(F.col("last.fit"), F.lit(0)).alias("cut_rows"),
+        F.coalesce(F.col("last.split"), F.lit(False)).alias("split"),
     )
     return _stored(spark, out, "mix-cuts")
 
 
-def _copies() -> Column:
-    more = (F.col("h") < F.col("cut_h")) | ((F.col("h") == F.col("cut_h")) & (F.col("doc_id") <= F.col("cut_id")))
-    return F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")
+def _with_copies(rows: DataFrame, cuts: DataFrame, again: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` (key, h and more) with ``copies``; ``again`` gives split rows their line in a stored table.
+
+    Only where a cut falls among equal rows are those numbered: within the files they were
+    stored in, shifted by the counts of the files before.
+    """
+    joined = rows.join(cuts, "key")
+    at_cut = F.coalesce(F.col("split") & (F.col("h") == F.col("cut_h")), F.lit(False))
+    more = F.coalesce(F.col("h") <= F.col("cut_h"), F.lit(False))
+    plain = joined.withColumn("copies", F.col("whole") + more.cast("long"))
+    if cuts.filter("split").isEmpty():
+        return plain
+    equal = again(joined.filter(at_cut)).withColumn("part", F.shiftright("line", 33))
+    files = equal.groupBy("key", "part").agg(F.count("*").alias("here"))
+    along = Window.partitionBy("key").orderBy("part")
+    files = files.withColumn("shift", F.sum("here").over(along) - F.col("here")).drop("here")
+    place = F.row_number().over(Window.partitionBy("key", "part").orderBy("line")) + F.col("shift")
+    numbered = equal.join(files, ["key", "part"]).withColumn("copies", F.col("whole") + (place <= F.col("cut_rows")).cast("long"))
+    return plain.filter(~at_cut).unionByName(numbered.select(*plain.columns))
 
 
 def mix_plan(
@@ -177,11 +208,8 @@ def mix_plan(
     spark = docs.sparkSession
     sizes = _stored(spark, document_sizes(docs, seed), "mix-sizes")
     cuts = _cuts(spark, sizes, source_targets(sizes, weights, share, max_epochs))
-    return (
-        sizes.drop("source")
-        .join(cuts, "key")
-        .withColumn("copies", _copies())
-        .select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return _with_copies(sizes.drop("source"), cuts, lambda equal: equal).select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
@@ -194,22 +222,21 @@ def mix_documents(
 ) -> DataFrame:
     """The mix itself: every row of ``docs``, with all its columns, as often as it is taken.
 
-    The decision needs only the hash of doc_id and the cut of the source, so the texts are
-    not shuffled when the per-source table is small enough for Spark to broadcast it.
+    The decision needs only the hash of the row and the cut of the source, so the texts are
+    not shuffled when the per-source table is small enough for Spark to broadcast it. Rows equal
+    in doc_id and text are written and read once more, if a cut falls among them.
     """
     spark = docs.sparkSession
     sizes = _stored(spark, document_sizes(docs, seed), "mix-sizes")
-    cuts = _cuts(spark, sizes, source_targets(sizes, weights, share, max_epochs)).select(
-        F.col("key").alias("k"), F.struct("whole", "cut_h", "cut_id").alias("cut")
+    cuts = _cuts(spark, sizes, source_targets(sizes, weights, share, max_epochs))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        _source_key(docs["source"]).alias("key"),
+        seeded_hash(docs["doc_id"], docs["text"], seed).alias("h"),
     )
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    more = (F.col("h") < F.col("cut.cut_h")) | ((F.col("h") == F.col("cut.cut_h")) & (F.col("row.doc_id") <= F.col("cut.cut_id")))
+    mixed = _with_copies(rows, cuts, lambda equal: _stored(spark, equal.withColumn("line", F.monotonically_increasing_id()), "mix-equal"))
     return (
-        row.withColumn("k", _source_key(F.col("row.source")))
-        .withColumn("h", seeded_hash(F.col("row.doc_id"), seed))
-        .join(cuts, "k")
-        .withColumn("n", F.col("cut.whole") + F.coalesce(more, F.lit(False)).cast("long"))
-        .filter("n > 0")
-        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int"))).alias("copy"))
+        mixed.filter("copies > 0")
+        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"))
         .select("row.*")
     )

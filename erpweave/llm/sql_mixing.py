@@ -3,7 +3,8 @@
 SQL = r"""
 WITH d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+           md5('0:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS h,
+           row_number() OVER () AS line
     FROM documents),
 s AS (
     SELECT source, sum(size)::BIGINT AS source_size,
@@ -25,8 +26,7 @@ t AS (
 g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
 c AS (
     SELECT d.doc_id, d.size, d.h, g.source_size, g.target, g.whole, g.target - g.whole * g.source_size AS goal,
-           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id) AS upto,
-           sum(d.size) OVER (PARTITION BY d.source, d.h, d.doc_id) AS n
+           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.line) AS upto, d.size AS n
     FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
        whole + CASE WHEN goal > 0 AND 2 * upto - n <= 2 * goal THEN 1 ELSE 0 END AS copies,

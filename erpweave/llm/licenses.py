@@ -114,7 +114,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MPL-2.0", ("mpl-form",)),
 )
 
-#: Every known sentence holds one of these words.
+#: Every sentence of ``SENTENCES`` holds one of these words; other catalogues give their own (``hint_of``).
 HINT = (
     "(?i)licen|compliance with|apache|redistribut|permission|provided as is|provided \"as is|copyright holder|free software|"
     "without any warranty|governing"
@@ -124,6 +124,11 @@ _HINT = HINT.replace(" ", "[^A-Za-z0-9]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def hint_of(sentences: dict[str, str]) -> str:
+    """What a text must hold to be looked at: the longest word of one of the sentences."""
+    return "(?i)" + "|".join(sorted({max(x.split(), key=lambda w: (len(w), w)) for x in sentences.values()}))
+
+
 def _bordered(text: Column) -> Column:
     """The words of a text, lower-cased: ``\\x01`` where . ! or ? ends a sentence, a line break
     after ; and : and at the end of a line, one space between other words."""
@@ -151,10 +156,11 @@ def scan_licenses(
     docs: DataFrame, sentences: dict[str, str] | None = None, rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES
 ) -> DataFrame:
     """doc_id, licenses (sorted, distinct), n_sentences (known ones), coverage (most sentences of one rule) and identifiers."""
+    hint = hint_of(sentences) if sentences else _HINT
     sentences = sentences or SENTENCES
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
-    hinted = docs.select("doc_id", F.when(text.rlike(_HINT), text).alias("t"))
+    hinted = docs.select("doc_id", F.when(text.rlike(hint), text).alias("t"))
     found = hinted.select("doc_id", _bordered(F.col("t")).alias("t")).select(
         "doc_id", *[F.coalesce(_identifiers(F.col("t"), sentences, longest), none).alias(n) for n, longest in (("short", False), ("long", True))]
     )
@@ -178,7 +184,8 @@ def scan_licenses(
 
     any_known = F.size("identifiers") > 0
     licences = F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(holds(n, c), F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())))
-    coverage = F.greatest(*[F.when(holds(n, c), F.lit(len(c))).otherwise(F.lit(0)) for n, c in rules])
+    held = [F.when(holds(n, c), F.lit(len(c))).otherwise(F.lit(0)) for n, c in rules]
+    coverage = F.greatest(*held) if len(held) > 1 else held[0]
     return found.select(
         "doc_id",
         F.when(any_known, licences).otherwise(none).alias("licenses"),

@@ -124,3 +124,9 @@ def test_every_sentence_is_seen_however_it_is_wrapped(spark):
             texts.append(f"Some text.\n\n{wrapped}.\n")
             want.append(name)
     assert [x[2] for x in scan(spark, texts)] == want
+
+
+def test_other_catalogues_bring_their_own_hint(spark):
+    docs = spark.createDataFrame([(1, "Do what you want."), (2, "Something else."), (3, None)], "doc_id long, text string")
+    got = L.scan_licenses(docs, {"wtf": "do what you want", "free": "take it for free"}, (("WTF", ("wtf",)),))
+    assert {r.doc_id: (r.licenses, r.coverage) for r in got.collect()} == {1: (["WTF"], 1), 2: ([], 0), 3: ([], 0)}

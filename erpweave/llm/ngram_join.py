@@ -22,8 +22,9 @@ one of any k + 1 segments, or differ in at most one element on one of any (k + 1
   alternating stars. No pair is lost: each is verified, implied by its component, or
   excluded by an exact bound.
 
-Sets are compared by 64-bit hashes of their shingles, and classes of equal sets by a 64-bit
-hash of the set. Defined cases: null, empty and blank texts have no shingles and link with
+Sets are compared by 64-bit hashes of their shingles, classes of equal sets by a 64-bit
+hash of the set, and a class's text is found by the id and the 64-bit hash of one of its
+rows, so rows that share an id fetch one text a class. Defined cases: null, empty and blank texts have no shingles and link with
 nothing; a null doc_id counts as the smallest id and is returned as null; rows that repeat a
 doc_id each give a row, by their own texts; an empty table gives an empty result.
 """
@@ -48,6 +49,7 @@ SMALL = 16  # sets under one signature up to which all pairs are tried at once
 BLOCK = 4096  # members of a large signature that one task holds at once
 SKETCH_BITS = 512
 EMPTY_COST = 40.0  # cost of a chance agreement on an empty segment, in signatures
+HUB = 1024  # pairs of one set that are verified beside one copy of its text
 FLUSH = 1 << 21  # signatures that a task packs at once
 PER_PART = 1 << 20  # shingles per hash partition aimed at
 NO_ID = -(1 << 63)
@@ -362,7 +364,13 @@ def _may_link(na: np.ndarray, nb: np.ndarray, apart: np.ndarray) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold, computed on their texts."""
+    """The pairs (a, b) whose sets reach the threshold, computed on their texts.
+
+    The texts of ``b`` come first; then the pairs of one ``a`` are dealt out in parts of about
+    ``HUB``, and its text travels once for each part and not once for each pair.
+    """
+    parts = F.ceil(F.count("*") / HUB).cast("int")
+    fan = pairs.groupBy("a").agg(parts.alias("parts")).filter("parts > 1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,20 +386,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             keep = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
+    one = F.coalesce(F.col("parts"), F.lit(1))
+    dealt = pairs.join(fan, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), one).cast("int").alias("part"))
+    left = texts.select(F.col("key").alias("a"), F.col("text").alias("ta")).join(fan, "a", "left")
+    left = left.select("a", "ta", F.explode(F.sequence(F.lit(0), one - 1)).alias("part"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
-
-
-def _of_own_key(found: DataFrame) -> DataFrame:
-    """The rows (key, text) whose text has that key: a doc_id may stand on several texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, j, tokens, own in _set_batches(batches):
-            part = batch.slice(i, j - i)
-            yield part.filter(pa.array(set_keys(tokens, own).view(np.int64) == part.column("key").to_numpy()))
-
-    return found.mapInArrow(run, found.schema)
+    return dealt.join(right, "b").join(left, ["a", "part"]).select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -427,11 +427,11 @@ def _open_pairs(left: DataFrame, info: DataFrame) -> DataFrame:
     """Possible pairs (a, b) of different components under the open signatures.
 
     Members meet in blocks of at most about ``BLOCK``, so that no task holds a whole large
-    signature. A pair that shares several signatures is tried under the smallest one only.
+    signature. A pair found under several signatures is combined to one before and after the
+    shuffle.
     """
-    lists = left.groupBy("key").agg(F.collect_list("sig").alias("sigs"))
-    rows = left.join(lists, "key").join(info.select("key", "n", "sketch"), "key")
-    columns = ["sig", "cb", "qb", "key", "root", "n", "sketch", "sigs"]
+    rows = left.join(info.select("key", "n", "sketch"), "key")
+    columns = ["sig", "cb", "qb", "key", "root", "n", "sketch"]
     block = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("key"), F.col(n))
     every = rows.withColumn("cb", place("nc")).withColumn("qb", block("nq")).select(*columns)
@@ -443,13 +443,10 @@ def _open_pairs(left: DataFrame, info: DataFrame) -> DataFrame:
         if left.num_rows and right.num_rows:
             right = right.rename_columns(columns)
             (key, root, n, sketch), (q_key, q_root, q_n, q_sketch) = (_member_arrays(t) for t in (left, right))
-            others, own = ([frozenset(x) for x in t.column("sigs").to_pylist()] for t in (left, right))
-            sig = left.column("sig")[0].as_py()
             for i in range(len(q_key)):
                 apart = np.bitwise_count(sketch ^ q_sketch[i]).sum(axis=1)
                 ok = (root != q_root[i]) & _may_link(n, q_n[i], apart)
-                here = [j for j in np.flatnonzero(ok).tolist() if min(others[j] & own[i]) == sig]
-                pairs.append((np.full(len(here), q_key[i]), key[here]))
+                pairs.append((np.full(int(ok.sum()), q_key[i]), key[ok]))
         a, b = _unique_pairs(pairs)
         return pa.table({"a": a, "b": b})
 
@@ -462,11 +459,17 @@ def _member_arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return key, root, n, np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
 
 
+def class_rows(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key and text of the rows that stand for the classes in ``pairs``, found by id and text hash."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(info.select("key", "row.*"), "key")
+    return docs.join(wanted, ["id", "h"]).select("key", "text")
+
+
 def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """node and root for the classes (keys) that link with another class."""
     info = stored(
         spark,
-        sets.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
+        sets.filter("n > 0").groupBy("key").agg(F.min(F.struct("id", "h")).alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "ngram-classes",
     )
     shingles = sets.agg(F.sum("n")).first()[0] or 0
@@ -484,9 +487,8 @@ def _links(spark: SparkSession, docs: DataFrame, sets: DataFrame) -> DataFrame:
     members = members.select("sig", "key")
 
     def texts(of: DataFrame) -> DataFrame:
-        wanted = of.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(info.select("key", "id"), "key")
-        found = docs.join(wanted.select("key", F.col("id").alias("want")), F.col("id") == F.col("want")).select("key", "text")
-        one = _of_own_key(found).groupBy("key").agg(F.min("text").alias("text"))
+        """key and text of the sets of these pairs: one named row of each, by id and text hash."""
+        one = class_rows(docs, info, of).groupBy("key").agg(F.min("text").alias("text"))
         return stored(spark, one, "ngram-texts", compression="zstd")
 
     # First one pair per class, then those that are still between components.

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
+from pyspark.sql import functions as F
+
+from brute import near_duplicates
 from erpweave.llm import ngram_join as N
 
 
@@ -26,3 +31,40 @@ def test_rows_of_no_or_repeated_ids_are_told_apart_by_text(spark):
     rows += [(40, text("z")), (40, text("z")), (40, text("z") + " more")]  # copies under one id
     want = [*rows[:6], *rows[6:8], (None, text("n")), (None, "aa"), (7, text("m")), rows[13], *rows[16:20], (40, text("z"))]
     assert kept(spark, rows) == sorted(want, key=repr)
+
+
+def test_rows_of_no_id_fetch_one_text_a_class(spark, monkeypatch):
+    fetched = []
+    real = N.class_rows
+
+    def counted(docs, info, pairs):
+        found = real(docs, info, pairs)
+        fetched.append(found.count())
+        return found
+
+    monkeypatch.setattr(N, "class_rows", counted)
+    rows = [(None, text(f"f{k // 2}_") + (" more" if k % 2 else "")) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = N.near_duplicates(docs)
+    assert got.count() == 300
+    assert got.filter("doc_id is not null or component_id is not null").isEmpty()
+    assert sum(fetched) <= 300
+    assert N.deduplicate(docs).count() == 150
+
+
+def test_hub_text_is_dealt_out_and_no_link_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(N, "HUB", 3)
+    monkeypatch.setattr(N, "BLOCK", 8)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(70):
+        own = list(base)
+        for _ in range(rng.randrange(4)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    passage = " ".join(base[:60])
+    rows += [(100 + i, passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(20 + i % 3))) for i in range(60)]
+    rows += [(200 + i, rows[100 + i][1] + " tail") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.lit("x"))
+    assert sorted(map(tuple, N.near_duplicates(docs).collect())) == near_duplicates(rows)

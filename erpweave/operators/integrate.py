@@ -39,10 +39,12 @@ from pyspark.sql.types import StructType
 
 from erpweave.contracts import LOCAL_MATERIAL_CONTRACT, names
 from erpweave.functions import any_null
+from erpweave.operators.derive import FOREIGN
 from erpweave.operators.guards import require_named_dataframes, require_optional_dataframe
 from erpweave.sources.conform import conform
 
 _SPREAD = "__erpweave_spread"
+_ORIGIN = "__erpweave_right_origin"
 
 
 def union_systems(frames: Sequence[DataFrame], schema: StructType | None = None) -> DataFrame:
@@ -162,15 +164,17 @@ def integration_local_material(
     sap_t001w: DataFrame,
     sap_t001: DataFrame,
     extra_keys: Sequence[str] = (),
-    keep: Sequence[str] = (),
+    origin: str | None = None,
 ) -> DataFrame:
     """Plant materials with material, plant, valuation, area and company data.
 
     MARC ⟕ MARA (MATNR) ⟕ T001W (MANDT, WERKS) ⟕ MBEW (MANDT, MATNR, BWKEY)
     ⟕ T001K (MANDT, BWKEY) ⟕ T001 (MANDT, BUKRS), then the 15 output columns.
     ``extra_keys`` (e.g. a system column present on every input) is added to every join
-    so that equal numbers from different systems do not match each other; ``keep`` names
-    further columns to carry along.
+    so that equal numbers from different systems do not match each other. ``origin`` names a
+    column of every input that tells its system: ``FOREIGN`` then counts the joined rows whose
+    origin is another one than the plant's. It is added up after each join, so the next
+    shuffle carries the plant's origin and one number, however many tables are joined.
     """
     require_named_dataframes(
         sap_mara=sap_mara, sap_mbew=sap_mbew, sap_marc=sap_marc, sap_t001k=sap_t001k, sap_t001w=sap_t001w, sap_t001=sap_t001
@@ -180,12 +184,22 @@ def integration_local_material(
     # keys. MARA is keyed by its material, MBEW has at most one row per material, area and
     # system after its top-1, and plants, areas and company codes are organisational tables
     # that do not grow with the transactions: no right side needs splitting.
-    joined = left_join(sap_marc, sap_mara, [*extra, "MATNR"])
-    joined = left_join(joined, sap_t001w, [*extra, "MANDT", "WERKS"], spread_null_keys=True)
-    joined = left_join(joined, sap_mbew, [*extra, "MANDT", "MATNR", "BWKEY"], spread_null_keys=True)
-    joined = left_join(joined, sap_t001k, [*extra, "MANDT", "BWKEY"], spread_null_keys=True)
-    joined = left_join(joined, sap_t001, [*extra, "MANDT", "BUKRS"], spread_null_keys=True)
-    return joined.select(*LOCAL_MATERIAL_COLUMNS, *extra, *keep)
+    joined = _join_counting(sap_marc, sap_mara, [*extra, "MATNR"], origin, spread_null_keys=False)
+    joined = _join_counting(joined, sap_t001w, [*extra, "MANDT", "WERKS"], origin)
+    joined = _join_counting(joined, sap_mbew, [*extra, "MANDT", "MATNR", "BWKEY"], origin)
+    joined = _join_counting(joined, sap_t001k, [*extra, "MANDT", "BWKEY"], origin)
+    joined = _join_counting(joined, sap_t001, [*extra, "MANDT", "BUKRS"], origin)
+    return joined.select(*LOCAL_MATERIAL_COLUMNS, *extra, *([FOREIGN] if origin else []))
+
+
+def _join_counting(left: DataFrame, right: DataFrame, keys: list[str], origin: str | None, spread_null_keys: bool = True) -> DataFrame:
+    """Left join that adds 1 to ``FOREIGN`` where the right row's ``origin`` is not the left row's."""
+    if origin is None:
+        return left_join(left, right, keys, spread_null_keys=spread_null_keys)
+    joined = left_join(left, right.withColumnRenamed(origin, _ORIGIN), keys, spread_null_keys=spread_null_keys)
+    other = F.coalesce((F.col(_ORIGIN) != F.col(origin)).cast("int"), F.lit(0))
+    before = F.col(FOREIGN) if FOREIGN in left.columns else F.lit(0)
+    return joined.withColumn(FOREIGN, before + other).drop(_ORIGIN)
 
 
 def integration_process_order(

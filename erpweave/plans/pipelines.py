@@ -37,12 +37,12 @@ from erpweave.operators import (
     union_systems,
 )
 from erpweave.operators.dedup import distinct_rows
-from erpweave.operators.derive import FOREIGN
 from erpweave.operators.guards import require_bool
 from erpweave.sources.conform import conform
 from erpweave.sources.registry import Sources
 
 SYSTEM_TAG = "__erpweave_system"
+ORIGIN = "__erpweave_origin"  # number of the source system, in the order of ``sources.systems``
 
 
 def _prepared(frame: DataFrame, table: str, system: str, isolate: bool, extra: Sequence[str] = ()) -> DataFrame:
@@ -82,7 +82,7 @@ def local_material_integrated(
     extra = additional_plant_fields or []
     loaded = {system: sources.load(spark, system, "MBEW") for system in sources.systems}
     valuation = _valuation_schema(list(loaded.values()))
-    for system in sources.systems:
+    for number, system in enumerate(sources.systems):
         load = lambda table: sources.load(spark, system, table)
         prepared: dict[str, DataFrame] = {
             "MARA": prep_general_material_data(
@@ -97,16 +97,16 @@ def local_material_integrated(
         mbew = conform(loaded[system], valuation, allow_missing=True)
         typed["MBEW"] = mbew.withColumn(SYSTEM_TAG, F.lit(system)) if isolate_systems else mbew
         for table, frame in typed.items():
-            tables[table].append(frame.withColumn(f"{SYSTEM_TAG}_{table}", F.lit(system)))
+            tables[table].append(frame.withColumn(ORIGIN, F.lit(number)))
     # The systems are unioned before their windows and distincts, which run once with the
     # system in the key: the number of shuffles does not grow with the number of systems.
     union = {table: union_systems(frames) for table, frames in tables.items()}
-    tags = [f"{SYSTEM_TAG}_MBEW", *([SYSTEM_TAG] if isolate_systems else [])]
-    union["MBEW"] = prep_material_valuation(union["MBEW"], [tags[0], *valuation_keys], keep=tags)
+    tags = [ORIGIN, *([SYSTEM_TAG] if isolate_systems else [])]
+    union["MBEW"] = prep_material_valuation(union["MBEW"], [ORIGIN, *valuation_keys], keep=tags)
     union["T001K"] = distinct_rows(union["T001K"])
     if drop_duplicate_plants:
         union["MARC"] = distinct_rows(union["MARC"])
-    integrated = integration_local_material(
+    return integration_local_material(
         union["MARA"],
         union["MBEW"],
         union["MARC"],
@@ -114,12 +114,8 @@ def local_material_integrated(
         union["T001W"],
         union["T001"],
         extra_keys=[SYSTEM_TAG] if isolate_systems else (),
-        keep=[f"{SYSTEM_TAG}_{table}" for table in tables],
-    )
-    own = F.col(f"{SYSTEM_TAG}_MARC")
-    others = [F.col(f"{SYSTEM_TAG}_{table}") for table in tables if table != "MARC"]
-    foreign = sum((F.coalesce((other != own).cast("int"), F.lit(0)) for other in others), F.lit(0))
-    return integrated.withColumn(FOREIGN, foreign).drop(SYSTEM_TAG, *[f"{SYSTEM_TAG}_{table}" for table in tables])
+        origin=ORIGIN,
+    ).drop(SYSTEM_TAG)
 
 
 def process_local_material(

@@ -3,9 +3,10 @@
 Format: a Parquet folder of one row per shard, shards in ascending doc_id order.
 
 * ``part``, ``seq``: place of the shard; shards sort by (part, seq).
+* ``lo``, ``hi``: its smallest and largest doc_id (null if it has none), the shard directory.
 * ``payload``: the raw ids of its documents one after the other, little-endian unsigned
   integers of ``width`` bytes (2 when the vocabulary fits, else 4).
-* ``keys``: the doc_ids in stored order (for scans; lookups do not read it).
+* ``keys``: the doc_ids in stored order (for scans of all documents).
 * ``pilots``: displacement per bucket of the minimal perfect hash (int32).
 * ``offsets``, ``sizes``: first id (int64) and number of ids (int64) per hash slot.
 * ``prints``: 32-bit fingerprint of the key per hash slot; another key is refused.
@@ -15,16 +16,24 @@ A key is a doc_id and its occurrence number among equal doc_ids of the shard, so
 rows keep their own entries. A lookup computes one hash, reads one pilot, one fingerprint
 and one offset, and slices the payload.
 
-Documents are range-partitioned by doc_id (the texts are shuffled once), then encoded and
-written where they are; every shard holds about ``shard_tokens`` ids or one longer document.
+Documents are range-partitioned by doc_id (then the beginning and a hash of the text and the
+row's place, so that one id's rows need not stay in one task; the texts are shuffled once),
+then encoded and written where they are; every shard holds about ``shard_tokens`` ids or one
+longer document. A lookup finds its shards in the directory and reads the files of these.
+
+The tokenizer sees every distinct piece of a text once per worker when its file has the rules
+for which the cuts between pieces are known to be free of matches (``CUT_RULES``); with any
+other file it is given the whole texts.
 
 Defined cases: a null or empty text has only the end id; a null doc_id sorts first and has a
-key of its own; equal doc_ids follow each other in order of their texts; an empty table gives
-no shard and an empty result.
+key of its own; equal doc_ids follow each other in order of the first 64 characters, then of
+a hash of the text, and a lookup gives the first; an empty table gives no shard and an empty
+result.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -41,11 +50,12 @@ from erpweave.session import scratch_path
 
 SHARD_TOKENS = 1 << 21
 END_ID = 1
+PRUNED_PARTS = 1000  # parts that a lookup names in the filter of its scan
 _NULL_KEY = np.uint64(0x6E756C6C)
 _EMPTY = np.iinfo(np.int32).min
 
 SHARD_SCHEMA = (
-    "part int, seq int, n_tokens long, width int, payload binary, keys array<long>, "
+    "part int, seq int, n_tokens long, lo long, hi long, width int, payload binary, keys array<long>, "
     "pilots binary, offsets binary, sizes binary, prints binary"
 )
 
@@ -60,6 +70,44 @@ _CLASS[[ord("'"), ord("|")]] = 4
 _CLASS[[0x20, *range(0x09, 0x0E)]] = 0
 _MARK = "7"  # a digit is always a piece and an id of its own
 
+# The rules of a tokenizer file under which the pieces are encoded alone.
+CUT_RULES = {
+    "truncation": None,
+    "padding": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def pieces_stand_alone(path: str) -> bool:
+    """Whether a tokenizer file has the rules of ``CUT_RULES`` and special tokens that no cut parts.
+
+    A special token must be lower case between ``<|`` and ``|>``: no cut is made beside a bar, and
+    its case is kept by ``encode``. Dropout would make ids depend on chance.
+    """
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    plain = all(
+        a["content"][:2] == "<|" and a["content"][-2:] == "|>" and a["content"][2:-2].isalpha() and a["content"].isascii()
+        and not (a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"])
+        for a in rules.get("added_tokens", [])
+    )
+    return plain and not rules["model"].get("dropout") and all(rules.get(name) == want for name, want in CUT_RULES.items())
+
 
 def pieces(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the pieces that the tokenizer treats apart, and per document its first one.
@@ -97,6 +145,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_piece = pieces_stand_alone(path)
         self.limit = limit
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self._clear()
@@ -141,6 +190,8 @@ class WordEncoder:
 
     def encode(self, data: np.ndarray, borders: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, each followed by ``end_id``, and the ids per document."""
+        if not self.by_piece:
+            return self._encode_whole(data, borders, end_id)
         if b"<|" not in data.tobytes():  # special tokens are the only place where case counts
             data = LOWER[data]
         starts, ends, first = pieces(data, borders)
@@ -167,6 +218,13 @@ class WordEncoder:
         return ids, per_doc
 
 
+    def _encode_whole(self, data: np.ndarray, borders: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        texts = [raw[a:b].decode("utf-8") for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
+        ids = [[*e.ids, end_id] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for own in ids for i in own], np.uint32), np.array([len(own) for own in ids], np.int64)
+
+
 _ENCODERS: dict[str, WordEncoder] = {}  # a worker process keeps its pieces from task to task
 
 
@@ -259,6 +317,7 @@ def _shard(part: int, seq: int, width: int, keys: list, ids: list[np.ndarray], s
     prints[slot] = (h >> np.uint64(32)).astype(np.uint32)
     return {
         "part": part, "seq": seq, "n_tokens": int(size.sum()), "width": width,
+        "lo": min((k for k in keys if k is not None), default=None), "hi": max((k for k in keys if k is not None), default=None),
         "payload": np.concatenate(ids).astype(f"<u{width}").tobytes(), "keys": keys,
         "pilots": pilots.astype("<i4").tobytes(), "offsets": offset.astype("<i8").tobytes(),
         "sizes": by_slot.astype("<i8").tobytes(), "prints": prints.astype("<u4").tobytes(),
@@ -266,7 +325,8 @@ def _shard(part: int, seq: int, width: int, keys: list, ids: list[np.ndarray], s
 
 
 _SHARD_ARROW = pa.schema([
-    ("part", pa.int32()), ("seq", pa.int32()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("payload", pa.binary()),
+    ("part", pa.int32()), ("seq", pa.int32()), ("n_tokens", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()),
+    ("width", pa.int32()), ("payload", pa.binary()),
     ("keys", pa.list_(pa.int64())), ("pilots", pa.binary()), ("offsets", pa.binary()), ("sizes", pa.binary()), ("prints", pa.binary()),
 ])
 
@@ -298,10 +358,15 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(part, seq, width, keys, ids, sizes)], schema=_SHARD_ARROW)
 
+    order = [F.col(c).asc_nulls_first() for c in ("doc_id", "_begin", "_hash")]
     (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "text",
+            F.substring("text", 1, 64).alias("_begin"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_place"),
+        )
+        .repartitionByRange(*order, F.col("_place").asc())
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
         .mapInArrow(run, SHARD_SCHEMA)
         .write.option("compression", "zstd")
         .option("parquet.block.size", str(16 << 20))
@@ -312,14 +377,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 per document, each found through the shard's index."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stored(
-        spark,
-        shards.select("part", "seq", "n_tokens").select(
-            "part", "seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("start")
-        ),
-        "shard-starts",
-    )
+    sizes = stored(spark, shards.select("part", "seq", "n_tokens"), "shard-sizes")
+    # The window over all is one row per partition of the writing job; shards add up in their part.
+    first = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.sum("n").over(first).alias("base"))
+    start = F.coalesce("base", F.lit(0)) + F.coalesce(F.sum("n_tokens").over(before), F.lit(0))
+    starts = stored(spark, sizes.join(parts, "part").select("part", "seq", start.cast("long").alias("start")), "shard-starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,14 +407,22 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """doc_id and ids of the wanted ``keys`` (doc_id), by lookup in the shards that may hold them.
+    """doc_id and ids of the wanted ``keys`` (doc_id), by lookup in the shard that may hold each.
 
-    The first occurrence of a repeated doc_id is returned; keys that are not stored give no row.
+    The directory (two numbers a shard) names the shard; when these lie in at most
+    ``PRUNED_PARTS`` parts, the payloads of other parts are not read. The first occurrence of a
+    repeated doc_id is returned, also where its rows straddle shards: shards are in order of
+    doc_id, so the first whose range covers it holds it. Keys that are not stored and null keys
+    give no row.
     """
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    ends = shards.select("part", "seq", F.array_min("keys").alias("lo"), F.array_max("keys").alias("hi"))
     wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    place = wanted.join(ends, F.col("doc_id").between(F.col("lo"), F.col("hi"))).groupBy("part", "seq").agg(F.collect_set("doc_id").alias("want"))
+    covers = wanted.join(shards.select("part", "seq", "lo", "hi"), F.col("doc_id").between(F.col("lo"), F.col("hi")))
+    first = covers.groupBy("doc_id").agg(F.min(F.struct("part", "seq")).alias("at")).select("doc_id", "at.*")
+    place = stored(spark, first.groupBy("part", "seq").agg(F.collect_list("doc_id").alias("want")), "shard-lookups")
+    parts = [row.part for row in place.select("part").distinct().limit(PRUNED_PARTS + 1).collect()]
+    if len(parts) <= PRUNED_PARTS:
+        shards = shards.filter(F.col("part").isin(parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -364,7 +436,7 @@ def token_ids(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
                     [pa.array([k for k, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))], names=["doc_id", "ids"]
                 )
 
-    return shards.join(place, ["part", "seq"]).mapInArrow(run, "doc_id long, ids array<long>")
+    return shards.drop("keys").join(place, ["part", "seq"]).mapInArrow(run, "doc_id long, ids array<long>")
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int = END_ID, path: str | None = None) -> DataFrame:

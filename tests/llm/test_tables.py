@@ -143,19 +143,56 @@ def test_token_output_reads_back_what_was_written(spark):
     assert token_output.token_output(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_rows_of_one_id_straddle_shards(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, f"{k} of id seven") for k in range(400)] + [(None, f"none {k}") for k in range(300)] + [(7, "same")] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = tempfile.mkdtemp(prefix="tokens-") + "/out"
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        token_output.write_shards(docs, path, tokenizer_path())
+    finally:
+        spark.conf.set(name, before)
+    shards = spark.read.schema(token_output.SHARD_SCHEMA).parquet(path)
+    holding = shards.filter("array_contains(keys, 7)")
+    assert holding.count() > 1
+    assert max(r.c for r in holding.selectExpr("size(keys) AS c").collect()) < 400
+    got = sorted(map(tuple, token_output.read_documents(spark, path).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()]
+    coder = token_output.WordEncoder(tokenizer_path()).tokenizer
+    crc = lambda t: zlib.crc32(np.array([*coder.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes())
+    assert sorted(r[3] for r in got) == sorted(crc(t) for _, t in rows)
+    found = token_output.token_ids(spark, path, spark.createDataFrame([(7,), (39,), (99,), (None,)], "doc_id long"))
+    least = min(t for i, t in rows if i == 7)
+    assert sorted((r.doc_id, r.ids) for r in found.collect()) == [(i, [*coder.encode(t, add_special_tokens=False).ids, 1]) for i, t in ((7, least), (39, "text 39"))]
+
+
+def test_other_tokenizers_are_given_whole_texts(spark):
+    path = tokenizer_path("byte_bpe_50k.json")
+    assert token_output.pieces_stand_alone(tokenizer_path()) and not token_output.pieces_stand_alone(path)
+    coder = token_output.WordEncoder(path)
+    texts = ["Two  spaces,\n\n a line", "", " lead", "Don't 1234 é", "x" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(map(tuple, token_output.token_output(docs, path, end_id=50256).select("doc_id", "n_tokens", "ids_crc32").collect()))
+    ids = [np.array([*coder.tokenizer.encode(t, add_special_tokens=False).ids, 50256], "<u4") for t in texts]
+    assert got == [(i, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
+
+
 # ---------------------------------------------------------------- top-k
 
 
 def brute_top(rows, k=5):
-    one = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            whole = [int(np.floor(256 * float(x))) for x in v]
-            one[i] = min(one.get(i, whole), whole)
+    whole = [
+        (i, [int(np.floor(256 * float(x))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
     out = []
-    for q in one:
+    for n, (q, own) in enumerate(whole):
         if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(one[q], v, strict=False)), i) for i, v in one.items() if i != q)
+            scored = sorted((-sum(a * b for a, b in zip(own, v, strict=False)), i) for m, (i, v) in enumerate(whole) if m != n)
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 

@@ -16,8 +16,8 @@ A key is a doc_id and its occurrence number among equal doc_ids of the shard, so
 rows keep their own entries. A lookup computes one hash, reads one pilot, one fingerprint
 and one offset, and slices the payload.
 
-Documents are range-partitioned by doc_id (then the beginning and a hash of the text and the
-row's place, so that one id's rows need not stay in one task; the texts are shuffled once),
+Documents are range-partitioned by doc_id (then a hash of the text and the row's place, so
+that one id's rows need not stay in one task; the texts are shuffled once),
 then encoded and written where they are; every shard holds about ``shard_tokens`` ids or one
 longer document. A lookup finds its shards in the directory and reads the files of these.
 
@@ -26,8 +26,8 @@ for which the cuts between pieces are known to be free of matches (``CUT_RULES``
 other file it is given the whole texts.
 
 Defined cases: a null or empty text has only the end id; a null doc_id sorts first and has a
-key of its own; equal doc_ids follow each other in order of the first 64 characters, then of
-a hash of the text, and a lookup gives the first; an empty table gives no shard and an empty
+key of its own; equal doc_ids follow each other in order of a hash of their texts, and a
+lookup gives the first; an empty table gives no shard and an empty
 result.
 """
 
@@ -358,11 +358,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(part, seq, width, keys, ids, sizes)], schema=_SHARD_ARROW)
 
-    order = [F.col(c).asc_nulls_first() for c in ("doc_id", "_begin", "_hash")]
+    order = [F.col(c).asc_nulls_first() for c in ("doc_id", "_hash")]
     (
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), "text",
-            F.substring("text", 1, 64).alias("_begin"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_place"),
+            F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_place"),
         )
         .repartitionByRange(*order, F.col("_place").asc())
         .sortWithinPartitions(*order)

@@ -68,3 +68,23 @@ def test_hub_text_is_dealt_out_and_no_link_is_lost(spark, monkeypatch):
     rows += [(200 + i, rows[100 + i][1] + " tail") for i in range(10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.lit("x"))
     assert sorted(map(tuple, N.near_duplicates(docs).collect())) == near_duplicates(rows)
+
+
+def test_pipeline_stages_keep_rows_of_no_or_repeated_ids(spark, tmp_path):
+    """The stages after the classifier, over rows that share ids or have none."""
+    import corpus_pipeline
+
+    rows = [(None, f"s{k % 2}", text(f"p{k}_")) for k in range(12)] + [(4, "s0", text(f"q{k}_")) for k in range(6)]
+    rows += [(50, "s1", text("p0_") + " more"), (None, None, text("r")), (None, "s0", None), (60, "s1", "")]
+    rows += [(70, "s0", text("bench"))]
+    docs = spark.createDataFrame([(i, t, s, "en", len(t or "")) for i, s, t in rows], "doc_id long, text string, source string, lang string, n_chars long")
+    spark.createDataFrame([(None, text("bench", 12)), ("b", text("other", 12))], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    once = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert once.count() == len(rows) - 1  # one of the two near copies went
+    clean = corpus_pipeline.drop_contaminated(spark, once, str(tmp_path))
+    assert clean.count() == len(rows) - 2 and clean.filter("doc_id = 70").isEmpty()
+    mixed = corpus_pipeline.mix_sources(spark, clean, str(tmp_path))
+    assert mixed.columns == docs.columns
+    n = mixed.count()
+    read = corpus_pipeline.STAGES[-1][1](spark, mixed, str(tmp_path))
+    assert read.count() == n

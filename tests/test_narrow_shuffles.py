@@ -1,0 +1,44 @@
+"""What the plans move at size: narrow rows by material and change, never the joined rows."""
+
+import re
+
+import pytest
+
+from conftest import SF_SMALL, rows
+from erpweave.operators import left_join
+from erpweave.plans.catalog import QUERIES
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["process_order", "post_order", "integrate_order_changes", "overlap_order_changes"])
+def test_order_rows_are_not_moved_after_their_join(no_broadcast, name):
+    """The last join of the chain is by order number: materials and changes are joined before."""
+    last = re.search(r"SortMergeJoin \[([^\]]*)\]", _plan(QUERIES[name](no_broadcast, SF_SMALL)))
+    assert "AUFNR" in last[1] and "MATNR" not in last[1] and "OBJNR" not in last[1], last[0]
+
+
+def test_orders_of_many_changes_are_split(no_broadcast):
+    """Orders and changes that are all hot give the rows of the plain joins."""
+    spark = no_broadcast
+    before = spark.conf.get("erpweave.hotKeyRows", None)
+    plain = rows(QUERIES["overlap_order_changes"](spark, SF_SMALL))
+    spark.conf.set("erpweave.hotKeyRows", "100")
+    try:
+        headers = spark.range(50).selectExpr("CAST(id AS STRING) AS k", "id AS h")
+        right = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN '7' ELSE CAST(id % 40 AS STRING) END AS k", "id AS i")
+        split = left_join(headers, right, "k", split_right_skew=True, counted=right.select("k"))
+        assert rows(split) == rows(left_join(headers, right, "k"))
+        assert rows(QUERIES["overlap_order_changes"](spark, SF_SMALL)) == plain
+    finally:
+        spark.conf.unset("erpweave.hotKeyRows") if before is None else spark.conf.set("erpweave.hotKeyRows", before)

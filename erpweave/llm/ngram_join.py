@@ -47,6 +47,7 @@ WIDTH = 5
 NUM, DEN = 80, 100  # Jaccard of at least NUM / DEN; the bounds below are written for 0.8
 SMALL = 16  # sets under one signature up to which all pairs are tried at once
 BLOCK = 4096  # members of a large signature that one task holds at once
+LISTED = 16  # smallest open signatures of a set that its members know of
 SKETCH_BITS = 512
 EMPTY_COST = 40.0  # cost of a chance agreement on an empty segment, in signatures
 HUB = 1024  # pairs of one set that are verified beside one copy of its text
@@ -427,11 +428,16 @@ def _open_pairs(left: DataFrame, info: DataFrame) -> DataFrame:
     """Possible pairs (a, b) of different components under the open signatures.
 
     Members meet in blocks of at most about ``BLOCK``, so that no task holds a whole large
-    signature. A pair found under several signatures is combined to one before and after the
-    shuffle.
+    signature. The sets of a family share many signatures: a pair is left to the smallest one
+    that it shares. Each member brings the ``LISTED`` smallest open signatures of its set, and
+    where two lists share a smaller one than the signature at hand, the pair is made there, or
+    under a smaller one still; under the smallest that it shares it is always made. Two members
+    that both ask meet twice, and make their pair once. What is made again all the same
+    (lists that end too soon) is combined to one before and after the shuffle.
     """
-    rows = left.join(info.select("key", "n", "sketch"), "key")
-    columns = ["sig", "cb", "qb", "key", "root", "n", "sketch"]
+    listed = left.groupBy("key").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, LISTED).alias("listed"))
+    rows = left.join(listed, "key").join(info.select("key", "n", "sketch"), "key")
+    columns = ["sig", "cb", "qb", "key", "root", "n", "sketch", "listed", "query"]
     block = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("key"), F.col(n))
     every = rows.withColumn("cb", place("nc")).withColumn("qb", block("nq")).select(*columns)
@@ -442,11 +448,17 @@ def _open_pairs(left: DataFrame, info: DataFrame) -> DataFrame:
         pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         if left.num_rows and right.num_rows:
             right = right.rename_columns(columns)
+            sig = left.column("sig")[0].as_py()
             (key, root, n, sketch), (q_key, q_root, q_n, q_sketch) = (_member_arrays(t) for t in (left, right))
+            first, q_first = (_listed_arrays(t) for t in (left, right))
+            asks = left.column("query").to_numpy()
             for i in range(len(q_key)):
                 apart = np.bitwise_count(sketch ^ q_sketch[i]).sum(axis=1)
-                ok = (root != q_root[i]) & _may_link(n, q_n[i], apart)
-                pairs.append((np.full(int(ok.sum()), q_key[i]), key[ok]))
+                ok = np.flatnonzero((root != q_root[i]) & ~(asks & (key < q_key[i])) & _may_link(n, q_n[i], apart))
+                smaller = q_first[i][(q_first[i] >= 0) & (q_first[i] < sig)]
+                if len(ok) and len(smaller):
+                    ok = ok[~np.isin(first[ok], smaller).any(axis=1)]
+                pairs.append((np.full(len(ok), q_key[i]), key[ok]))
         a, b = _unique_pairs(pairs)
         return pa.table({"a": a, "b": b})
 
@@ -459,6 +471,15 @@ def _member_arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return key, root, n, np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
 
 
+def _listed_arrays(table: pa.Table) -> np.ndarray:
+    """The listed signatures, a row of ``LISTED`` for each member; -1 where a list has ended."""
+    lists = pa.concat_arrays(table.column("listed").chunks)
+    size = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(size), LISTED), -1, np.int64)
+    out[np.arange(LISTED) < size[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
 def class_rows(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
     """key and text of the rows that stand for the classes in ``pairs``, found by id and text hash."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(info.select("key", "row.*"), "key")

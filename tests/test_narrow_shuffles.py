@@ -5,8 +5,10 @@ import re
 import pytest
 
 from conftest import SF_SMALL, rows
-from erpweave.operators import left_join
-from erpweave.plans.catalog import QUERIES
+from erpweave.operators import integration_process_order
+from erpweave.plans.catalog import AS_OF, QUERIES
+from erpweave.plans.pipelines import process_order_tables
+from erpweave.sources.fixtures import OverlappingErpSources
 
 
 @pytest.fixture
@@ -28,17 +30,14 @@ def test_order_rows_are_not_moved_after_their_join(no_broadcast, name):
     assert "AUFNR" in last[1] and "MATNR" not in last[1] and "OBJNR" not in last[1], last[0]
 
 
-def test_orders_of_many_changes_are_split(no_broadcast):
-    """Orders and changes that are all hot give the rows of the plain joins."""
+def test_orders_hot_by_items_and_by_changes_give_the_same_rows(no_broadcast):
+    """Every order of more than one item or change is split; the rows are those of the plain chain."""
     spark = no_broadcast
-    before = spark.conf.get("erpweave.hotKeyRows", None)
-    plain = rows(QUERIES["overlap_order_changes"](spark, SF_SMALL))
-    spark.conf.set("erpweave.hotKeyRows", "100")
-    try:
-        headers = spark.range(50).selectExpr("CAST(id AS STRING) AS k", "id AS h")
-        right = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN '7' ELSE CAST(id % 40 AS STRING) END AS k", "id AS i")
-        split = left_join(headers, right, "k", split_right_skew=True, counted=right.select("k"))
-        assert rows(split) == rows(left_join(headers, right, "k"))
-        assert rows(QUERIES["overlap_order_changes"](spark, SF_SMALL)) == plain
-    finally:
-        spark.conf.unset("erpweave.hotKeyRows") if before is None else spark.conf.set("erpweave.hotKeyRows", before)
+    tables = process_order_tables(spark, OverlappingErpSources(SF_SMALL), as_of=AS_OF, with_changes=True)
+    tables = [tables[t] for t in ("AFKO", "AFPO", "AUFK", "MARA_ORDER", "CDPOS")]
+    afko, afpo, aufk, mara, cdpos = tables
+    plain = afko.join(afpo, "AUFNR", "left").join(aufk, "AUFNR", "left").join(mara, "MATNR", "left").join(cdpos, "OBJNR", "left")
+    split = integration_process_order(*tables, hot_key_rows=1)
+    assert split.columns == plain.columns
+    kept = [c for c in plain.columns if c != "ZZGLTRP_ORIG"]
+    assert rows(split, *kept) == rows(plain, *kept)

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from conftest import SF_SMALL, rows
-from erpweave.operators import integration_process_order
+from erpweave.operators import integration_process_order, left_join
 from erpweave.plans.catalog import AS_OF, QUERIES
 from erpweave.plans.pipelines import process_order_tables
 from erpweave.sources.fixtures import OverlappingErpSources
@@ -41,3 +41,46 @@ def test_orders_hot_by_items_and_by_changes_give_the_same_rows(no_broadcast):
     assert split.columns == plain.columns
     kept = [c for c in plain.columns if c != "ZZGLTRP_ORIG"]
     assert rows(split, *kept) == rows(plain, *kept)
+
+
+MATERIAL = ["overlap_local_material", "overlap_counts", "local_material_isolated", "material_masked", "material_contract"]
+
+
+@pytest.mark.parametrize("name", [*MATERIAL, "overlap_joined"])
+def test_material_rows_are_moved_once(spark, name):
+    """With the organisational tables broadcast the plant rows are shuffled by material and, with
+    all that the joins add to them, never again: the last exchange above MARC's scan is MATNR's."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it runs
+    try:
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "l_returnflag" in line and "l_quantity" not in line)
+    depth = len(lines[scan])
+    above = []
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if at < depth:
+            depth = at
+            if "Exchange" in line:
+                above.append(line)
+    assert len(above) == 1 and "hashpartitioning(MATNR" in above[0], above
+
+
+def test_keys_compared_within_others_match_as_equal_keys(spark):
+    """Nulls, several matches and no match: the rows of the join by all keys, in its column order."""
+    left = spark.createDataFrame(
+        [("1", "a", "x", 1), ("1", "a", None, 2), ("1", None, "x", 3), ("2", "b", "x", 4), (None, "a", "x", 5)],
+        "m string, c string, b string, n int",
+    )
+    right = spark.createDataFrame(
+        [("1", "a", "x", 10), ("1", "a", "x", 11), ("1", "a", None, 12), ("1", None, "x", 13), ("2", "b", "y", 14), (None, "a", "x", 15)],
+        "m string, c string, b string, v int",
+    )
+    keys = left_join(left, right, ["m", "c", "b"])
+    within = left_join(left, right, "m", within=["c", "b"])
+    assert within.columns == keys.columns
+    assert rows(within) == rows(keys)
+    with pytest.raises(ValueError, match="within"):
+        left_join(left, right, "m", within=["c"], spread_null_keys=True)

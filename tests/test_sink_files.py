@@ -1,10 +1,11 @@
 """What the writers put on disk."""
 
+import time
 from pathlib import Path
 
 from conftest import SF_SMALL, rows
 from erpweave.plans.catalog import QUERIES
-from erpweave.sources.sinks import _WRITERS_CONF, _open_writers, write_table
+from erpweave.sources.sinks import _CLEANUP_CONF, _WRITERS_CONF, _open_writers, write_table
 
 
 def test_parquet_is_zstd_and_csv_can_be_compressed(spark, tmp_path):
@@ -31,3 +32,22 @@ def test_material_rows_are_written_plant_by_plant(spark):
     plan = QUERIES["local_material"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     last = next(line for line in plan.splitlines() if " Sort [" in line)
     assert last.index("SOURCE_SYSTEM_ERP") < last.index("WERKS") < last.index("MATNR"), last
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files() -> set[str]:
+        return {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+
+    conf, before = spark.conf.get(_CLEANUP_CONF, None), files()
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id").repartition(4, "k")
+    write_table(df, f"{tmp_path}/p")
+    write_table(df, f"{tmp_path}/q", partition_by=["k"])
+    for _ in range(50):  # they are deleted beside the write
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(_CLEANUP_CONF, None) == conf
+    assert rows(spark.read.parquet(f"{tmp_path}/p").select("k", "id")) == rows(df)

@@ -5,7 +5,8 @@ import re
 import pytest
 
 from conftest import SF_SMALL, rows
-from erpweave.operators import integration_process_order, left_join
+from erpweave.operators import integration_local_material, integration_process_order, left_join
+from erpweave.operators.derive import FOREIGN
 from erpweave.plans.catalog import AS_OF, QUERIES
 from erpweave.plans.pipelines import process_order_tables
 from erpweave.sources.fixtures import OverlappingErpSources
@@ -84,3 +85,36 @@ def test_keys_compared_within_others_match_as_equal_keys(spark):
     assert rows(within) == rows(keys)
     with pytest.raises(ValueError, match="within"):
         left_join(left, right, "m", within=["c"], spread_null_keys=True)
+
+
+@pytest.mark.parametrize("name", [*MATERIAL, "overlap_joined"])
+def test_material_rows_are_not_moved_by_area(no_broadcast, name):
+    """Plants bring their areas along: no join of the rows is by area, also where nothing is broadcast."""
+    joins = re.findall(r"SortMergeJoin \[([^\]]*)\]", _plan(QUERIES[name](no_broadcast, SF_SMALL)))
+    assert joins and not [j for j in joins if "BWKEY" in j], joins
+
+
+def test_plants_bring_their_areas_along(spark):
+    """Several areas of a plant, none, and keys that are null: the rows and the count of the plain joins."""
+    marc = spark.createDataFrame([("S", "1", w, 0) for w in ("W1", "W2", "W3", "W4", "W5")], "SOURCE_SYSTEM_ERP string, MATNR string, WERKS string, o int")
+    mara = spark.createDataFrame([("100", "1", "EA", "G", 1)], "MANDT string, MATNR string, MEINS string, GLOBAL_MATERIAL_NUMBER string, o int")
+    plants = [("100", "W1", "B1", "a", 0), ("100", "W1", "B1", "a", 1), ("100", "W2", None, "b", 1), ("100", "W3", None, "b", 0), (None, "W4", "B1", "c", 0)]
+    t001w = spark.createDataFrame(plants, "MANDT string, WERKS string, BWKEY string, NAME1 string, o int")
+    areas = [("100", "B1", "C1", 0), ("100", "B1", "C2", 1), ("100", None, "C3", 1), (None, "B1", "C4", 0), ("200", "B1", "C5", 0)]
+    t001k = spark.createDataFrame(areas, "MANDT string, BWKEY string, BUKRS string, o int")
+    t001 = spark.createDataFrame([("100", "C1", "EUR", 1)], "MANDT string, BUKRS string, WAERS string, o int")
+    mbew = spark.createDataFrame(
+        [("100", "1", "B1", "S", 1.0, 1.0, 1.0, "k", 0), ("200", "1", "B1", "S", 2.0, 1.0, 1.0, "k", 0)],
+        "MANDT string, MATNR string, BWKEY string, VPRSV string, VERPR double, STPRS double, PEINH double, BKLAS string, o int",
+    )
+    got = integration_local_material(mara, mbew, marc, t001k, t001w, t001, origin="o")
+    assert rows(got, "WERKS", "BWKEY", "VERPR", "BUKRS", "WAERS", FOREIGN) == sorted(
+        [
+            ("W1", "B1", 1.0, "C1", "EUR", 2), ("W1", "B1", 1.0, "C2", None, 2),
+            ("W1", "B1", 1.0, "C1", "EUR", 3), ("W1", "B1", 1.0, "C2", None, 3),
+            ("W2", None, None, None, None, 2), ("W3", None, None, None, None, 1),
+            ("W4", None, None, None, None, 1), ("W5", None, None, None, None, 1),
+        ],
+        key=repr,
+    )
+    assert integration_local_material(mara.drop("o"), mbew.drop("o"), marc.drop("o"), t001k.drop("o"), t001w.drop("o"), t001.drop("o")).count() == 8

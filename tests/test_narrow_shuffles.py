@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from erpweave.operators import integration_local_material, integration_process_order, left_join
@@ -118,3 +119,27 @@ def test_plants_bring_their_areas_along(spark):
         key=repr,
     )
     assert integration_local_material(mara.drop("o"), mbew.drop("o"), marc.drop("o"), t001k.drop("o"), t001w.drop("o"), t001.drop("o")).count() == 8
+
+
+@pytest.mark.parametrize("name", ["process_order", "process_order_final", "order_contract", "rename_order"])
+def test_headers_and_masters_are_moved_once(no_broadcast, name):
+    """By order number go: headers with masters, items, and the hot keys listed on both sides."""
+    plan = _plan(QUERIES[name](no_broadcast, SF_SMALL))
+    assert plan.count("Exchange hashpartitioning(AUFNR") <= 4
+
+
+@pytest.mark.parametrize("hot_key_rows", [None, 1])
+def test_headers_meet_all_their_masters(no_broadcast, hot_key_rows):
+    """Orders that both systems number alike, several masters of a number, none, and null numbers."""
+    spark = no_broadcast
+    tables = process_order_tables(spark, OverlappingErpSources(SF_SMALL), as_of=AS_OF)
+    afko, afpo, aufk, mara = (tables[t] for t in ("AFKO", "AFPO", "AUFK", "MARA_ORDER"))
+    afko = afko.union(afko.limit(3).selectExpr(*["NULL AS AUFNR" if c == "AUFNR" else c for c in afko.columns]))
+    afpo = afpo.union(afpo.limit(3).selectExpr(*["NULL AS AUFNR" if c == "AUFNR" else c for c in afpo.columns]))
+    aufk = aufk.filter("AUFNR % 11 <> 0").union(aufk.filter("AUFNR % 5 = 0").withColumn("AUART", F.lit("second")))
+    aufk = aufk.union(aufk.limit(3).selectExpr(*["NULL AS AUFNR" if c == "AUFNR" else c for c in aufk.columns]))
+    plain = afko.join(afpo, "AUFNR", "left").join(aufk, "AUFNR", "left").join(mara, "MATNR", "left")
+    got = integration_process_order(afko, afpo, aufk, mara, hot_key_rows=hot_key_rows)
+    assert got.columns == plain.columns
+    kept = [c for c in plain.columns if c != "ZZGLTRP_ORIG"]
+    assert rows(got, *kept) == rows(plain, *kept)

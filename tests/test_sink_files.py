@@ -5,6 +5,7 @@ from pathlib import Path
 
 from conftest import SF_SMALL, rows
 from erpweave.plans.catalog import QUERIES
+from erpweave.plans.harmonize import _check
 from erpweave.sources.sinks import _CLEANUP_CONF, _WRITERS_CONF, _open_writers, write_table
 
 
@@ -51,3 +52,20 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
     assert not files() - before
     assert spark.conf.get(_CLEANUP_CONF, None) == conf
     assert rows(spark.read.parquet(f"{tmp_path}/p").select("k", "id")) == rows(df)
+
+
+def test_a_key_check_leaves_no_shuffle_files(spark, tmp_path):
+    """Both phases: the digests that are counted, and the texts of those that occur again."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files() -> set[str]:
+        return {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+
+    write_table(spark.range(1000).selectExpr("CAST(id % 900 AS STRING) AS k").repartition(4), f"{tmp_path}/p")
+    written, before = spark.read.parquet(f"{tmp_path}/p"), files()
+    assert _check(written, ["k"])["k"] == {"distinct_values": 900, "duplicated_values": 100, "duplicated_rows": 200, "null_rows": 0}
+    for _ in range(50):  # they are deleted beside the check
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before

@@ -121,6 +121,69 @@ def test_plants_bring_their_areas_along(spark):
     assert integration_local_material(mara.drop("o"), mbew.drop("o"), marc.drop("o"), t001k.drop("o"), t001w.drop("o"), t001.drop("o")).count() == 8
 
 
+def _depth(line: str) -> int:
+    found = re.match(r"[ :]*[:+]- ", line)
+    return found.end() if found else 0
+
+
+def _exchanges_above(lines: list[str], scanned: str) -> list[str]:
+    """The exchanges above the first scan that reads ``scanned``, the nearest first."""
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and scanned in x)
+    depth, above = _depth(lines[scan]), []
+    for line in reversed(lines[:scan]):
+        if _depth(line) < depth:
+            depth = _depth(line)
+            if "Exchange" in line:
+                above.append(line)
+    return above
+
+
+def _below(lines: list[str], node: int) -> str:
+    end = next((i for i in range(node + 1, len(lines)) if _depth(lines[i]) <= _depth(lines[node])), len(lines))
+    return "\n".join(lines[node:end])
+
+
+@pytest.mark.parametrize("name", [*MATERIAL, "overlap_joined"])
+def test_plant_rows_are_narrow_when_they_go_by_plant(no_broadcast, name):
+    """Where nothing is broadcast: plant rows go to their plants with their client and without what else
+    their material holds, and valuations go by material once, before their window."""
+    spark = no_broadcast
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it runs
+    try:
+        lines = _plan(QUERIES[name](spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    valuations = _exchanges_above(lines, "l_quantity")
+    # Company codes are not broadcast here: above their join nothing is as at size.
+    valuations = valuations[: next(i for i, x in enumerate(valuations) if "BUKRS" in x)]
+    assert len(valuations) == 1 and re.search(r"hashpartitioning\(MATNR#\d+, \d+\)", valuations[0]), valuations
+    by_plant = _below(lines, next(i for i, x in enumerate(lines) if "SortMergeJoin" in x and "WERKS" in x))
+    assert " AS MANDT" in by_plant and " AS MEINS" not in by_plant
+
+
+def test_materials_of_several_clients_and_of_none(spark):
+    """Every material row of a number meets the plants, areas and valuations of its own client only."""
+    marc = spark.createDataFrame([("S", m, w) for m in ("1", "2", "3", "4") for w in ("W1", "W2", None)], "SOURCE_SYSTEM_ERP string, MATNR string, WERKS string")
+    materials = [("100", "1", "EA", "G"), ("100", "1", "KG", "G"), ("200", "2", "KG", None), ("300", "2", "PC", None), (None, "2", "BOX", "N"), (None, "2", "PAL", "N"), (None, "4", "EA", "N")]
+    mara = spark.createDataFrame(materials, "MANDT string, MATNR string, MEINS string, GLOBAL_MATERIAL_NUMBER string")
+    t001w = spark.createDataFrame(
+        [("100", "W1", "B1", "a"), ("200", "W1", "B2", "b"), ("200", "W1", "B3", "c"), ("200", "W2", None, "d"), (None, "W2", "B1", "e"), ("100", None, "B1", "f")],
+        "MANDT string, WERKS string, BWKEY string, NAME1 string",
+    )
+    t001k = spark.createDataFrame([("100", "B1", "C1"), ("200", "B2", "C2"), ("100", "B2", "C9"), ("200", "B2", "C3")], "MANDT string, BWKEY string, BUKRS string")
+    t001 = spark.createDataFrame([("100", "C1", "EUR"), ("200", "C2", "USD")], "MANDT string, BUKRS string, WAERS string")
+    mbew = spark.createDataFrame(
+        [("100", "1", "B1", "S", 1.0, 1.0, 1.0, "k"), ("100", "2", "B2", "S", 2.0, 1.0, 1.0, "k"), ("200", "2", "B2", "S", 3.0, 1.0, 1.0, "k")],
+        "MANDT string, MATNR string, BWKEY string, VPRSV string, VERPR double, STPRS double, PEINH double, BKLAS string",
+    )
+    got = integration_local_material(mara, mbew, marc, t001k, t001w, t001)
+    plain = (
+        marc.join(mara, "MATNR", "left").join(t001w, ["MANDT", "WERKS"], "left").join(mbew, ["MANDT", "MATNR", "BWKEY"], "left")
+        .join(t001k, ["MANDT", "BWKEY"], "left").join(t001, ["MANDT", "BUKRS"], "left")
+    )
+    assert rows(got) == rows(plain, *got.columns)
+
+
 @pytest.mark.parametrize("name", ["process_order", "process_order_final", "order_contract", "rename_order"])
 def test_headers_and_masters_are_moved_once(no_broadcast, name):
     """By order number go: headers with masters, items, and the hot keys listed on both sides."""

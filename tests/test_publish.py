@@ -171,3 +171,20 @@ def test_report_mode_does_not_write_over_the_published_folder(spark, tmp_path, m
         _run(spark, root, 1)
     assert _seen(spark, root) == old
     assert sorted(os.listdir(root)) == ["local_material", "process_order"]
+
+
+def test_data_sets_are_written_one_after_the_other(spark, tmp_path, monkeypatch):
+    """No write begins while another one, with its shuffle files, is under way; the results keep their order."""
+    seen, write = [], harmonize._write
+
+    def noted(df, name, *args, **target):
+        seen.append(("begins", name))
+        out = write(df, name, *args, **target)
+        seen.append(("ends", name))
+        return out
+
+    monkeypatch.setattr(harmonize, "_write", noted)
+    results = _run(spark, str(tmp_path / "out"), 0)
+    assert seen == [(step, name) for name in ("process_order", "local_material") for step in ("begins", "ends")]
+    assert list(results) == ["local_material", "process_order"]
+    assert _seen(spark, str(tmp_path / "out")) == _rows(results)
